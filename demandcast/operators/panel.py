@@ -52,6 +52,27 @@ def build_cells(lines: DataFrame) -> DataFrame:
                          F.col("product_id").cast("int"), TARGET, "profit_month", *CELL_SUMS))
 
 
+def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
+    """Compute ``df`` once for several consumers.
+
+    ``checkpoint`` (default) writes it to the shared folder named by
+    ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor costs a
+    re-read, not a re-scan of the raw lines; the recorded output partitioning
+    is kept.  ``persist`` keeps it in executor memory/disk (recomputed from
+    lineage on loss).  Without one of them Catalyst prunes a different column
+    set out of the aggregate for every consumer and the raw table is scanned
+    once per consumer.
+    """
+    if how == "checkpoint":
+        from demandcast.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        from pyspark import StorageLevel
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
 def join_items(matrix: DataFrame, items: DataFrame) -> DataFrame:
     """matrix LEFT JOIN items ON product_id = id, ``id`` dropped."""
     it = items.withColumnRenamed("id", "__item_id")
@@ -76,6 +97,35 @@ def join_back(df: DataFrame, agg: DataFrame, keys: Sequence[str], bounded: bool
     return df.join(F.broadcast(agg) if bounded else agg, list(keys), "left")
 
 
+def broadcast_budget_rows(agg: DataFrame) -> int:
+    """Rows of ``agg`` that fit the session's broadcast threshold (conservative width estimate)."""
+    conf = agg.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        limit = int(str(conf).lower().rstrip("b"))
+    except ValueError:
+        limit = 10 * 1024 * 1024
+    width = 0
+    for f in agg.schema.fields:
+        width += 32 if f.dataType.typeName() == "string" else 16
+    return max(limit, 0) // max(width, 1)
+
+
+def join_back_checked(df: DataFrame, agg: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """LEFT JOIN with a broadcast chosen by a measured size, a shuffle join beyond it.
+
+    The aggregate is persisted and counted (one small job on an already
+    aggregated table); it is broadcast only when its exact row count times a
+    conservative row width is under ``spark.sql.autoBroadcastJoinThreshold``.
+    Beyond that the join is a shuffle join on the keys (AQE splits skewed
+    partitions).  This keeps the large side from being shuffled just because
+    the planner over-estimates an aggregate's output.
+    """
+    from pyspark import StorageLevel
+    agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
+    small = agg.count() <= broadcast_budget_rows(agg)
+    return df.join(F.broadcast(agg) if small else agg, list(keys), "left")
+
+
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Cross join with a 1-row aggregate (size proven: exactly one row)."""
     return df.crossJoin(F.broadcast(one_row))

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.operators.panel import build_cells, join_back, join_items
+from demandcast.operators.panel import build_cells, join_back, join_back_checked, join_items, materialize
 from demandcast.operators.temporal import (
     UNBOUNDED, first_sale, last_sale, lag_columns, month_window, normalise,
     price_trend_columns, trailing_stat_columns, within_cell_index,
@@ -136,20 +136,22 @@ def encoding_table(panel: DataFrame, keys: tuple, name: str) -> DataFrame:
                  .agg((F.sum(TARGET).cast("double") / F.count(F.lit(1))).alias(name)))
 
 
-def feature_matrix(lines: DataFrame, items: DataFrame, spec: FactSpec = FactSpec()) -> DataFrame:
-    cells = build_cells(lines)
-    panel = join_items(cells, items)
+def feature_matrix(lines: DataFrame, items: DataFrame, spec: FactSpec = FactSpec(),
+                   materialize_panel: str = "checkpoint") -> DataFrame:
+    # one scan of the raw lines and of the item table; everything else reads this
+    panel = materialize(join_items(build_cells(lines), items), materialize_panel)
 
-    pm = product_month_table(cells, spec)
-    cm = campaign_month_table(cells, spec)
-    x = join_back(panel, pm, ["product_id", MONTH])
-    x = join_back(x, cm, ["campaign_id", MONTH])
+    x = panel
+    x = join_back_checked(x, product_month_table(panel, spec), ["product_id", MONTH])
+    x = join_back_checked(x, campaign_month_table(panel, spec), ["campaign_id", MONTH])
     for keys, prefix, periods in spec.group_stats:
         if tuple(keys) not in (("product_id",), ("campaign_id",)):
-            x = join_back(x, keyed_stats_table(panel, tuple(keys), prefix, periods), [MONTH, *keys])
+            x = join_back_checked(x, keyed_stats_table(panel, tuple(keys), prefix, periods), [MONTH, *keys])
     for keys, name, _ in spec.encodings:
-        if tuple(keys) not in (("product_id",), ("campaign_id",)):
-            x = join_back(x, encoding_table(panel, tuple(keys), name), [MONTH, *keys], bounded=not keys)
+        if not keys:   # one row per month: proven small
+            x = join_back(x, encoding_table(panel, (), name), [MONTH], bounded=True)
+        elif tuple(keys) not in (("product_id",), ("campaign_id",)):
+            x = join_back_checked(x, encoding_table(panel, tuple(keys), name), [MONTH, *keys])
 
     # price row lags (R3) need the row's index inside its (product, month) cell
     x = x.withColumn("__j", within_cell_index())
