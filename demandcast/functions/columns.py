@@ -16,6 +16,24 @@ def month_index(date, base_year: int) -> Column:
     return ((F.year(d) - F.lit(base_year)) * 12 + F.month(d)).cast("int")
 
 
+def month_start(block: int, base_year: int):
+    """First day of month ``block`` (R1 numbering) as a ``datetime.date``."""
+    import datetime
+    y, m = divmod(block - 1, 12)
+    return datetime.date(base_year + y, m + 1, 1)
+
+
+def month_range(date, base_year: int, lo: int, hi: int) -> Column:
+    """``lo <= month_index(date) <= hi`` written on the raw date column.
+
+    Unlike a predicate on the derived month number this is a plain range on a
+    scan column, so Parquet row groups and partitions outside it are skipped
+    (``PushedFilters``).
+    """
+    d = _c(date)
+    return (d >= F.lit(month_start(lo, base_year))) & (d < F.lit(month_start(hi + 1, base_year)))
+
+
 def unit_margin(price="price", purchase_price="purchase_price") -> Column:
     """Per-line unit margin ``price - purchase_price`` (exact DECIMAL)."""
     return _c(price) - _c(purchase_price)

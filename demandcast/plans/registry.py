@@ -77,6 +77,521 @@ def q_feature_matrix(spark, sf):
     return feature_matrix(lines, items, FIXTURE)
 
 
+# ---------------------------------------------------------------------------
+# shared pieces
+# ---------------------------------------------------------------------------
+
+from demandcast.operators import clean as C  # noqa: E402
+from demandcast.operators import profile as PR  # noqa: E402
+from demandcast.operators import report as R  # noqa: E402
+from demandcast.operators import seasonal as S  # noqa: E402
+from demandcast.functions import columns as FN  # noqa: E402
+from demandcast.sources import sinks as SK  # noqa: E402
+
+SPEC = FIXTURE
+VM, TM = SPEC.valid_month, SPEC.test_month
+FEATS = O.feature_ctes(SPEC)
+
+
+def fsql(tail: str, *extra: str) -> str:
+    """Oracle SQL over the literal feature chain."""
+    return O.with_ctes(*FEATS, *extra) + tail
+
+
+def features(spark, sf):
+    lines, items = TD.inputs(spark, sf)
+    return feature_matrix(lines, items, SPEC)
+
+
+def report_rows(spark, sf) -> DataFrame:
+    """Test-month rows with the lag-1 forecast.  Only months test-1..test reach the scan."""
+    cells = P.build_cells(TD.fact(spark, sf, months=(TM - 1, TM)))
+    f = T.lag_feature(cells, [1], TARGET)
+    return (f.filter(F.col(MONTH) == TM)
+             .select(*KEY, TARGET, "profit_month", R.lag1_forecast(f).alias(R.FORECAST)))
+
+
+REPORT_ROWS = f"""rows AS (
+  SELECT m.date_block_num, m.campaign_id, m.product_id, m.item_cnt_month, m.profit_month,
+         CAST(COALESCE(l.item_cnt_month, 0) AS DOUBLE) AS item_cnt_month_forecast
+  FROM cells m LEFT JOIN cells l ON l.campaign_id = m.campaign_id AND l.product_id = m.product_id
+       AND l.date_block_num = m.date_block_num - 1
+  WHERE m.date_block_num = {TM})"""
+SALARY_SQL = """CASE WHEN item_cnt_month < 100 THEN profit_month * 0.50
+     WHEN item_cnt_month < 200 THEN profit_month * 0.52
+     WHEN item_cnt_month < 500 THEN profit_month * 0.55
+     ELSE profit_month * 0.60 END"""
+SAL_ROWS = f"""srows AS (SELECT *, {SALARY_SQL} AS salary FROM rows)"""
+ROLLUP = """rollup AS (SELECT campaign_id, SUM(profit_month) AS profit_month_sum, SUM(salary) AS salary_month_sum
+  FROM srows GROUP BY campaign_id)"""
+NET = """net AS (SELECT k.Marketing_Cost_Day, r.campaign_id, r.salary_month_sum,
+         CAST(r.profit_month_sum AS DOUBLE) - 29 * k.Marketing_Cost_Day AS profit_month
+  FROM marketing k LEFT JOIN rollup r ON k.ID = r.campaign_id)"""
+RSQL = lambda tail, *extra: O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, *extra) + tail
+JITTER_SQL = ("item_cnt_month + CAST(('0x' || substr(md5(concat_ws('|', CAST(date_block_num AS VARCHAR), "
+              "CAST(campaign_id AS VARCHAR), CAST(product_id AS VARCHAR))), 1, 8))::UBIGINT % 36 AS BIGINT) - 15")
+FOLD_SQL = ("CAST(('0x' || substr(md5(concat_ws('|', CAST(date_block_num AS VARCHAR), "
+            "CAST(campaign_id AS VARCHAR), CAST(product_id AS VARCHAR))), 1, 8))::UBIGINT % 5 AS INT)")
+
+
+def salary_rows(spark, sf):
+    return R.with_salary(report_rows(spark, sf))
+
+
+def campaign_rollup_df(spark, sf):
+    return P.campaign_rollup(salary_rows(spark, sf))
+
+
+def net_profit_df(spark, sf):
+    return P.campaign_net_profit(TD.marketing(spark, sf), campaign_rollup_df(spark, sf), days=29)
+
+
+def _out_money(df):
+    return _money(df, *[c for c in ("profit_month_sum", "salary_month_sum", "salary", "profit_month")
+                        if c in df.columns and str(df.schema[c].dataType).startswith("Decimal")])
+
+
+def _line_cols(df):
+    return df.select("date", *KEY)
+
+
+# --- 2.1 sinks -------------------------------------------------------------------
+
+@register("write_forecast_csv", RSQL(
+    """SELECT CAST(ROW_NUMBER() OVER (ORDER BY campaign_id, product_id) - 1 AS BIGINT) AS ID,
+       item_cnt_month_forecast AS item_cnt_month FROM rows"""))
+def q_write_forecast_csv(spark, sf):
+    rows = report_rows(spark, sf)
+    return SK.write_forecast_csv(rows, SK.scratch_dir(rows, "forecast-csv"), ["campaign_id", "product_id"],
+                                 R.FORECAST)
+
+
+@register("checkpoint_matrix", BASE + "SELECT * REPLACE (CAST(profit_month AS DOUBLE) AS profit_month) FROM matrix")
+def q_checkpoint_matrix(spark, sf):
+    m = _money(matrix(spark, sf), "profit_month")
+    return SK.checkpoint_table(m, SK.scratch_dir(m, "matrix"), [MONTH])
+
+
+@register("reload_predictions", O.with_ctes(*O.BASE) + f"""SELECT m.date_block_num, m.campaign_id, m.product_id,
+  CAST(COALESCE(l.item_cnt_month, 0) AS DOUBLE) AS lag_1,
+  CAST(COALESCE((SELECT SUM(h.item_cnt_month) FROM cells h WHERE h.campaign_id = m.campaign_id
+       AND h.product_id = m.product_id AND h.date_block_num BETWEEN m.date_block_num - 6 AND m.date_block_num - 1), 0)
+       AS DOUBLE) / 6 AS mean_6
+FROM cells m LEFT JOIN cells l ON l.campaign_id = m.campaign_id AND l.product_id = m.product_id
+     AND l.date_block_num = m.date_block_num - 1
+WHERE m.date_block_num IN ({VM}, {TM})""")
+def q_reload_predictions(spark, sf):
+    cells = T.lag_feature(P.build_cells(TD.fact(spark, sf, months=(VM - 6, TM))), [1], TARGET)
+    base = cells.select(*KEY, TARGET, R.lag1_forecast(cells).alias("lag_1"),
+                        R.trailing_mean_forecast(cells, 6).alias("mean_6"))
+    base = base.filter(F.col(MONTH).isin(VM, TM))
+    a = SK.save_predictions(base.select(*KEY, "lag_1"), SK.scratch_dir(base, "pred-lag1"))
+    b = SK.save_predictions(base.select(*KEY, "mean_6"), SK.scratch_dir(base, "pred-mean6"))
+    return a.join(b, list(KEY), "inner")
+
+
+@register("export_filtered_csv", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_ROWS, ROLLUP, O.MARKETING, NET)
+          + "SELECT Marketing_Cost_Day, campaign_id, CAST(salary_month_sum AS DOUBLE) AS salary_month_sum, "
+            "profit_month FROM net WHERE profit_month < 0")
+def q_export_filtered_csv(spark, sf):
+    neg = _out_money(R.negative_profit(net_profit_df(spark, sf)))
+    return SK.export_csv(neg, SK.scratch_dir(neg, "marketing-fail"))
+
+
+# --- 2.2 projections and filters ----------------------------------------------------
+
+register("month_index", O.with_ctes(O.FACT) + "SELECT date, date_block_num FROM fact")(
+    lambda spark, sf: TD.fact(spark, sf).select("date", MONTH))
+
+register("unit_margin", O.with_ctes(O.FACT) +
+         "SELECT date, date_block_num, campaign_id, product_id, CAST(price - purchase_price AS DOUBLE) AS revenue FROM fact")(
+    lambda spark, sf: TD.fact(spark, sf).select("date", *KEY, FN.unit_margin().cast("double").alias("revenue")))
+
+register("line_profit", O.with_ctes(O.FACT) +
+         "SELECT date, date_block_num, campaign_id, product_id, orders, "
+         "CAST((price - purchase_price) * orders AS DOUBLE) AS profit FROM fact")(
+    lambda spark, sf: P.with_margins(TD.fact(spark, sf)).select(
+        "date", *KEY, "orders", F.col("profit").cast("double").alias("profit")))
+
+register("calendar_features", BASE +
+         "SELECT date_block_num, campaign_id, product_id, CAST(date_block_num % 12 AS INT) AS month, "
+         "CAST(trunc(date_block_num / 12) AS INT) AS year FROM cells")(
+    lambda spark, sf: P.build_cells(TD.fact(spark, sf)).select(
+        *KEY, FN.calendar_month().alias("month"), FN.calendar_year().alias("year")))
+
+register("cast_keys", BASE + "SELECT CAST(date_block_num AS INT) AS date_block_num, CAST(campaign_id AS INT) AS campaign_id,"
+         " CAST(product_id AS INT) AS product_id FROM cells")(
+    lambda spark, sf: P.build_cells(TD.fact(spark, sf)).select(*[F.col(k).cast("int") for k in KEY]))
+
+register("drop_columns", fsql("SELECT * EXCLUDE (" + ", ".join(SPEC.drop_before_clean) + ") FROM features"))(
+    lambda spark, sf: features(spark, sf).drop(*SPEC.drop_before_clean))
+
+register("project_rename", BASE + "SELECT date_block_num + 1 AS date_block_num, campaign_id, product_id, "
+         "item_cnt_month AS item_cnt_month_lag_1 FROM cells")(
+    lambda spark, sf: P.build_cells(TD.fact(spark, sf)).select(
+        (F.col(MONTH) + 1).alias(MONTH), "campaign_id", "product_id", F.col(TARGET).alias(f"{TARGET}_lag_1")))
+
+register("clip_counts", O.with_ctes(O.FACT) + "SELECT date_block_num, product_id, campaign_id, "
+         "CAST(least(greatest(SUM(orders), 0), 20) AS BIGINT) AS orders FROM fact GROUP BY date_block_num, product_id, campaign_id")(
+    lambda spark, sf: P.block_item_sales(TD.fact(spark, sf)).withColumn(
+        "orders", FN.clip("orders", 0, 20).cast("bigint")))
+
+register("split_by_month", BASE + f"""SELECT date_block_num, campaign_id, product_id, item_cnt_month,
+  CASE WHEN date_block_num < {VM} THEN 'train' WHEN date_block_num = {VM} THEN 'valid' ELSE 'test' END AS split
+FROM cells WHERE date_block_num <= {TM}""")(
+    lambda spark, sf: P.build_cells(TD.fact(spark, sf)).select(*KEY, TARGET, C.split_label(SPEC).alias("split"))
+                      .filter(F.col("split").isNotNull()))
+
+register("filter_campaign", RSQL(f"SELECT date_block_num, campaign_id, product_id, item_cnt_month_forecast, "
+                                 f"item_cnt_month, {JITTER_SQL} AS target FROM rows WHERE campaign_id = 1"))(
+    lambda spark, sf: R.filter_campaign(R.forecast_vs_actual(report_rows(spark, sf)), 1))
+
+VOLUME_SQL = """CASE WHEN order_ctn_month < 100 THEN 'lt_100' WHEN order_ctn_month < 500 THEN '100_to_500'
+  ELSE 'ge_500' END"""
+PRODUCT_ROLLUP = """prod AS (SELECT product_id, CAST(SUM(item_cnt_month) AS BIGINT) AS order_ctn_month FROM rows
+  GROUP BY product_id)"""
+
+register("volume_bands", RSQL(f"SELECT product_id, order_ctn_month, {VOLUME_SQL} AS volume_band FROM prod",
+                              PRODUCT_ROLLUP))(
+    lambda spark, sf: R.volume_bands(P.product_rollup(report_rows(spark, sf))))
+
+register("negative_profit", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_ROWS, ROLLUP, O.MARKETING, NET)
+         + "SELECT Marketing_Cost_Day, campaign_id, CAST(salary_month_sum AS DOUBLE) AS salary_month_sum, "
+           "profit_month FROM net WHERE profit_month < 0")(
+    lambda spark, sf: _out_money(R.negative_profit(net_profit_df(spark, sf))))
+
+register("salary_tiers", RSQL("SELECT date_block_num, campaign_id, product_id, item_cnt_month, "
+                              "CAST(profit_month AS DOUBLE) AS profit_month, CAST(salary AS DOUBLE) AS salary FROM srows",
+                              SAL_ROWS))(
+    lambda spark, sf: _out_money(salary_rows(spark, sf).select(*KEY, TARGET, "profit_month", "salary")))
+
+register("target_jitter", RSQL(f"SELECT date_block_num, campaign_id, product_id, item_cnt_month, "
+                               f"{JITTER_SQL} AS target FROM rows"))(
+    lambda spark, sf: report_rows(spark, sf).select(*KEY, TARGET, FN.target_jitter(list(KEY), TARGET).alias("target")))
+
+# --- 2.3 joins -------------------------------------------------------------------------
+
+register("join_items", BASE + "SELECT date_block_num, campaign_id, product_id, name, short_description, "
+         "categories_id, categories_name FROM matrix")(
+    lambda spark, sf: P.join_items(P.build_cells(TD.fact(spark, sf)), TD.items(spark, sf)).select(
+        *KEY, "name", "short_description", "categories_id", "categories_name"))
+
+register("join_group_features", fsql(
+    "SELECT m.date_block_num, m.campaign_id, m.product_id, g.product_avg_sale_last_6, g.product_std_sale_last_6, "
+    "g.product_avg_sale_last_12, g.product_std_sale_last_12 FROM matrix m LEFT JOIN gs_product g "
+    "ON g.date_block_num = m.date_block_num AND g.product_id = m.product_id"))(
+    lambda spark, sf: T.add_group_stats(P.build_cells(TD.fact(spark, sf)), ["product_id"], TARGET, "product", (6, 12))
+                       .select(*KEY, "product_avg_sale_last_6", "product_std_sale_last_6",
+                               "product_avg_sale_last_12", "product_std_sale_last_12"))
+
+register("asof_last_sale", fsql("SELECT date_block_num, campaign_id, product_id, item_campaign_last_sale, "
+                                "item_last_sale FROM rec"))(
+    lambda spark, sf: T.add_sales_features(P.build_cells(TD.fact(spark, sf)))
+                       .select(*KEY, "item_campaign_last_sale", "item_last_sale"))
+
+register("join_marketing", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_ROWS, ROLLUP, O.MARKETING) +
+         """SELECT k.Marketing_Cost_Day, r.campaign_id, CAST(r.profit_month_sum AS DOUBLE) AS profit_month_sum,
+  CAST(r.salary_month_sum AS DOUBLE) AS salary_month_sum FROM marketing k LEFT JOIN rollup r ON k.ID = r.campaign_id""")(
+    lambda spark, sf: _out_money(TD.marketing(spark, sf).join(
+        campaign_rollup_df(spark, sf), F.col("ID") == F.col("campaign_id"), "left").drop("ID")))
+
+register("attach_forecast", RSQL("SELECT date_block_num, campaign_id, product_id, item_cnt_month, "
+                                 "item_cnt_month_forecast FROM rows"))(
+    lambda spark, sf: R.attach_forecast(
+        report_rows(spark, sf).select(*KEY, TARGET),
+        report_rows(spark, sf).select(*KEY, F.col(R.FORECAST).alias("prediction"))))
+
+# --- 2.4 aggregations ---------------------------------------------------------------
+
+register("orders_by_month", O.with_ctes(O.FACT) +
+         "SELECT date_block_num, CAST(SUM(orders) AS BIGINT) AS orders FROM fact GROUP BY date_block_num")(
+    lambda spark, sf: P.orders_by_month(TD.fact(spark, sf)))
+
+register("block_item_sales", O.with_ctes(O.FACT) + "SELECT date_block_num, product_id, campaign_id, "
+         "CAST(SUM(orders) AS BIGINT) AS orders FROM fact GROUP BY date_block_num, product_id, campaign_id")(
+    lambda spark, sf: P.block_item_sales(TD.fact(spark, sf)))
+
+register("sales_histogram", O.with_ctes(O.FACT) + """, v AS (
+  SELECT CAST(least(greatest(SUM(orders), 0), 20) AS DOUBLE) AS v FROM fact GROUP BY date_block_num, product_id, campaign_id),
+rng AS (SELECT CASE WHEN min(v) = max(v) THEN min(v) - 0.5 ELSE min(v) END AS mn,
+               CASE WHEN min(v) = max(v) THEN max(v) + 0.5 ELSE max(v) END AS mx FROM v),
+cnt AS (SELECT CAST(least(19, floor((v - mn) * 20 / (mx - mn))) AS INT) AS bin, COUNT(*) AS count FROM v, rng GROUP BY 1),
+grid AS (SELECT CAST(range AS INT) AS bin FROM range(20))
+SELECT g.bin, mn + (mx - mn) * g.bin / 20 AS bin_lo, mn + (mx - mn) * (g.bin + 1) / 20 AS bin_hi,
+       COALESCE(c.count, 0) AS count
+FROM grid g CROSS JOIN rng LEFT JOIN cnt c ON c.bin = g.bin""")(
+    lambda spark, sf: P.sales_histogram(P.block_item_sales(TD.fact(spark, sf)), "orders", 20, 0, 20))
+
+register("item_mean_price", O.with_ctes(O.FACT) + "SELECT product_id, CAST(SUM(price) AS DOUBLE) / COUNT(price) "
+         "AS item_avg_item_price FROM fact GROUP BY product_id")(
+    lambda spark, sf: P.item_mean_price(TD.fact(spark, sf)))
+
+register("month_item_mean_price", O.with_ctes(O.FACT) + "SELECT date_block_num, product_id, CAST(SUM(price) AS DOUBLE)"
+         " / COUNT(price) AS date_item_avg_item_price FROM fact GROUP BY date_block_num, product_id")(
+    lambda spark, sf: P.month_item_mean_price(TD.fact(spark, sf)))
+
+register("campaign_month_revenue", O.with_ctes(O.FACT) + "SELECT date_block_num, campaign_id, "
+         "CAST(SUM(price - purchase_price) AS DOUBLE) AS date_campaign_revenue FROM fact GROUP BY date_block_num, campaign_id")(
+    lambda spark, sf: _money(P.campaign_month_revenue(TD.fact(spark, sf)), "date_campaign_revenue"))
+
+register("campaign_mean_revenue", O.with_ctes(O.FACT) + """, cr AS (SELECT date_block_num, campaign_id,
+  SUM(price - purchase_price) AS rev FROM fact GROUP BY date_block_num, campaign_id)
+SELECT campaign_id, CAST(SUM(rev) AS DOUBLE) / COUNT(*) AS campaign_avg_revenue FROM cr GROUP BY campaign_id""")(
+    lambda spark, sf: P.campaign_mean_revenue(P.campaign_month_revenue(TD.fact(spark, sf))))
+
+VC_COLS = ("date_block_num", "campaign_id", "product_id", "item_cnt_month")
+register("value_counts", BASE + "SELECT column_name, value, COUNT(*) AS count FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM cells" for c in VC_COLS)
+    + ") WHERE value IS NOT NULL GROUP BY column_name, value")(
+    lambda spark, sf: PR.value_counts(P.build_cells(TD.fact(spark, sf)), VC_COLS))
+
+
+def _profile_sql():
+    from demandcast.plans.features import feature_columns
+    cols = feature_columns(SPEC)
+    parts = [f"SELECT '{c}' AS column_name, {i} AS ordinal, COUNT({c}) AS non_null_count, "
+             f"COUNT(*) - COUNT({c}) AS null_count FROM features" for i, c in enumerate(cols)]
+    return fsql(" UNION ALL ".join(parts))
+
+
+register("table_profile", _profile_sql())(
+    lambda spark, sf: PR.table_profile(features(spark, sf)).drop("data_type"))
+
+
+def _nonfinite_sql():
+    from demandcast.plans.features import feature_columns
+    cols = feature_columns(SPEC)
+    parts = [f"SELECT '{c}' AS column_name, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS nonfinite_count FROM features"
+             for c in cols]
+    return fsql("SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE nonfinite_count > 0")
+
+
+register("nonfinite_cells", _nonfinite_sql())(lambda spark, sf: PR.nonfinite_counts(features(spark, sf)))
+
+register("product_rollup", RSQL("SELECT * FROM prod", PRODUCT_ROLLUP))(
+    lambda spark, sf: P.product_rollup(report_rows(spark, sf)))
+
+register("campaign_rollup", RSQL("SELECT campaign_id, CAST(profit_month_sum AS DOUBLE) AS profit_month_sum, "
+                                 "CAST(salary_month_sum AS DOUBLE) AS salary_month_sum FROM rollup", SAL_ROWS, ROLLUP))(
+    lambda spark, sf: _out_money(campaign_rollup_df(spark, sf)))
+
+register("total_orders", RSQL("SELECT CAST(SUM(order_ctn_month) AS BIGINT) AS total_orders FROM prod", PRODUCT_ROLLUP))(
+    lambda spark, sf: P.total(P.product_rollup(report_rows(spark, sf)), "order_ctn_month", "total_orders")
+                       .select(F.col("total_orders").cast("bigint")))
+
+register("campaign_net_profit", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_ROWS, ROLLUP, O.MARKETING, NET)
+         + "SELECT Marketing_Cost_Day, campaign_id, CAST(salary_month_sum AS DOUBLE) AS salary_month_sum, "
+           "profit_month FROM net")(
+    lambda spark, sf: _out_money(net_profit_df(spark, sf)))
+
+
+@register("pnl_total", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_ROWS, ROLLUP, O.MARKETING, NET, O.COSTS,
+                                   PRODUCT_ROLLUP)
+          + """SELECT round((SELECT SUM(profit_month) FROM net) - (SELECT CAST(SUM(cost) AS DOUBLE) FROM costs)
+       - 1000 * (SELECT CAST(SUM(order_ctn_month) AS DOUBLE) FROM prod)
+       - (SELECT CAST(SUM(salary_month_sum) AS DOUBLE) FROM net), 4) AS total_profit""")
+def q_pnl_total(spark, sf):
+    net = net_profit_df(spark, sf)
+    tot = P.total(P.product_rollup(report_rows(spark, sf)), "order_ctn_month", "total_orders")
+    out = P.pnl_total(net, TD.costs(spark, sf), tot, 1000)
+    return out.select(F.round("total_profit", 4).alias("total_profit"))
+
+
+# --- 2.5 windows ------------------------------------------------------------------------
+
+def _cells(spark, sf):
+    return P.build_cells(TD.fact(spark, sf))
+
+
+register("last_sale_pair", fsql("SELECT date_block_num, campaign_id, product_id, item_campaign_last_sale FROM rec"))(
+    lambda spark, sf: _cells(spark, sf).select(*KEY, T.last_sale(TARGET).alias("item_campaign_last_sale")))
+
+register("last_sale_item", fsql("SELECT date_block_num, campaign_id, product_id, item_last_sale FROM rec"))(
+    lambda spark, sf: P.join_back(_cells(spark, sf), T.product_month_recency(_cells(spark, sf)),
+                                  ["product_id", MONTH]).select(*KEY, "item_last_sale"))
+
+register("first_sale_pair", fsql("SELECT date_block_num, campaign_id, product_id, item_campaign_first_sale FROM rec"))(
+    lambda spark, sf: _cells(spark, sf).select(*KEY, T.first_sale().alias("item_campaign_first_sale")))
+
+register("first_sale_item", fsql("SELECT date_block_num, campaign_id, product_id, item_first_sale FROM rec"))(
+    lambda spark, sf: P.join_back(_cells(spark, sf), T.product_month_recency(_cells(spark, sf)),
+                                  ["product_id", MONTH]).select(*KEY, "item_first_sale"))
+
+
+@register("row_position", BASE + "SELECT date_block_num, campaign_id, product_id, item_cnt_month, "
+          "CAST(ROW_NUMBER() OVER (ORDER BY date_block_num, campaign_id, product_id) - 1 AS BIGINT) AS ID FROM cells")
+def q_row_position(spark, sf):
+    return C.row_position(_cells(spark, sf).select(*KEY, TARGET), list(KEY), "ID")
+
+
+STAT_COLS = [f"{prefix}_{kind}_sale_last_{p}" for _, prefix, periods in SPEC.group_stats
+             for p in periods for kind in ("avg", "std")]
+register("group_trailing_avg", fsql("SELECT date_block_num, campaign_id, product_id, "
+                                    + ", ".join(c for c in STAT_COLS if "_avg_" in c) + " FROM features"))(
+    lambda spark, sf: features(spark, sf).select(*KEY, *[c for c in STAT_COLS if "_avg_" in c]))
+
+register("group_trailing_std", fsql("SELECT date_block_num, campaign_id, product_id, "
+                                    + ", ".join(c for c in STAT_COLS if "_std_" in c) + " FROM features"))(
+    lambda spark, sf: features(spark, sf).select(*KEY, *[c for c in STAT_COLS if "_std_" in c]))
+
+register("normalise_by_mean", fsql("SELECT * FROM gs_category"))(
+    lambda spark, sf: T.group_trailing_stats(P.join_items(_cells(spark, sf), TD.items(spark, sf)),
+                                             ["categories_id"], TARGET, "category", (12,)))
+
+TE_COLS = [f"{name}_lag_{i}" for _, name, lags in SPEC.encodings for i in lags]
+register("target_encoding", fsql("SELECT date_block_num, campaign_id, product_id, " + ", ".join(TE_COLS)
+                                 + " FROM features"))(
+    lambda spark, sf: features(spark, sf).select(*KEY, *TE_COLS))
+
+
+def _price_lags(spark, sf):
+    cells = _cells(spark, sf)
+    k_max = max(SPEC.price_lags)
+    pm = T.product_month_prices(cells, k_max)
+    j = P.join_back(cells, pm, ["product_id", MONTH]).withColumn("__j", T.within_cell_index())
+    return j, k_max
+
+
+@register("price_row_lags", O.with_ctes(*FEATS) + "SELECT date_block_num, campaign_id, product_id, "
+          + ", ".join(f"l{k} AS date_item_avg_item_price_lag_{k}" for k in SPEC.price_lags) + " FROM pr")
+def q_price_row_lags(spark, sf):
+    j, k_max = _price_lags(spark, sf)
+    return j.select(*KEY, *[T.price_row_lag(k, k_max).alias(f"date_item_avg_item_price_lag_{k}")
+                            for k in SPEC.price_lags])
+
+
+register("delta_price_lag", fsql("SELECT date_block_num, campaign_id, product_id, delta_price_lag FROM prt"))(
+    lambda spark, sf: T.create_revenue_features(_cells(spark, sf), SPEC.price_lags).select(*KEY, "delta_price_lag"))
+
+register("delta_revenue_lag", fsql("SELECT date_block_num, campaign_id, product_id, delta_revenue_lag_1 FROM features"))(
+    lambda spark, sf: T.create_campaign_revenue_features(_cells(spark, sf)).select(*KEY, "delta_revenue_lag_1"))
+
+SEASONAL_SERIES = """ser AS (SELECT campaign_id, date_block_num, CAST(SUM(orders) AS BIGINT) AS orders FROM fact
+  GROUP BY campaign_id, date_block_num)"""
+
+
+def _seasonal_sql(keys: str, src: str, tail: str) -> str:
+    part = f"PARTITION BY {keys}" if keys else ""
+    pk = f"{keys}, " if keys else ""
+    on = " AND ".join([f"p.{k.strip()} = t.{k.strip()}" for k in keys.split(",")] if keys else ["TRUE"])
+    return O.with_ctes(O.FACT, src) + f""", b AS (
+  SELECT {pk}date_block_num, CAST(orders AS DOUBLE) AS observed,
+         ROW_NUMBER() OVER ({part} ORDER BY date_block_num) - 1 AS pos,
+         COUNT(*) OVER ({part}) AS nobs, MIN(CAST(orders AS DOUBLE)) OVER ({part}) AS mn,
+         CASE WHEN COUNT(orders) OVER ({part} ORDER BY date_block_num ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) = 7
+              THEN AVG(orders) OVER ({part} ORDER BY date_block_num ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) END AS tr
+  FROM ser),
+t AS (SELECT *, CASE WHEN nobs >= 14 AND mn > 0 THEN tr END AS trend, pos % 7 AS phase FROM b),
+ph AS (SELECT {pk}phase, AVG(observed / trend) AS pm FROM t WHERE trend IS NOT NULL GROUP BY {pk}phase),
+phn AS (SELECT {pk}phase, round(pm / AVG(pm) OVER ({part}), 9) AS s FROM ph),
+d AS (SELECT t.*, CASE WHEN nobs >= 14 AND mn > 0 THEN p.s END AS seasonal FROM t LEFT JOIN phn p
+      ON {on.replace('TRUE', '1=1')} AND p.phase = t.phase)
+SELECT {tail} FROM d"""
+
+
+register("seasonal_trend", _seasonal_sql("", """ser AS (SELECT date_block_num, CAST(SUM(orders) AS BIGINT) AS orders
+  FROM fact GROUP BY date_block_num)""",
+    "date_block_num, observed, trend, seasonal, observed / NULLIF(seasonal, 0) / NULLIF(trend, 0) AS resid"))(
+    lambda spark, sf: S.decompose(P.orders_by_month(TD.fact(spark, sf)), "orders", (), 7))
+
+register("seasonal_index", _seasonal_sql("campaign_id", SEASONAL_SERIES, "campaign_id, date_block_num, seasonal"))(
+    lambda spark, sf: S.decompose(_campaign_series(spark, sf), "orders", ["campaign_id"], 7)
+                       .select("campaign_id", MONTH, "seasonal"))
+
+register("seasonal_residual", _seasonal_sql("campaign_id", SEASONAL_SERIES,
+    "campaign_id, date_block_num, observed, trend, seasonal, observed / NULLIF(seasonal, 0) / NULLIF(trend, 0) AS resid"))(
+    lambda spark, sf: S.decompose(_campaign_series(spark, sf), "orders", ["campaign_id"], 7))
+
+
+def _campaign_series(spark, sf):
+    return (TD.fact(spark, sf).groupBy("campaign_id", MONTH)
+              .agg(F.sum("orders").cast("bigint").alias("orders")))
+
+
+# --- 2.6 / 2.7 sorts, limits, sets ---------------------------------------------------------
+
+register("sort_matrix", BASE + "SELECT * REPLACE (CAST(profit_month AS DOUBLE) AS profit_month) FROM matrix "
+         "ORDER BY date_block_num, campaign_id, product_id")(
+    lambda spark, sf: P.sort_matrix(_money(matrix(spark, sf), "profit_month")))
+
+register("head", BASE + "SELECT * REPLACE (CAST(profit_month AS DOUBLE) AS profit_month) FROM matrix "
+         "ORDER BY date_block_num, campaign_id, product_id LIMIT 5")(
+    lambda spark, sf: P.head(_money(matrix(spark, sf), "profit_month"), 5))
+
+
+@register("union_all", BASE + f"""SELECT date_block_num, campaign_id, product_id, item_cnt_month,
+  CASE WHEN date_block_num < {VM} THEN 'train' WHEN date_block_num = {VM} THEN 'valid' ELSE 'test' END AS split
+FROM cells WHERE date_block_num <= {TM}""")
+def q_union_all(spark, sf):
+    cells = _cells(spark, sf).select(*KEY, TARGET)
+    parts = C.split_by_month(cells, SPEC)
+    return P.union_all(*[df.withColumn("split", F.lit(name)) for name, df in parts.items()])
+
+
+# --- 2.8 scalar functions and cleaning -----------------------------------------------------
+
+LABEL_SQL = ", ".join(f"CAST(DENSE_RANK() OVER (ORDER BY {c} NULLS LAST) - 1 AS INT) AS {c}"
+                      for c in SPEC.label_columns)
+register("label_encode", BASE + f"SELECT date_block_num, campaign_id, product_id, {LABEL_SQL} FROM matrix")(
+    lambda spark, sf: C.label_encode(matrix(spark, sf), SPEC.label_columns)
+                       .select(*KEY, *SPEC.label_columns))
+
+
+def _float_feature_cols():
+    return ["delta_price_lag", "delta_revenue_lag_1"] + STAT_COLS + TE_COLS
+
+
+register("inf_to_null", fsql("SELECT date_block_num, campaign_id, product_id, "
+                             + ", ".join(f"CASE WHEN isnan({c}) OR isinf({c}) THEN NULL ELSE {c} END AS {c}"
+                                         for c in _float_feature_cols()) + " FROM features"))(
+    lambda spark, sf: C.inf_to_null(features(spark, sf).select(*KEY, *_float_feature_cols())))
+
+
+def _clean_sql():
+    from demandcast.plans.features import feature_columns
+    cols = [c for c in feature_columns(SPEC) if c not in SPEC.drop_before_clean]
+    lab = {c: f"CAST(DENSE_RANK() OVER (ORDER BY {c} NULLS LAST) - 1 AS INT)" for c in SPEC.label_columns}
+    sel1 = [f"{lab[c]} AS {c}" if c in lab else c for c in cols]
+    keep = set(KEY) | {TARGET}
+    sel2 = []
+    for c in cols:
+        if c in keep:
+            sel2.append(c)
+        elif c in lab:
+            sel2.append(f"CAST({c} AS DOUBLE) AS {c}")
+        else:
+            m = f"AVG({c}) OVER ()"
+            if c in _float_feature_cols():
+                m = f"round({m}, 9)"
+            sel2.append(f"COALESCE(CAST({c} AS DOUBLE), CAST({m} AS DOUBLE)) AS {c}")
+    return fsql(f"SELECT {', '.join(sel2)} FROM lab", f"lab AS (SELECT {', '.join(sel1)} FROM features)")
+
+
+register("mean_impute", _clean_sql())(
+    lambda spark, sf: C.clean_features(features(spark, sf), SPEC))
+
+LAG_COLS = [f"{TARGET}_lag_{i}" for i in SPEC.count_lags]
+register("zero_fill", fsql("SELECT date_block_num, campaign_id, product_id, "
+                           + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in LAG_COLS) + " FROM features"))(
+    lambda spark, sf: C.zero_fill(features(spark, sf).select(*KEY, *LAG_COLS), LAG_COLS))
+
+
+@register("coalesce_trend", O.with_ctes(*FEATS) + "SELECT date_block_num, campaign_id, product_id, "
+          + ", ".join(f"(l{k} - ap) / NULLIF(ap, 0) AS delta_price_lag_{k}" for k in SPEC.price_lags)
+          + ", COALESCE(" + ", ".join(f"(l{k} - ap) / NULLIF(ap, 0)" for k in SPEC.price_lags)
+          + ", 0.0) AS delta_price_lag FROM pr")
+def q_coalesce_trend(spark, sf):
+    j, k_max = _price_lags(spark, sf)
+    d = j.select(*KEY, *[FN.relative_change(T.price_row_lag(k, k_max), "item_avg_item_price")
+                         .alias(f"delta_price_lag_{k}") for k in SPEC.price_lags])
+    return d.withColumn("delta_price_lag", C.coalesce_trend([f"delta_price_lag_{k}" for k in SPEC.price_lags]))
+
+
+register("cast_float", fsql("SELECT date_block_num, campaign_id, product_id, "
+                            + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in LAG_COLS) + " FROM features"))(
+    lambda spark, sf: C.cast_float(features(spark, sf).select(*KEY, *LAG_COLS), LAG_COLS))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.functions.columns import month_index
+from demandcast.functions.columns import month_index, month_range
 
 FIXTURE_BASE_YEAR = 1995
 # Fixed values of the fixture: product ids left out of the item table.
@@ -28,8 +28,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact(spark: SparkSession, sf_dir: str, base_year: int = FIXTURE_BASE_YEAR) -> DataFrame:
+def fact(spark: SparkSession, sf_dir: str, base_year: int = FIXTURE_BASE_YEAR,
+         months: tuple[int, int] | None = None) -> DataFrame:
+    """Order lines; ``months=(lo, hi)`` keeps months lo..hi with a filter pushed into the scan."""
     li = _read(spark, sf_dir, "lineitem")
+    if months is not None:
+        li = li.filter(month_range("l_shipdate", base_year, *months))
     part = _read(spark, sf_dir, "part").select("p_partkey", "p_size")
     sup = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
