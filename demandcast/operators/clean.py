@@ -140,9 +140,15 @@ def split_by_month(df: DataFrame, spec: FactSpec) -> dict[str, DataFrame]:
             "test": df.filter(m == spec.test_month)}
 
 
-def clean_features(features: DataFrame, spec: FactSpec, fit_before: int | None = None) -> DataFrame:
-    """The cleaning stage: drop helper columns, label-encode, non-finite -> NULL -> mean."""
-    df = features.drop(*spec.drop_before_clean)
+def clean_features(features: DataFrame, spec: FactSpec, fit_before: int | None = None,
+                   how: str = "checkpoint") -> DataFrame:
+    """The cleaning stage: drop helper columns, label-encode, non-finite -> NULL -> mean.
+
+    The input is materialised first (where the original pickles its feature
+    table): label codes, column means and the output all read it, instead of
+    each re-running the feature chain.
+    """
+    df = materialize(features.drop(*spec.drop_before_clean), how)
     df = label_encode(df, spec.label_columns)
     df = inf_to_null(df)
     fit = df.filter(F.col(MONTH) < fit_before) if fit_before is not None else None

@@ -126,6 +126,25 @@ def join_back_checked(df: DataFrame, agg: DataFrame, keys: Sequence[str]) -> Dat
     return df.join(F.broadcast(agg) if small else agg, list(keys), "left")
 
 
+def group_row_estimates(df: DataFrame, groupings: dict, rsd: float = 0.02) -> dict:
+    """Estimated row counts of several group-by results of ``df`` in ONE job.
+
+    ``groupings`` maps a name to its key columns; each estimate is an
+    ``approx_count_distinct`` (HyperLogLog, relative error ``rsd``) of the key
+    tuple, so the size checks of many joins cost one pass over ``df``.
+    """
+    aggs = [F.approx_count_distinct(F.struct(*keys), rsd).alias(name) for name, keys in groupings.items()]
+    return df.agg(*aggs).first().asDict()
+
+
+def join_back_sized(df: DataFrame, agg: DataFrame, keys: Sequence[str], est_rows: int,
+                    margin: float = 1.25) -> DataFrame:
+    """LEFT JOIN, broadcasting ``agg`` only when ``est_rows`` (with a margin for the
+    estimate's error) fits the broadcast threshold; a shuffle join otherwise."""
+    small = est_rows * margin <= broadcast_budget_rows(agg)
+    return df.join(F.broadcast(agg) if small else agg, list(keys), "left")
+
+
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Cross join with a 1-row aggregate (size proven: exactly one row)."""
     return df.crossJoin(F.broadcast(one_row))

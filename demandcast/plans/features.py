@@ -25,7 +25,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.operators.panel import build_cells, join_back, join_back_checked, join_items, materialize
+from demandcast.operators.panel import (
+    build_cells, group_row_estimates, join_back, join_back_sized, join_items, materialize,
+)
 from demandcast.operators.temporal import (
     UNBOUNDED, first_sale, last_sale, lag_columns, month_window, normalise,
     price_trend_columns, trailing_stat_columns, within_cell_index,
@@ -141,17 +143,26 @@ def feature_matrix(lines: DataFrame, items: DataFrame, spec: FactSpec = FactSpec
     # one scan of the raw lines and of the item table; everything else reads this
     panel = materialize(join_items(build_cells(lines), items), materialize_panel)
 
+    # size of every group table, estimated in one pass, decides broadcast vs shuffle join
+    groupings = {"pm": ["product_id", MONTH], "cm": ["campaign_id", MONTH]}
+    extra = [tuple(k) for k, _, _ in spec.group_stats] + [tuple(k) for k, _, _ in spec.encodings if k]
+    for keys in extra:
+        if keys not in (("product_id",), ("campaign_id",)):
+            groupings["_".join(keys)] = [MONTH, *keys]
+    est = group_row_estimates(panel, groupings)
+
     x = panel
-    x = join_back_checked(x, product_month_table(panel, spec), ["product_id", MONTH])
-    x = join_back_checked(x, campaign_month_table(panel, spec), ["campaign_id", MONTH])
+    x = join_back_sized(x, product_month_table(panel, spec), ["product_id", MONTH], est["pm"])
+    x = join_back_sized(x, campaign_month_table(panel, spec), ["campaign_id", MONTH], est["cm"])
     for keys, prefix, periods in spec.group_stats:
         if tuple(keys) not in (("product_id",), ("campaign_id",)):
-            x = join_back_checked(x, keyed_stats_table(panel, tuple(keys), prefix, periods), [MONTH, *keys])
+            x = join_back_sized(x, keyed_stats_table(panel, tuple(keys), prefix, periods), [MONTH, *keys],
+                                est["_".join(keys)])
     for keys, name, _ in spec.encodings:
         if not keys:   # one row per month: proven small
             x = join_back(x, encoding_table(panel, (), name), [MONTH], bounded=True)
         elif tuple(keys) not in (("product_id",), ("campaign_id",)):
-            x = join_back_checked(x, encoding_table(panel, tuple(keys), name), [MONTH, *keys])
+            x = join_back_sized(x, encoding_table(panel, tuple(keys), name), [MONTH, *keys], est["_".join(keys)])
 
     # price row lags (R3) need the row's index inside its (product, month) cell
     x = x.withColumn("__j", within_cell_index())

@@ -592,6 +592,174 @@ register("cast_float", fsql("SELECT date_block_num, campaign_id, product_id, "
     lambda spark, sf: C.cast_float(features(spark, sf).select(*KEY, *LAG_COLS), LAG_COLS))
 
 
+# --- 2.9 modelling ---------------------------------------------------------------------------
+# Fitted stages are memoised per (session, data dir) so the keys below share one
+# prepared table and one set of fold fits instead of refitting per key.
+
+from demandcast.operators import learn as L  # noqa: E402
+from demandcast.plans import forecast as FC  # noqa: E402
+
+_MEMO: dict = {}
+
+
+def _memo(spark, sf, name, fn):
+    key = (id(spark), spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        _MEMO[key] = fn()
+    return _MEMO[key]
+
+
+def prepared(spark, sf):
+    return _memo(spark, sf, "prepared", lambda: FC.prepared_table(*TD.inputs(spark, sf), SPEC))
+
+
+def preds_a(spark, sf):
+    return _memo(spark, sf, "preds_a", lambda: L.kfold_predictions(prepared(spark, sf), L.BOOSTER_A_FIXED, SPEC,
+                                                                   5, "lgb", True, 2))
+
+
+def preds_b(spark, sf):
+    return _memo(spark, sf, "preds_b", lambda: L.kfold_predictions(prepared(spark, sf), L.BOOSTER_B_FIXED, SPEC,
+                                                                   5, "xgb", True, 2))
+
+
+def level2(spark, sf):
+    return L.stack_level2(preds_a(spark, sf), preds_b(spark, sf))
+
+
+def stacked(spark, sf):
+    return _memo(spark, sf, "stacked", lambda: FC.stacked_forecast(prepared(spark, sf), SPEC, level2(spark, sf)))
+
+
+register("assemble_features")(lambda spark, sf: prepared(spark, sf))
+
+register("booster_a")(lambda spark, sf: L.fit_predict(prepared(spark, sf), L.BOOSTER_A_FIXED, SPEC, "lgb"))
+
+register("booster_b")(lambda spark, sf: L.fit_predict(prepared(spark, sf), L.BOOSTER_B_FIXED, SPEC, "xgb"))
+
+register("early_stop")(lambda spark, sf: L.fit_predict(prepared(spark, sf), L.BOOSTER_B_FIXED, SPEC, "xgb",
+                                                       early_stop=True))
+
+
+@register("categorical_features", fsql(
+    f"SELECT 'categories_name' AS column_name, CAST(MAX(code) + 1 AS INT) AS num_vals FROM ("
+    f"SELECT DENSE_RANK() OVER (ORDER BY categories_name NULLS LAST) - 1 AS code FROM features "
+    f"WHERE date_block_num <= {TM})"))
+def q_categorical_features(spark, sf):
+    """Categorical columns and their number of values, as declared to the trees."""
+    import json
+    p = prepared(spark, sf)
+    attrs = json.loads(p.schema[L.FEATURES].json())["metadata"].get("ml_attr", {}).get("attrs", {})
+    nominal = [(a["name"], len(a.get("vals", [])) or a.get("num_vals")) for a in attrs.get("nominal", [])]
+    rows = [{"column_name": n, "num_vals": int(v)} for n, v in nominal]
+    schema = "column_name string, num_vals int"
+    return spark.createDataFrame(rows, schema) if rows else spark.createDataFrame([], schema)
+
+
+register("kfold_assign", BASE + f"SELECT date_block_num, campaign_id, product_id, {FOLD_SQL} AS fold FROM cells "
+         f"WHERE date_block_num < {VM}")(
+    lambda spark, sf: L.with_folds(_cells(spark, sf).filter(F.col(MONTH) < VM).select(*KEY)))
+
+register("kfold_ensemble")(lambda spark, sf: preds_a(spark, sf))
+
+register("stack_level2")(lambda spark, sf: level2(spark, sf))
+
+register("stack_meta")(lambda spark, sf: stacked(spark, sf).final)
+
+
+def _valid_forecasts(spark, sf):
+    """Validation-month rows with the two SQL-expressible forecasts (lag 1, trailing 6-month mean)."""
+    cells = T.lag_feature(P.build_cells(TD.fact(spark, sf, months=(VM - 6, VM))), [1], TARGET)
+    return (cells.select(*KEY, TARGET, R.lag1_forecast(cells).alias("lag_1"),
+                         R.trailing_mean_forecast(cells, 6).alias("mean_6"))
+                 .filter(F.col(MONTH) == VM))
+
+
+VALID_FC = f"""vf AS (SELECT m.date_block_num, m.campaign_id, m.product_id, m.item_cnt_month,
+  CAST(COALESCE(l.item_cnt_month, 0) AS DOUBLE) AS lag_1,
+  CAST(COALESCE((SELECT SUM(h.item_cnt_month) FROM cells h WHERE h.campaign_id = m.campaign_id
+       AND h.product_id = m.product_id AND h.date_block_num BETWEEN m.date_block_num - 6 AND m.date_block_num - 1), 0)
+       AS DOUBLE) / 6 AS mean_6
+FROM cells m LEFT JOIN cells l ON l.campaign_id = m.campaign_id AND l.product_id = m.product_id
+     AND l.date_block_num = m.date_block_num - 1
+WHERE m.date_block_num = {VM})"""
+
+
+@register("rmse", O.with_ctes(O.FACT, O.CELLS, VALID_FC) +
+          "SELECT round(sqrt(avg((item_cnt_month - lag_1) * (item_cnt_month - lag_1))), 9) AS rmse_lag_1, "
+          "round(sqrt(avg((item_cnt_month - mean_6) * (item_cnt_month - mean_6))), 9) AS rmse_mean_6 FROM vf")
+def q_rmse(spark, sf):
+    v = _valid_forecasts(spark, sf)
+    a = R.rmse(v, TARGET, "lag_1").select(F.round("rmse", 9).alias("rmse_lag_1"))
+    b = R.rmse(v, TARGET, "mean_6").select(F.round("rmse", 9).alias("rmse_mean_6"))
+    return a.crossJoin(b)
+
+
+@register("blend_alpha", O.with_ctes(O.FACT, O.CELLS, VALID_FC) + """, grid AS (SELECT range * 0.02 AS alpha FROM range(50)),
+scored AS (SELECT g.alpha, sqrt(avg(power(v.item_cnt_month - (g.alpha * v.lag_1 + (1 - g.alpha) * v.mean_6), 2))) AS rmse
+  FROM grid g, vf v GROUP BY g.alpha)
+SELECT alpha, round(rmse, 6) AS rmse FROM scored ORDER BY rmse, alpha LIMIT 1""")
+def q_blend_alpha(spark, sf):
+    b = R.blend_alpha(_valid_forecasts(spark, sf), TARGET, "lag_1", "mean_6")
+    return b.select("alpha", F.round("rmse", 6).alias("rmse"))
+
+
+@register("blend_ols", O.with_ctes(O.FACT, O.CELLS, VALID_FC) + """, s AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n,
+  SUM(lag_1) AS sa, SUM(mean_6) AS sb, SUM(CAST(item_cnt_month AS DOUBLE)) AS sy, SUM(lag_1 * lag_1) AS saa,
+  SUM(lag_1 * mean_6) AS sab, SUM(mean_6 * mean_6) AS sbb, SUM(lag_1 * item_cnt_month) AS say,
+  SUM(mean_6 * item_cnt_month) AS sby FROM vf),
+d AS (SELECT *, n * (saa * sbb - sab * sab) - sa * (sa * sbb - sab * sb) + sb * (sa * sab - saa * sb) AS det FROM s)
+SELECT round((sy * (saa * sbb - sab * sab) - sa * (say * sbb - sab * sby) + sb * (say * sab - saa * sby)) / det, 6) AS intercept,
+       round((n * (say * sbb - sab * sby) - sy * (sa * sbb - sab * sb) + sb * (sa * sby - say * sb)) / det, 6) AS coef_1,
+       round((n * (saa * sby - say * sab) - sa * (sa * sby - say * sb) + sy * (sa * sab - saa * sb)) / det, 6) AS coef_2
+FROM d""")
+def q_blend_ols(spark, sf):
+    o = R.ols_two(_valid_forecasts(spark, sf), TARGET, "lag_1", "mean_6")
+    return o.select(*[F.round(c, 6).alias(c) for c in ("intercept", "coef_1", "coef_2")])
+
+
+register("blend_booster")(lambda spark, sf: L.stack_meta(level2(spark, sf), ["lgb", "xgb"], SPEC, {},
+                                                         "item_cnt_month_forecast"))
+
+
+CV_TRIALS = 3  # trials run by the registered query; the operator default is the original 100
+
+
+@register("cv_search")
+def q_cv_search(spark, sf):
+    best, scores = _memo(spark, sf, "cv", lambda: L.cv_search(
+        prepared(spark, sf), {k: v for k, v in L.SPACE_B.items() if k != "n_estimators"} | {"n_estimators": [10, 20]},
+        SPEC, trials=CV_TRIALS, k=5, parallelism=3))
+    draws = L.random_trials({k: v for k, v in L.SPACE_B.items() if k != "n_estimators"} | {"n_estimators": [10, 20]},
+                            CV_TRIALS, 42)
+    rows = [dict(trial=i, **{k: float(v) for k, v in d.items()}, mean_rmse=float(s))
+            for i, (d, s) in enumerate(zip(draws, scores))]
+    return spark.createDataFrame(rows)
+
+
+@register("tuned_stack")
+def q_tuned_stack(spark, sf):
+    q_cv_search(spark, sf)
+    key = (id(spark), spark.sparkContext.applicationId, sf, "cv")
+    best = _MEMO[key][0]
+    pb = L.kfold_predictions(prepared(spark, sf), best, SPEC, 5, "xgb", True, 2)
+    l2 = L.stack_level2(preds_a(spark, sf), pb)
+    return FC.stacked_forecast(prepared(spark, sf), SPEC, l2).final
+
+
+@register("stacked_forecast")
+def q_stacked_forecast(spark, sf):
+    fc = stacked(spark, sf)
+    rows = FC.forecast_rows(fc, SPEC)
+    return SK.write_forecast_csv(rows, SK.scratch_dir(rows, "stacked-submission"), ["campaign_id", "product_id"],
+                                 "item_cnt_month_forecast")
+
+
+register("forecast_vs_actual", RSQL(f"SELECT date_block_num, campaign_id, product_id, item_cnt_month_forecast, "
+                                    f"item_cnt_month, {JITTER_SQL} AS target FROM rows"))(
+    lambda spark, sf: R.forecast_vs_actual(report_rows(spark, sf)))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
