@@ -133,8 +133,28 @@ def group_row_estimates(df: DataFrame, groupings: dict, rsd: float = 0.02) -> di
     ``approx_count_distinct`` (HyperLogLog, relative error ``rsd``) of the key
     tuple, so the size checks of many joins cost one pass over ``df``.
     """
-    aggs = [F.approx_count_distinct(F.struct(*keys), rsd).alias(name) for name, keys in groupings.items()]
-    return df.agg(*aggs).first().asDict()
+    return df.agg(*size_metrics(groupings, rsd)).first().asDict()
+
+
+def size_metrics(groupings: dict, rsd: float = 0.02) -> list:
+    """``approx_count_distinct`` of each key tuple, usable in ``agg`` or ``observe``."""
+    return [F.approx_count_distinct(F.struct(*keys), rsd).alias(name) for name, keys in groupings.items()]
+
+
+def materialize_with_sizes(df: DataFrame, groupings: dict, how: str = "checkpoint") -> tuple[DataFrame, dict]:
+    """Materialise ``df`` and estimate the row counts of its group-bys.
+
+    With ``checkpoint`` the estimates are observed metrics of the checkpoint
+    job itself (``DataFrame.observe``): no extra pass.  Otherwise one
+    aggregate job over the materialised frame.
+    """
+    if how == "checkpoint":
+        from pyspark.sql import Observation
+        obs = Observation("group_sizes")
+        out = materialize(df.observe(obs, *size_metrics(groupings)), how)
+        return out, dict(obs.get)
+    out = materialize(df, how)
+    return out, group_row_estimates(out, groupings)
 
 
 def join_back_sized(df: DataFrame, agg: DataFrame, keys: Sequence[str], est_rows: int,

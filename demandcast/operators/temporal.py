@@ -172,22 +172,29 @@ def price_row_lag(k: int, k_max: int) -> Column:
     """Row lag ``k`` of the month price inside the product, in (month, campaign) order.
 
     Needs ``__j`` (0-based index of the row inside its (product, month) cell, by
-    campaign), ``__pr`` and ``__pr{t}``/``__rows{t}`` for previous months.
+    campaign), ``__pr`` and ``__pr{t}``/``__rows{t}`` for previous months: the
+    row ``k`` places back lies in the first previous month ``t`` whose
+    cumulative row count reaches ``k - __j``.  Built as one SQL CASE (a single
+    call to the JVM instead of one per sub-expression).
     """
-    back = F.lit(k) - F.col("__j")
-    expr = F.when(F.col("__j") >= F.lit(k), F.col("__pr"))
-    cum = None
+    return F.expr(price_row_lag_sql(k, k_max))
+
+
+def price_row_lag_sql(k: int, k_max: int) -> str:
+    whens = [f"WHEN __j >= {k} THEN __pr"]
+    cum = []
     for t in range(1, k_max + 1):
-        cum = F.col(f"__rows{t}") if cum is None else cum + F.col(f"__rows{t}")
-        expr = expr.when(back <= cum, F.col(f"__pr{t}"))
-    return expr
+        cum.append(f"__rows{t}")
+        whens.append(f"WHEN {k} - __j <= {' + '.join(cum)} THEN __pr{t}")
+    return "CASE " + " ".join(whens) + " END"
 
 
 def price_trend_columns(lags: Sequence[int]) -> Column:
     """First non-missing relative price change over lags 1..6, else 0."""
     k_max = max(lags)
-    deltas = [relative_change(price_row_lag(k, k_max), "item_avg_item_price") for k in lags]
-    return F.coalesce(*deltas, F.lit(0.0))
+    deltas = [f"try_divide(({price_row_lag_sql(k, k_max)}) - item_avg_item_price, item_avg_item_price)"
+              for k in lags]
+    return F.expr(f"coalesce({', '.join(deltas)}, 0.0D)")
 
 
 def within_cell_index() -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandcast.operators.panel import (
-    build_cells, group_row_estimates, join_back, join_back_sized, join_items, materialize,
+    build_cells, join_back, join_back_sized, join_items, materialize, materialize_with_sizes,
 )
 from demandcast.operators.temporal import (
     UNBOUNDED, first_sale, last_sale, lag_columns, month_window, normalise,
@@ -140,16 +140,15 @@ def encoding_table(panel: DataFrame, keys: tuple, name: str) -> DataFrame:
 
 def feature_matrix(lines: DataFrame, items: DataFrame, spec: FactSpec = FactSpec(),
                    materialize_panel: str = "checkpoint") -> DataFrame:
-    # one scan of the raw lines and of the item table; everything else reads this
-    panel = materialize(join_items(build_cells(lines), items), materialize_panel)
-
-    # size of every group table, estimated in one pass, decides broadcast vs shuffle join
+    # one scan of the raw lines and of the item table; everything else reads this.
+    # The row count of every group table, estimated while the panel is written,
+    # decides broadcast vs shuffle join for it.
     groupings = {"pm": ["product_id", MONTH], "cm": ["campaign_id", MONTH]}
     extra = [tuple(k) for k, _, _ in spec.group_stats] + [tuple(k) for k, _, _ in spec.encodings if k]
     for keys in extra:
         if keys not in (("product_id",), ("campaign_id",)):
             groupings["_".join(keys)] = [MONTH, *keys]
-    est = group_row_estimates(panel, groupings)
+    panel, est = materialize_with_sizes(join_items(build_cells(lines), items), groupings, materialize_panel)
 
     x = panel
     x = join_back_sized(x, product_month_table(panel, spec), ["product_id", MONTH], est["pm"])
@@ -189,13 +188,13 @@ def feature_matrix_chain(lines: DataFrame, items: DataFrame, spec: FactSpec = Fa
     Used by tests as a differential check of ``feature_matrix``'s fused plan.
     """
     from demandcast.operators import temporal as T
-    m = join_items(build_cells(lines), items)
+    m = materialize(join_items(build_cells(lines), items))
     m = T.lag_feature(m, spec.count_lags, TARGET)
     for keys, prefix, periods in spec.group_stats:
-        m = T.add_group_stats(m, list(keys), TARGET, prefix, periods)
+        m = materialize(T.add_group_stats(m, list(keys), TARGET, prefix, periods))
     for keys, name, lags in spec.encodings:
-        m = T.target_encoding(m, list(keys), TARGET, name, lags)
-    m = T.create_revenue_features(m, spec.price_lags)
+        m = materialize(T.target_encoding(m, list(keys), TARGET, name, lags))
+    m = materialize(T.create_revenue_features(m, spec.price_lags))
     m = T.create_campaign_revenue_features(m)
     m = T.add_sales_features(m, TARGET, spec.max_month)
     return m.select(*[F.col(c).cast("double").alias(c) if c == "profit_month" else F.col(c)
