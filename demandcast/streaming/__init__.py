@@ -1 +1 @@
-
+"""Streaming form of the monthly roll-up (see ``rollup``)."""

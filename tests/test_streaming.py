@@ -1,0 +1,30 @@
+"""The streaming roll-up equals the batch roll-up, also across several micro-batches."""
+
+import tempfile
+
+from pyspark.sql import functions as F
+
+from demandcast.operators.panel import build_cells
+from demandcast.sources import testdata as TD
+from demandcast.spec import KEY
+from demandcast.streaming import rollup as S
+
+from conftest import SF_SMALL
+
+
+def test_streaming_rollup_equals_batch(spark):
+    root = tempfile.mkdtemp(prefix="stream-test-")
+    # land the lines as three files of different months so the stream sees several batches
+    for i, (lo, hi) in enumerate([(0, 40), (40, 70), (70, 200)]):
+        part = TD.fact(spark, SF_SMALL).filter((F.col("date_block_num") > lo) & (F.col("date_block_num") <= hi))
+        part.select(*[f.name for f in S.LINE_SCHEMA.fields]).coalesce(1).write.parquet(f"{root}/src/part{i}")
+    src = S.stream_lines(spark, f"{root}/src/*", 1995, max_files_per_trigger=1)
+    q = S.start_rollup(S.stream_cells(src), f"{root}/table", f"{root}/ckpt")
+    q.awaitTermination(300)
+    got = S.read_cells(spark, f"{root}/table")
+    want = build_cells(TD.fact(spark, SF_SMALL))
+    cols = [*KEY, "item_cnt_month", "profit_month", "price_sum", "margin_sum", "line_count"]
+    a = got.select(*cols)
+    b = want.select(*cols)
+    assert a.count() == b.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
