@@ -51,21 +51,35 @@ def row_position(df: DataFrame, order: Sequence[str], name: str = "ID",
              .drop("__mid", "__pid", "__local", "__off"))
 
 
-def label_codes(df: DataFrame, col: str) -> DataFrame:
-    """``(col, <col>__code)``: dense codes of the sorted distinct non-null values."""
-    d = df.select(col).filter(F.col(col).isNotNull()).distinct()
-    return row_position(d, [col], f"{col}__code")
+def label_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(__column, __value, __code)``: dense codes of the sorted distinct non-null values of
+    every column in ``cols``, from ONE distinct + position pass (values compared as strings)."""
+    kv = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("__column"), F.col(c).cast("string").alias("__value")) for c in cols
+    ])).alias("__kv")).select("__kv.*").filter(F.col("__value").isNotNull()).distinct()
+    pos = row_position(kv, ["__column", "__value"], "__pos")
+    first = pos.groupBy("__column").agg(F.min("__pos").alias("__first"))   # one row per column
+    return (pos.join(F.broadcast(first), "__column")
+               .select("__column", "__value", (F.col("__pos") - F.col("__first")).cast("int").alias("__code")))
 
 
 def label_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace each string column by its code (R16: sorted order, NULL gets the last code)."""
+    """Replace each string column by its code (R16: sorted order, NULL gets the last code).
+
+    The code tables of all columns come from one pass; each is joined back with a
+    size-checked broadcast.
+    """
+    cols = list(cols)
+    codes = materialize(label_codes(df, cols), "persist")
     out = df
     for c in cols:
-        codes = label_codes(df, c)
-        k = codes.agg(F.count(F.lit(1)).alias(f"{c}__k"))
-        out = attach_scalar(join_back_checked(out, codes, [c]), k)
-        out = out.withColumn(c, F.coalesce(F.col(f"{c}__code"), F.col(f"{c}__k")).cast("int")) \
-                 .drop(f"{c}__code", f"{c}__k")
+        cc = codes.filter(F.col("__column") == c).select(F.col("__value").alias(f"{c}__value"),
+                                                         F.col("__code").alias(f"{c}__code"))
+        k = cc.agg(F.count(F.lit(1)).cast("int").alias(f"{c}__k"))      # always one row
+        j = join_back_checked(out.withColumn(f"{c}__value", F.col(c).cast("string")), cc, [f"{c}__value"])
+        out = (attach_scalar(j, k)
+               .withColumn(c, F.coalesce(F.col(f"{c}__code"), F.col(f"{c}__k")).cast("int"))
+               .drop(f"{c}__value", f"{c}__code", f"{c}__k"))
     return out.select(*df.columns)
 
 

@@ -603,7 +603,7 @@ _MEMO: dict = {}
 
 
 def _memo(spark, sf, name, fn):
-    key = (id(spark), spark.sparkContext.applicationId, sf, name)
+    key = (id(spark), sf, name)
     if key not in _MEMO:
         _MEMO[key] = fn()
     return _MEMO[key]
@@ -740,7 +740,7 @@ def q_cv_search(spark, sf):
 @register("tuned_stack")
 def q_tuned_stack(spark, sf):
     q_cv_search(spark, sf)
-    key = (id(spark), spark.sparkContext.applicationId, sf, "cv")
+    key = (id(spark), sf, "cv")
     best = _MEMO[key][0]
     pb = L.kfold_predictions(prepared(spark, sf), best, SPEC, 5, "xgb", True, 2)
     l2 = L.stack_level2(preds_a(spark, sf), pb)

@@ -42,7 +42,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -55,16 +58,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     registered, so ``DataFrame.checkpoint()`` and the table sinks have a place
     to write.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; checkpoint() uses the server's setting
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="demandcast-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    if sc is not None:
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir() or conf_dir
+    return conf_dir
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
