@@ -155,7 +155,7 @@ def split_by_month(df: DataFrame, spec: FactSpec) -> dict[str, DataFrame]:
 
 
 def clean_features(features: DataFrame, spec: FactSpec, fit_before: int | None = None,
-                   how: str = "checkpoint") -> DataFrame:
+                   how: str = "parquet") -> DataFrame:
     """The cleaning stage: drop helper columns, label-encode, non-finite -> NULL -> mean.
 
     The input is materialised first (where the original pickles its feature

@@ -55,6 +55,9 @@ def build_cells(lines: DataFrame) -> DataFrame:
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Compute ``df`` once for several consumers.
 
+    ``parquet`` writes a Parquet table in the shared folder and reads it back:
+    columnar, so every consumer reads only the columns it needs (best for a
+    wide table read by many consumers).
     ``checkpoint`` (default) writes it to the shared folder named by
     ``spark.checkpoint.dir`` and cuts the lineage, so a lost executor costs a
     re-read, not a re-scan of the raw lines; the recorded output partitioning
@@ -67,6 +70,12 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
         from demandcast.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
+    if how == "parquet":
+        import uuid
+        from demandcast.session import shared_path
+        path = shared_path(df.sparkSession, f"table-{uuid.uuid4().hex[:12]}")
+        df.write.mode("overwrite").parquet(path)
+        return df.sparkSession.read.parquet(path)
     if how == "persist":
         from pyspark import StorageLevel
         return df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -148,7 +157,7 @@ def materialize_with_sizes(df: DataFrame, groupings: dict, how: str = "checkpoin
     job itself (``DataFrame.observe``): no extra pass.  Otherwise one
     aggregate job over the materialised frame.
     """
-    if how == "checkpoint":
+    if how in ("checkpoint", "parquet"):
         from pyspark.sql import Observation
         obs = Observation("group_sizes")
         out = materialize(df.observe(obs, *size_metrics(groupings)), how)

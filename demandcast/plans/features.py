@@ -139,7 +139,7 @@ def encoding_table(panel: DataFrame, keys: tuple, name: str) -> DataFrame:
 
 
 def feature_matrix(lines: DataFrame, items: DataFrame, spec: FactSpec = FactSpec(),
-                   materialize_panel: str = "checkpoint") -> DataFrame:
+                   materialize_panel: str = "parquet") -> DataFrame:
     # one scan of the raw lines and of the item table; everything else reads this.
     # The row count of every group table, estimated while the panel is written,
     # decides broadcast vs shuffle join for it.

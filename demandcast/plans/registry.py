@@ -452,7 +452,7 @@ def _price_lags(spark, sf):
     return j, k_max
 
 
-@register("price_row_lags", O.with_ctes(*FEATS) + "SELECT date_block_num, campaign_id, product_id, "
+@register("price_lag_rows", O.with_ctes(*FEATS) + "SELECT date_block_num, campaign_id, product_id, "
           + ", ".join(f"l{k} AS date_item_avg_item_price_lag_{k}" for k in SPEC.price_lags) + " FROM pr")
 def q_price_row_lags(spark, sf):
     j, k_max = _price_lags(spark, sf)
