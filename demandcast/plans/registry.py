@@ -615,16 +615,22 @@ def prepared(spark, sf):
 
 def preds_a(spark, sf):
     return _memo(spark, sf, "preds_a", lambda: L.kfold_predictions(prepared(spark, sf), L.BOOSTER_A_FIXED, SPEC,
-                                                                   5, "lgb", True, 2))
+                                                                   5, "lgb", True, 3))
 
 
 def preds_b(spark, sf):
     return _memo(spark, sf, "preds_b", lambda: L.kfold_predictions(prepared(spark, sf), L.BOOSTER_B_FIXED, SPEC,
-                                                                   5, "xgb", True, 2))
+                                                                   5, "xgb", True, 3))
 
 
 def level2(spark, sf):
-    return L.stack_level2(preds_a(spark, sf), preds_b(spark, sf))
+    def both():
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            fa, fb = pool.submit(preds_a, spark, sf), pool.submit(preds_b, spark, sf)
+            return fa.result(), fb.result()
+    a, b = _memo(spark, sf, "preds_ab", both)
+    return L.stack_level2(a, b)
 
 
 def stacked(spark, sf):

@@ -73,3 +73,19 @@ def test_report_scan_reads_only_needed_months(spark):
     plan = report_rows(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "l_shipdate" in ln][0]
     assert "PushedFilters: [IsNotNull(l_shipdate), GreaterThanOrEqual(l_shipdate" in scan
+
+
+def test_shuffle_join_path_equals_broadcast_path(spark):
+    # with the broadcast threshold off, every size-checked join takes the shuffle-join path
+    lines, items = TD.inputs(spark, SF_SMALL)
+    a = [tuple(r) for r in feature_matrix(lines, items, FIXTURE).collect()]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fm = feature_matrix(lines, items, FIXTURE)
+        plan = _plan(fm)
+        assert "SortMergeJoin" in plan
+        b = [tuple(r) for r in fm.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(map(repr, a)) == sorted(map(repr, b))
