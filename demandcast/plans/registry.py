@@ -701,7 +701,7 @@ def q_rmse(spark, sf):
     return a.crossJoin(b)
 
 
-@register("blend_alpha", O.with_ctes(O.FACT, O.CELLS, VALID_FC) + """, grid AS (SELECT range * 0.02 AS alpha FROM range(50)),
+@register("blend_alpha", O.with_ctes(O.FACT, O.CELLS, VALID_FC) + """, grid AS (SELECT CAST(range AS DOUBLE) * CAST(0.02 AS DOUBLE) AS alpha FROM range(50)),
 scored AS (SELECT g.alpha, sqrt(avg(power(v.item_cnt_month - (g.alpha * v.lag_1 + (1 - g.alpha) * v.mean_6), 2))) AS rmse
   FROM grid g, vf v GROUP BY g.alpha)
 SELECT alpha, round(rmse, 6) AS rmse FROM scored ORDER BY rmse, alpha LIMIT 1""")
