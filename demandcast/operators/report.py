@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from demandcast.functions.columns import salary_share, target_jitter, volume_band
 from demandcast.operators.panel import attach_scalar, join_back
-from demandcast.spec import KEY, MONTH, PAIR, TARGET
+from demandcast.spec import KEY, PAIR, TARGET
 
 FORECAST = "item_cnt_month_forecast"
 

@@ -29,7 +29,7 @@ from demandcast.operators.panel import (
     build_cells, join_back, join_back_sized, join_items, materialize, materialize_with_sizes,
 )
 from demandcast.operators.temporal import (
-    UNBOUNDED, first_sale, last_sale, lag_columns, month_window, normalise,
+    UNBOUNDED, last_sale, lag_columns, month_window, normalise,
     price_trend_columns, trailing_stat_columns, within_cell_index,
 )
 from demandcast.functions.columns import relative_change

@@ -151,10 +151,6 @@ def _out_money(df):
                         if c in df.columns and str(df.schema[c].dataType).startswith("Decimal")])
 
 
-def _line_cols(df):
-    return df.select("date", *KEY)
-
-
 # --- 2.1 sinks -------------------------------------------------------------------
 
 @register("write_forecast_csv", RSQL(

@@ -5,7 +5,6 @@ import random
 
 from pyspark.sql import functions as F
 
-from demandcast.operators import panel as P
 from demandcast.operators import temporal as T
 from demandcast.plans.features import feature_matrix, feature_matrix_chain
 from demandcast.sources import testdata as TD

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from demandcast.operators import clean as C
 from demandcast.plans.features import feature_matrix
 from demandcast.sources import testdata as TD
 from demandcast.spec import FIXTURE, KEY, TARGET

@@ -9,8 +9,7 @@ from demandcast.functions import columns as FN
 from demandcast.operators import clean as C
 from demandcast.operators import panel as P
 from demandcast.operators import temporal as T
-from demandcast.plans.features import feature_matrix
-from demandcast.spec import FactSpec, KEY, TARGET
+from demandcast.spec import TARGET
 
 SCHEMA = "date_block_num int, campaign_id int, product_id int, item_cnt_month bigint"
 
