@@ -67,7 +67,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="demandcast-ckpt-")
+        master = spark.conf.get("spark.master", "local")
+        if not str(master).startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
+                               "(checkpoints and written tables must survive the loss of an executor)")
+        conf_dir = tempfile.mkdtemp(prefix="demandcast-ckpt-")   # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     if sc is not None:
         sc.setCheckpointDir(conf_dir)
