@@ -105,7 +105,15 @@ def trailing_stat_columns(keys: Sequence[str], prefix: str, periods: Sequence[in
 
 
 def normalise(df: DataFrame, names: Sequence[str], norm: dict) -> DataFrame:
-    """Divide each stat by its mean over the group rows (1-row aggregate, broadcast)."""
+    """Divide each stat by its mean over the group rows (1-row aggregate, broadcast).
+
+    The group table feeds both the 1-row aggregate and the output; the two
+    branches prune different columns, so without caching the panel would be
+    aggregated twice.  The table is small (one row per key and month) and is
+    persisted (recomputed from its source if an executor is lost).
+    """
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     one = df.agg(*[v.alias(k) for k, v in norm.items()])
     j = attach_scalar(df, one)
     out = {}
