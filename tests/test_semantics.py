@@ -191,3 +191,12 @@ def R_blend(df):
             best = (a, e)
     assert math.isclose(r["alpha"], best[0]) and math.isclose(r["rmse"], best[1], rel_tol=1e-9)
     return r["alpha"], r["rmse"]
+
+
+def test_mean_impute_fit_on_training_months_only(spark):
+    # D5 leak-free variant: the fill value comes from the fit frame only
+    df = spark.createDataFrame([(1, 1, 1, 1, 2.0), (2, 1, 1, 1, None), (3, 1, 1, 1, 100.0)],
+                               SCHEMA + ", x double")
+    fit = df.filter(F.col("date_block_num") < 3)
+    out = C.mean_impute(df, ["x"], fit=fit).orderBy("date_block_num").collect()
+    assert [r["x"] for r in out] == [2.0, 2.0, 100.0]
