@@ -46,6 +46,15 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """``docs`` as one struct ``__doc`` beside the named columns, so that no column of a caller can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), *columns)
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("__doc.*")
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import SPACES, materialize, text_or_empty
+from demandcast.llm.common import SPACES, materialize, packed, text_or_empty, unpacked
 
 PRIME = 2147483647
 KEYS_PER_BUCKET = 4096
@@ -180,12 +180,12 @@ def keep_winners(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The documents that stay, with all columns of ``docs``; rows that repeat doc_id and text once."""
     stay = decided.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("__rows"))
     stay = stay.select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__held"), "__rows")
-    keyed = docs.withColumn("__digest", F.unhex(F.sha2(F.encode(normalised(), "UTF-8"), 256)))
+    keyed = packed(docs, "doc_id", "text").withColumn("__digest", F.unhex(F.sha2(F.encode(normalised(), "UTF-8"), 256)))
     joined = keyed.join(stay, (keyed["__digest"] == stay["__held"])
-                        & keyed.doc_id.cast("long").eqNullSafe(stay["__id"])).drop("__id", "__held")
+                        & keyed["doc_id"].cast("long").eqNullSafe(stay["__id"])).drop("__id", "__held")
     once = joined.where("__rows = 1")
     again = joined.where("__rows > 1").dropDuplicates(["doc_id", "__digest"])
-    return once.unionByName(again).select(*docs.columns)
+    return unpacked(once.unionByName(again))
 
 
 #: The same rule in DuckDB.

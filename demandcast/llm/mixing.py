@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import WORD_REGEX, materialize, text_or_empty
+from demandcast.llm.common import WORD_REGEX, materialize, packed, text_or_empty, unpacked
 
 MOST_EPOCHS = 3
 SEED = "mix-1"
@@ -130,11 +130,11 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
 
     Documents without words add nothing to a source and are passed on once.
     """
-    rows = materialize(measured(docs, seed).select("__source", "__size", "__key"), "mix-rows")
-    chosen = select_copies(measured(docs, seed), *plan(rows))
+    own = measured(packed(docs, "doc_id", "text", "source"), seed)
+    rows = materialize(own.select("__source", "__size", "__key"), "mix-rows")
+    chosen = select_copies(own, *plan(rows))
     times = F.when(F.col("__size") == 0, F.lit(1)).otherwise(F.col("__copies")).cast("int")
-    return (chosen.where(times > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
-            .select(*docs.columns))
+    return unpacked(chosen.where(times > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), times))))
 
 
 #: The same rule in DuckDB: windows over whole sources in place of ranges.

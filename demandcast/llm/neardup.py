@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import map_rows, materialize
+from demandcast.llm.common import map_rows, materialize, packed, unpacked
 from demandcast.llm.components import connected_components
 
 REGISTERS = 288
@@ -308,7 +308,8 @@ def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group stays, with all columns of ``docs``; rows that repeat doc_id and text once."""
     found = near_duplicates(docs, words, percent)
     stay = found.where("kept").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"))
-    joined = docs.join(stay, docs.doc_id.eqNullSafe(stay["__id"])).drop("__id")
+    rows = packed(docs, "doc_id", "text")
+    joined = rows.join(stay, rows["doc_id"].cast("long").eqNullSafe(stay["__id"])).drop("__id")
     once = joined.where("__rows = 1")
     again = joined.where("__rows > 1").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(again).select(*docs.columns)
+    return unpacked(once.unionByName(again))

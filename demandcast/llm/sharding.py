@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import materialize, text_or_empty
+from demandcast.llm.common import materialize, packed, text_or_empty
 
 ROW_OVERHEAD = 8
 BINS = 256
@@ -199,8 +199,8 @@ def assign_shards(docs: DataFrame, shards: int = 24) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 24) -> None:
-    """Write whole documents as Parquet in one folder per shard (``shard=N``), one map pass over ``docs``."""
+    """Write whole documents (a struct ``document``) as Parquet, one folder per shard (``shard=N``), in one map pass."""
     tree = build_tree(materialize(points(docs), "kd-points"), shards)
-    keys = {name: c for name, c in point_columns(docs).items() if name.startswith("__")}
-    (docs.select("*", *[c.alias(name) for name, c in keys.items()]).withColumn("shard", tree.number())
-     .drop(*keys).write.partitionBy("shard").parquet(path))
+    own = packed(docs, "doc_id", "text", *[c for c in ("lang", "source") if c in docs.columns])
+    keyed = own.select("__doc", *[c.alias(name) for name, c in point_columns(own).items()])
+    keyed.select(tree.number().alias("shard"), F.col("__doc").alias("document")).write.partitionBy("shard").parquet(path)
