@@ -71,11 +71,9 @@ def source_targets(rows: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     level = ((F.sum("source_size").over(all_) - F.coalesce(F.sum("cap").over(fill), F.lit(0)))
              / (F.sum("weight").over(all_) - F.coalesce(F.sum("weight").over(fill), F.lit(0.0))))
-    levels = weighed.withColumn("level", level)
-    free = F.col("cap") > F.col("level") * F.col("weight")
-    shared = F.min(F.when(free, F.struct(F.col("cap") / F.col("weight"), F.col("level")))).over(all_)
-    target = F.when(shared.isNull() | (F.col("cap") <= shared["level"] * F.col("weight")),
-                    F.col("cap").cast("double")).otherwise(shared["level"] * F.col("weight"))
+    # the level rises while capped sources are taken out and falls once a free one is: its peak is the shared one
+    levels = weighed.withColumn("level", level).withColumn("shared", F.max("level").over(all_))
+    target = F.least(F.col("cap").cast("double"), F.col("shared") * F.col("weight"))
     return (levels.withColumn("target", target)
             .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                         .otherwise(0).cast("long"))
@@ -158,12 +156,8 @@ WITH d AS (
             / (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0.0)) AS level
   FROM s WINDOW w AS (ORDER BY cap / weight, source IS NULL, encode(source)
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-), f AS (
-  SELECT arg_min(level, cap / weight) AS shared FROM l WHERE cap > level * weight
 ), g AS (
-  SELECT source, source_size,
-         CASE WHEN shared IS NULL OR cap <= shared * weight THEN CAST(cap AS DOUBLE) ELSE shared * weight END AS target
-  FROM l CROSS JOIN f
+  SELECT source, source_size, least(CAST(cap AS DOUBLE), max(level) OVER () * weight) AS target FROM l
 ), e AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS epochs FROM g
 ), p AS (
