@@ -15,15 +15,18 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable
+from functools import cached_property
 from itertools import chain
 
+import ahocorasick
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import map_rows
 
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 250_000       # pretokens in each of two generations
+PAIR_ENTRIES = 500_000
 
 
 class Vocabulary:
@@ -43,6 +46,7 @@ class Vocabulary:
             if len(b) > 1 and (last := self._last_two(b, i)):
                 self.parts[i] = last
                 self.joined[last] = i
+        self._pairs: dict[int, bool] = {}
 
     @classmethod
     def load(cls, path: str) -> "Vocabulary":
@@ -59,7 +63,64 @@ class Vocabulary:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return self.ids[parts[0]], self.ids[parts[1]]
 
+    def __getstate__(self):
+        return {k: x for k, x in self.__dict__.items() if k != "matches"} | {"_pairs": {}}
+
+    @cached_property
+    def matches(self) -> ahocorasick.Automaton:
+        """Finds every token that ends at a byte, longest first (bytes as Latin-1 characters).
+
+        Only tokens that merging can reach; any other is only ever a whole pretoken.
+        """
+        found = ahocorasick.Automaton()
+        for data, i in self.ids.items():
+            if len(data) == 1 or i in self.parts:
+                found.add_word(data.decode("latin-1"), (len(data), i))
+        found.make_automaton()
+        return found
+
     def may_follow(self, left: int, right: int) -> bool:
+        """``kept_apart``, remembered for up to ``PAIR_ENTRIES`` pairs."""
+        key = left << 32 | right
+        found = self._pairs.get(key)
+        if found is None:
+            if len(self._pairs) >= PAIR_ENTRIES:
+                self._pairs.clear()
+            found = self._pairs[key] = self.kept_apart(left, right)
+        return found
+
+    def last_tokens(self, data: bytes, last: list[int]) -> None:
+        """Extend ``last`` (the last token of every prefix so far, after a leading -1) to all of ``data``."""
+        pairs, n = self._pairs.get, len(last)
+        shift = max(0, n - self.longest)
+        for at, (length, t) in self.matches.iter(data[shift:].decode("latin-1")):
+            end = at + 1 + shift
+            if end < n:                          # this prefix has its token
+                continue
+            begin = end - length
+            if begin:
+                before = last[begin]
+                fits = pairs(before << 32 | t)
+                if fits is None:
+                    fits = self.may_follow(before, t)
+                if not fits:
+                    continue
+            last.append(t)
+            n += 1
+        if n != len(data) + 1:
+            raise ValueError("the vocabulary lacks a single byte")
+
+    def walk(self, last: list[int], length: int) -> list[int]:
+        """Ids of the first ``length`` bytes: the last tokens, backwards."""
+        out = []
+        while length > 0:
+            t = last[length]
+            out.append(t)
+            length -= len(self.bytes[t])
+        out.reverse()
+        return out
+
+    def kept_apart(self, left: int, right: int) -> bool:
         """Would merging the joined bytes of the two tokens keep this boundary?
 
         Undo the later of the two last merges again and again; if the symbols that face each other across
@@ -90,20 +151,8 @@ class PrefixEncoding:
         self.append(data)
 
     def append(self, data: bytes) -> None:
-        v, last = self.v, self.last
-        start = len(self.data)
         self.data += data
-        whole = bytes(self.data)
-        for end in range(start + 1, len(whole) + 1):
-            for begin in range(max(0, end - v.longest), end):
-                t = v.ids.get(whole[begin:end])
-                if t is None or (end - begin > 1 and t not in v.parts):
-                    continue
-                if begin == 0 or v.may_follow(last[begin], t):
-                    last.append(t)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a single byte")
+        self.v.last_tokens(bytes(self.data), self.last)
 
     def replace(self, begin: int, end: int, data: bytes) -> None:
         """Put ``data`` in place of bytes ``begin:end``; prefixes that end before the edit are kept."""
@@ -114,27 +163,34 @@ class PrefixEncoding:
 
     def ids(self, length: int | None = None) -> list[int]:
         """Ids of the first ``length`` bytes (all, if not given)."""
-        out, at = [], len(self.data) if length is None else length
-        while at > 0:
-            out.append(self.last[at])
-            at -= len(self.v.bytes[self.last[at]])
-        return out[::-1]
+        return self.v.walk(self.last, len(self.data) if length is None else length)
 
 
 class _Pieces(dict):
-    """Pretoken -> ids; emptied when full, so memory is bounded."""
+    """Pretoken -> ids in two generations: when the young one is full it becomes the old one.
+
+    A pretoken that is met again moves to the young generation, so frequent ones stay and memory is bounded.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.v = vocabulary
+        self.v, self.old = vocabulary, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        data = piece.encode("utf-8")
-        whole = self.v.ids.get(data)             # a pretoken that is a token stays whole
-        ids = (whole,) if whole is not None else tuple(PrefixEncoding(self.v, data).ids())
+        ids = self.old.get(piece)
+        if ids is None:
+            data = piece.encode("utf-8")
+            whole = self.v.ids.get(data)         # a pretoken that is a token stays whole
+            if whole is not None:
+                ids = (whole,)
+            else:
+                last = [-1]
+                self.v.last_tokens(data, last)
+                ids = tuple(self.v.walk(last, len(data)))
         if len(piece) <= 64:
+            if len(self) >= CACHE_ENTRIES:
+                self.old = dict(self)
+                self.clear()
             self[piece] = ids
         return ids
 
