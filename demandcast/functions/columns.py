@@ -68,12 +68,6 @@ def relative_change(value, base) -> Column:
     return F.try_divide(_c(value) - _c(base), _c(base))
 
 
-def is_nonfinite(x) -> Column:
-    """True for NULL, NaN and +/-inf (floating columns)."""
-    c = _c(x)
-    return c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
-
-
 def finite_or_null(x) -> Column:
     """+/-inf and NaN -> NULL, everything else unchanged."""
     c = _c(x)

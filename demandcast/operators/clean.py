@@ -7,8 +7,7 @@
 * ``label_encode``: sorted distinct values -> ``row_position`` -> join back;
   NULL gets the last code (R16).
 * ``mean_impute``: one aggregate over all columns, attached as a 1-row
-  broadcast.  Means of floating columns are rounded to 1e-9 so the filled
-  value does not depend on the summation order (i.e. on the partitioning).
+  broadcast.
 """
 
 from __future__ import annotations
@@ -111,18 +110,12 @@ def coalesce_trend(cols: Sequence[str], default: float = 0.0):
     return F.coalesce(*[F.col(c) for c in cols], F.lit(default))
 
 
-def column_means(df: DataFrame, cols: Sequence[str], digits: int = 9) -> DataFrame:
+def column_means(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """1-row table of column means (NULL for all-missing columns)."""
-    floating = set(floating_columns(df, cols))
-    aggs = []
-    for c in cols:
-        m = F.avg(c)
-        aggs.append((F.round(m, digits) if c in floating else m).alias(f"{c}__mean"))
-    return df.agg(*aggs)
+    return df.agg(*[F.avg(c).alias(f"{c}__mean") for c in cols])
 
 
-def mean_impute(df: DataFrame, cols: Sequence[str] | None = None, fit: DataFrame | None = None,
-                digits: int = 9) -> DataFrame:
+def mean_impute(df: DataFrame, cols: Sequence[str] | None = None, fit: DataFrame | None = None) -> DataFrame:
     """Missing -> column mean.  ``fit`` (default ``df``) is the frame the means come from,
     e.g. the training months only for a leak-free variant.  Integer columns holding
     missing values are widened to DOUBLE (as the original casts them to float); by
@@ -131,7 +124,7 @@ def mean_impute(df: DataFrame, cols: Sequence[str] | None = None, fit: DataFrame
         cols = [c for c in numeric_columns(df) if c not in (*KEY, TARGET)]
     cols = list(cols)
     src = fit if fit is not None else df
-    means = column_means(src, cols, digits)
+    means = column_means(src, cols)
     j = attach_scalar(df, means)
     filled = {}
     for c in cols:

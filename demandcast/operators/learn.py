@@ -9,29 +9,32 @@
   averaged; fits of different folds run as concurrent Spark jobs;
 * stacking: base predictions side by side (joined on the natural key), a
   meta booster on them;
+* early stopping: all asked trees are fitted, the held-out error after each is
+  read, and patience picks the best iteration;
 * search: seeded random draws from the declared space, each scored by k-fold
-  RMSE with ``CrossValidator(foldCol=...)`` (parallel trials).
+  RMSE at its best iteration (parallel trials).
 
 Boosters map onto ``GBTRegressor`` (see README for the parameter mapping).
-Before fitting, the training table is checkpointed to the shared folder so
+Before fitting, the training table is written by month to the shared folder so
 iterative fits do not recompute the feature chain and survive executor loss.
 """
 
 from __future__ import annotations
 
+import json
 import random
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.functions.columns import key_hash_bucket
-from demandcast.operators.panel import materialize
+from demandcast.session import shared_path
 from demandcast.spec import KEY, MONTH, TARGET, FactSpec
 
 # Fixed values of the original fixed-path models (as written in its code).
@@ -55,18 +58,45 @@ SPACE_B = {"max_depth": list(range(3, 12)), "n_estimators": list(range(100, 1001
            "colsample_bytree": (0.5, 1.0), "min_child_weight": list(range(100, 601, 100)),
            "subsample": (0.5, 1.0), "gamma": (0.0, 0.1), "learning_rate": (0.01, 0.2)}
 
-# Parameters without a GBTRegressor counterpart: accepted and ignored only for
-# the regularisation terms of the fixed configurations, reported by gbt_params.
+# Patience (rounds without improvement) of the fixed-path models and of the search objective.
+PATIENCE_A, PATIENCE_B, PATIENCE_SEARCH_B = 100, 40, 50
+# The second library's documented defaults, for the blend that sets no parameters.
+DEFAULTS_B = {"max_depth": 6, "n_estimators": 100, "learning_rate": 0.3}
+
+# Regularisation terms without a GBTRegressor counterpart.  ``gamma`` is not converted either (other units):
+# whoever wants a least gain sets ``min_info_gain``.
 UNMAPPED = ("reg_alpha", "reg_lambda", "gamma")
+KNOWN = ("max_depth", "n_estimators", "learning_rate", "subsample", "colsample_bytree", "min_child_weight",
+         "min_info_gain")
+DEEPEST = 30                    # Spark's own limit on the depth of a tree
+LEAST_BINS = 32
 
 FEATURES = "features"
 
 
+def decode(raw: dict, space: dict) -> dict:
+    """Parameters of a search result that names choices by their index (D2): values in place of indices."""
+    return {k: space[k][int(v)] if isinstance(space.get(k), list) else v for k, v in raw.items()}
+
+
+def without_unmapped(p: dict) -> dict:
+    """``p`` without the terms that have no counterpart: the caller drops them in plain sight."""
+    return {k: v for k, v in p.items() if k not in UNMAPPED}
+
+
+def unmapped(p: dict) -> list[str]:
+    return [k for k in p if k in UNMAPPED]
+
+
 def gbt_params(p: dict, seed: int = 42) -> dict:
-    """Map booster parameters onto GBTRegressor parameters."""
-    out = {"seed": seed, "maxBins": 64}
+    """Map booster parameters onto GBTRegressor parameters; what cannot be mapped is an error."""
+    if bad := [k for k in p if k not in KNOWN]:
+        raise ValueError(f"no GBTRegressor counterpart for {bad}; drop them (without_unmapped) or set min_info_gain")
+    if p.get("max_depth", 0) > DEEPEST:
+        raise ValueError(f"max_depth {p['max_depth']} is over Spark's limit of {DEEPEST}")
+    out = {"seed": seed}
     if "max_depth" in p:
-        out["maxDepth"] = int(min(p["max_depth"], 30))
+        out["maxDepth"] = int(p["max_depth"])
     if "n_estimators" in p:
         out["maxIter"] = int(p["n_estimators"])
     if "learning_rate" in p:
@@ -77,100 +107,162 @@ def gbt_params(p: dict, seed: int = 42) -> dict:
         out["featureSubsetStrategy"] = repr(float(p["colsample_bytree"]))
     if "min_child_weight" in p:
         out["minInstancesPerNode"] = max(int(p["min_child_weight"]), 1)
+    if "min_info_gain" in p:
+        out["minInfoGain"] = float(p["min_info_gain"])
     return out
 
 
-def unmapped(p: dict) -> list[str]:
-    return [k for k in p if k in UNMAPPED]
-
-
 def feature_names(df: DataFrame, label: str = TARGET, exclude: Sequence[str] = ()) -> list[str]:
     return [c for c in df.columns if c != label and c not in exclude and not c.startswith("__")
             and c not in ("fold", "split", "is_valid")]
 
 
-def declare_categorical(df: DataFrame, cols: Sequence[str], max_bins: int = 64) -> DataFrame:
+def declare_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Attach nominal-attribute metadata (number of values = max code + 1) to ``cols``.
 
-    Columns with more values than ``max_bins`` stay numeric (a tree needs one
-    bin per category).
+    Every column that is listed stays nominal, whatever its size: ``bins_for`` gives the trees a bin per value.
     """
     if not cols:
         return df
     sizes = df.agg(*[(F.max(F.col(c)).cast("int") + 1).alias(c) for c in cols]).first().asDict()
-    cols = [c for c in cols if sizes[c] is not None and sizes[c] <= max_bins]
     return df.withColumns({
         c: F.col(c).cast("double").alias(c, metadata={"ml_attr": {"type": "nominal", "name": c,
                                                                    "num_vals": int(sizes[c] or 1)}})
         for c in cols})
 
 
+def nominal_sizes(df: DataFrame, features: str = FEATURES) -> dict[str, int]:
+    """Declared categorical columns of the feature vector and their number of values."""
+    attrs = json.loads(df.schema[features].json())["metadata"].get("ml_attr", {}).get("attrs", {})
+    return {a["name"]: int(len(a.get("vals", [])) or a.get("num_vals")) for a in attrs.get("nominal", [])}
+
+
+def bins_for(df: DataFrame, features: str = FEATURES) -> int:
+    """maxBins: a bin for every value of the largest declared category, and no less than Spark's default."""
+    return max([LEAST_BINS, *nominal_sizes(df, features).values()])
+
+
+def drop_all_missing(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Leave out the columns of ``cols`` that have no value at all; also returns their names."""
+    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first().asDict()
+    empty = [c for c in cols if counts[c] == 0]
+    return df.drop(*empty), empty
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = FEATURES) -> DataFrame:
-    """``VectorAssembler`` over ``cols`` (after imputation no invalid values remain)."""
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
+    """``VectorAssembler`` over ``cols``; a missing value is an error (impute or drop the column first)."""
+    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
 
 
 def with_folds(df: DataFrame, k: int = 5, key: Sequence[str] = KEY) -> DataFrame:
     return df.withColumn("fold", key_hash_bucket(list(key), k))
 
 
-def booster(params: dict, label: str = TARGET, validation_col: str | None = None,
-            validation_tol: float = 0.01, seed: int = 42) -> GBTRegressor:
-    kw = gbt_params(params, seed)
-    if validation_col:
-        kw.update(validationIndicatorCol=validation_col, validationTol=validation_tol)
-    max_cats = kw.pop("maxBins")
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxBins=max_cats, **kw)
+def booster(params: dict, data: DataFrame, label: str = TARGET, seed: int = 42) -> GBTRegressor:
+    return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxBins=bins_for(data), **gbt_params(params, seed))
+
+
+def ols(label: str = TARGET) -> LinearRegression:
+    """Exact least squares by normal equations (an affine learner whose results SQL can solve too)."""
+    return LinearRegression(featuresCol=FEATURES, labelCol=label, solver="normal", regParam=0.0)
 
 
-def prepare(clean: DataFrame, spec: FactSpec, categorical: Sequence[str] = (), k: int = 5,
-            checkpoint: str = "checkpoint") -> DataFrame:
-    """Train/valid/test rows with folds, declared categoricals and the feature vector, materialised."""
+def best_iteration(errors: Sequence[float], patience: int) -> int:
+    """1-based round of the least error, reading until ``patience`` rounds brought no improvement."""
+    best = 0
+    for i, e in enumerate(errors):
+        if e < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_with_patience(params: dict, data: DataFrame, held: DataFrame, patience: int, label: str = TARGET,
+                      seed: int = 42):
+    """Fit all asked trees, read the held-out error after each, and keep the best iteration.
+
+    Returns (model, errors).  The same seed gives the same first trees, so the shorter model is a refit with the
+    best number of rounds; if all rounds helped, the fitted model itself.
+    """
+    est = booster(params, data, label, seed)
+    model = est.fit(data)
+    errors = model.evaluateEachIteration(held, "squared")
+    best = best_iteration(errors, patience)
+    if best < len(errors):
+        model = est.setMaxIter(best).fit(data)
+    return model, errors
+
+
+def month_table(prepared: DataFrame) -> DataFrame:
+    """The training table as Parquet partitioned by month: a month filter reads that month only."""
+    path = shared_path(prepared.sparkSession, f"training-{uuid.uuid4().hex[:12]}")
+    prepared.write.partitionBy(MONTH).parquet(path)
+    return prepared.sparkSession.read.schema(prepared.schema).parquet(path).select(*prepared.columns)
+
+
+def prepare(clean: DataFrame, spec: FactSpec, categorical: Sequence[str] = (), k: int = 5) -> DataFrame:
+    """Train/valid/test rows with folds, declared categoricals and the feature vector, written by month."""
     df = clean.filter(F.col(MONTH) <= spec.test_month)
     df = declare_categorical(df, [c for c in categorical if c in df.columns])
     df = with_folds(df, k)
-    df = assemble(df, feature_names(df))
-    return materialize(df.select(*KEY, TARGET, "fold", FEATURES), checkpoint)
+    df, _ = drop_all_missing(df, feature_names(df))
+    names = feature_names(df)
+    df = assemble(df, names).select(*KEY, TARGET, "fold", FEATURES)
+    attrs = df.schema[FEATURES].metadata
+    back = month_table(df)
+    return back.withColumn(FEATURES, F.col(FEATURES).alias(FEATURES, metadata=attrs))
 
 
-def kfold_predictions(prepared: DataFrame, params: dict, spec: FactSpec, k: int = 5, name: str = "pred",
-                      early_stop: bool = True, parallelism: int = 2, label: str = TARGET) -> DataFrame:
-    """Fold-averaged predictions on the valid and test months: one fit per fold."""
-    m = F.col(MONTH)
-    train = prepared.filter(m < spec.valid_month)
-    scored = prepared.filter((m == spec.valid_month) | (m == spec.test_month))
+def score_months(prepared: DataFrame, spec: FactSpec) -> DataFrame:
+    return prepared.filter(F.col(MONTH).isin(spec.valid_month, spec.test_month))
+
+
+def kfold_models(prepared: DataFrame, params: dict | str, spec: FactSpec, k: int = 5, patience: int | None = None,
+                 parallelism: int = 2, label: str = TARGET) -> list:
+    """One model per fold, fitted on the others (``params="ols"``: least squares); fits run as concurrent jobs."""
+    train = prepared.filter(F.col(MONTH) < spec.valid_month)
 
     def fit(fold: int):
-        data = train.withColumn("__is_val", F.col("fold") == fold)
-        if not early_stop:
-            data = data.filter(~F.col("__is_val"))
-        est = booster(params, label, "__is_val" if early_stop else None)
-        return est.fit(data)
+        data, held = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
+        if params == "ols":
+            return ols(label).fit(data)
+        if patience is None:
+            return booster(params, data, label).fit(data)
+        return fit_with_patience(params, data, held, patience, label)[0]
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        models = list(pool.map(fit, range(k)))
-    out = scored
-    pred_cols = []
-    for i, model in enumerate(models):
-        out = model.setPredictionCol(f"__p{i}").transform(out)
-        pred_cols.append(F.col(f"__p{i}"))
-    total = pred_cols[0]
-    for c in pred_cols[1:]:
-        total = total + c
-    return out.select(*KEY, label, (total / F.lit(k)).alias(name))
+        return list(pool.map(fit, range(k)))
+
+
+def with_fold_mean(scored: DataFrame, models: list, name: str) -> DataFrame:
+    """Add the mean prediction of ``models`` as ``name``: transforms over one frame, no join."""
+    columns = [f"__{name}_{i}" for i in range(len(models))]
+    for column, model in zip(columns, models):
+        scored = model.setPredictionCol(column).transform(scored)
+    total = F.col(columns[0])
+    for c in columns[1:]:
+        total = total + F.col(c)
+    return scored.withColumn(name, total / F.lit(len(models))).drop(*columns)
+
+
+def kfold_predictions(prepared: DataFrame, params: dict | str, spec: FactSpec, k: int = 5, name: str = "pred",
+                      patience: int | None = None, parallelism: int = 2, label: str = TARGET) -> DataFrame:
+    """Fold-averaged predictions on the valid and test months."""
+    models = kfold_models(prepared, params, spec, k, patience, parallelism, label)
+    return with_fold_mean(score_months(prepared, spec), models, name).select(*KEY, label, name)
 
 
 def fit_predict(prepared: DataFrame, params: dict, spec: FactSpec, name: str = "pred",
-                early_stop: bool = False, label: str = TARGET) -> DataFrame:
-    """One booster fit on the training months (optionally early-stopped on the valid month)."""
+                patience: int | None = None, label: str = TARGET) -> DataFrame:
+    """One booster on the training months (with ``patience``: best iteration by the valid month)."""
     m = F.col(MONTH)
-    if early_stop:
-        data = prepared.filter(m <= spec.valid_month).withColumn("__is_val", m == spec.valid_month)
-        model = booster(params, label, "__is_val").fit(data)
+    train = prepared.filter(m < spec.valid_month)
+    if patience is None:
+        model = booster(params, train, label).fit(train)
     else:
-        model = booster(params, label).fit(prepared.filter(m < spec.valid_month))
-    scored = prepared.filter((m == spec.valid_month) | (m == spec.test_month))
-    return model.setPredictionCol(name).transform(scored).select(*KEY, label, name)
+        model, _ = fit_with_patience(params, train, prepared.filter(m == spec.valid_month), patience, label)
+    return model.setPredictionCol(name).transform(score_months(prepared, spec)).select(*KEY, label, name)
 
 
 def stack_level2(*preds: DataFrame) -> DataFrame:
@@ -186,10 +278,7 @@ def stack_meta(level2: DataFrame, inputs: Sequence[str], spec: FactSpec, params:
     """Meta model trained on the validation month's base predictions, applied to valid and test."""
     data = assemble(level2, inputs, FEATURES)
     train = data.filter(F.col(MONTH) == spec.valid_month)
-    if learner == "ols":
-        est = LinearRegression(featuresCol=FEATURES, labelCol=label, solver="normal", regParam=0.0)
-    else:
-        est = booster(params, label)
+    est = ols(label) if learner == "ols" else booster(params, train, label)
     model = est.fit(train)
     return model.setPredictionCol(name).transform(data).drop(FEATURES)
 
@@ -211,26 +300,24 @@ def random_trials(space: dict, n: int, seed: int = 42) -> list[dict]:
     return out
 
 
-def cv_search(prepared: DataFrame, space: dict, spec: FactSpec, trials: int = 100, k: int = 5,
+def cv_search(prepared: DataFrame, space: dict, spec: FactSpec, trials: int = 100, k: int = 5, patience: int = 100,
               parallelism: int = 4, seed: int = 42, label: str = TARGET) -> tuple[dict, list[float]]:
-    """Mean k-fold RMSE of each drawn trial; returns (best parameters, all scores).
+    """Mean k-fold RMSE of each drawn trial at its best iteration; returns (best parameters, all scores).
 
-    ``CrossValidator`` with ``foldCol`` reuses the hashed folds; trials are
-    evaluated ``parallelism`` at a time, every fit distributed.
+    The folds are the hashed ones; a trial's fold fits stop by ``patience`` on the held-out fold, as the
+    objective asks.  Trials are evaluated ``parallelism`` at a time, every fit distributed.
     """
     draws = random_trials(space, trials, seed)
-    train = prepared.filter(F.col(MONTH) < spec.valid_month).withColumn(label, F.col(label).cast("double"))
-    est = GBTRegressor(featuresCol=FEATURES, labelCol=label, seed=seed)
-    grid = []
-    for d in draws:
-        b = ParamGridBuilder()
-        for pname, val in gbt_params(d, seed).items():
-            b = b.baseOn({est.getParam(pname): val})
-        grid.append(b.build()[0])
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, numFolds=k, foldCol="fold",
-                        evaluator=RegressionEvaluator(labelCol=label, metricName="rmse"),
-                        parallelism=parallelism, seed=seed)
-    model = cv.fit(train.withColumn("fold", F.col("fold").cast("int")))
-    scores = list(model.avgMetrics)
-    best = draws[min(range(len(scores)), key=lambda i: scores[i])]
-    return best, scores
+    train = prepared.filter(F.col(MONTH) < spec.valid_month)
+
+    def score(draw: dict) -> float:
+        total = 0.0
+        for fold in range(k):
+            data, held = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
+            errors = booster(without_unmapped(draw), data, label, seed).fit(data).evaluateEachIteration(held, "squared")
+            total += errors[best_iteration(errors, patience) - 1] ** 0.5
+        return total / k
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        scores = list(pool.map(score, draws))
+    return draws[min(range(len(scores)), key=scores.__getitem__)], scores

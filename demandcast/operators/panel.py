@@ -8,7 +8,7 @@ Scale notes
   a hot key is combined inside every map task before the shuffle and no task
   ever sees more than one row per key per map task.  Besides the two reference
   measures it keeps the sums every later per-line statistic needs (price sum,
-  margin sum, line count): mean prices and campaign revenues are then derived
+  price count, margin sum): mean prices and campaign revenues are then derived
   from the cells and the raw table is scanned once.
 * Money is summed as DECIMAL (exact, order independent) and only turned into
   DOUBLE for ratios.
@@ -27,9 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.functions.columns import clip, line_profit, unit_margin
+from demandcast.sources.readers import assert_unique
 from demandcast.spec import KEY, MONTH, TARGET
 
-CELL_SUMS = ("price_sum", "margin_sum", "line_count")
+CELL_SUMS = ("price_sum", "price_count", "margin_sum")
 
 
 def with_margins(lines: DataFrame) -> DataFrame:
@@ -38,18 +39,68 @@ def with_margins(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"revenue": margin, "profit": line_profit(margin, "orders")})
 
 
-def build_cells(lines: DataFrame) -> DataFrame:
+def complete_key(keys: Sequence[str] = KEY):
+    """A row whose key has a missing part belongs to no group."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def panel_rows(cells: DataFrame) -> DataFrame:
+    """The cells that are rows of the monthly panel: those with a complete key."""
+    return cells.filter(complete_key())
+
+
+def build_cells(lines: DataFrame, null_keys: bool = False) -> DataFrame:
     """One row per (month, campaign, product): the reference measures plus the sums
-    later features are derived from.  ``item_cnt_month`` is BIGINT, money DECIMAL."""
+    later features are derived from.  ``item_cnt_month`` is BIGINT, money DECIMAL.
+
+    Lines with a missing key part are no panel rows (R8).  ``null_keys`` keeps them as cells of
+    their own: their prices still count for the product's means and their margins for the
+    campaign's revenue, which are grouped by one key only.
+    """
     margin = unit_margin("price", "purchase_price")
-    return (lines.groupBy(*KEY)
-                 .agg(F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias(TARGET),
-                      F.coalesce(F.sum(line_profit(margin, "orders")), F.lit(0)).alias("profit_month"),
-                      F.sum("price").alias("price_sum"),
-                      F.sum(margin).alias("margin_sum"),
-                      F.count(F.lit(1)).alias("line_count"))
-                 .select(F.col(MONTH).cast("int"), F.col("campaign_id").cast("int"),
-                         F.col("product_id").cast("int"), TARGET, "profit_month", *CELL_SUMS))
+    src = lines if null_keys else lines.filter(complete_key())
+    zero = F.lit(0)
+    return (src.groupBy(*KEY)
+               .agg(F.coalesce(F.sum("orders"), zero).cast("bigint").alias(TARGET),
+                    F.coalesce(F.sum(line_profit(margin, "orders")), zero).alias("profit_month"),
+                    F.sum("price").alias("price_sum"),
+                    F.count("price").alias("price_count"),
+                    F.coalesce(F.sum(margin), zero).alias("margin_sum"))
+               .select(F.col(MONTH).cast("int"), F.col("campaign_id").cast("int"),
+                       F.col("product_id").cast("int"), TARGET, "profit_month", *CELL_SUMS))
+
+
+_WRITTEN: list[str] = []
+_CACHED: list[DataFrame] = []
+
+
+def release(spark, paths: Sequence[str] | None = None) -> None:
+    """Delete materialised tables (all, or only ``paths``) and drop cached group tables.
+
+    For callers whose results have been written: nothing that still reads the tables may follow.
+    """
+    for path in list(paths if paths is not None else _WRITTEN):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
+    while _CACHED:
+        _CACHED.pop().unpersist()
+
+
+def written_tables() -> list[str]:
+    return list(_WRITTEN)
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """A small group table kept for its two readers; recomputed if lost, dropped by ``release``."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(df)
+    return df
 
 
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
@@ -75,15 +126,16 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
         from demandcast.session import shared_path
         path = shared_path(df.sparkSession, f"table-{uuid.uuid4().hex[:12]}")
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.parquet(path)
+        _WRITTEN.append(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if how == "persist":
-        from pyspark import StorageLevel
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        return cached(df)
     return df
 
 
 def join_items(matrix: DataFrame, items: DataFrame) -> DataFrame:
-    """matrix LEFT JOIN items ON product_id = id, ``id`` dropped."""
+    """matrix LEFT JOIN items ON product_id = id, ``id`` dropped.  A repeated id is an error."""
+    assert_unique(items, "id")
     it = items.withColumnRenamed("id", "__item_id")
     return (matrix.join(it, matrix["product_id"] == it["__item_id"], "left")
                   .drop("__item_id"))
@@ -108,11 +160,9 @@ def join_back(df: DataFrame, agg: DataFrame, keys: Sequence[str], bounded: bool
 
 def broadcast_budget_rows(agg: DataFrame) -> int:
     """Rows of ``agg`` that fit the session's broadcast threshold (conservative width estimate)."""
-    conf = agg.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        limit = int(str(conf).lower().rstrip("b"))
-    except ValueError:
-        limit = 10 * 1024 * 1024
+    spark = agg.sparkSession
+    conf = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    limit = -1 if conf.startswith("-") else spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf)
     width = 0
     for f in agg.schema.fields:
         width += 32 if f.dataType.typeName() == "string" else 16
@@ -129,8 +179,7 @@ def join_back_checked(df: DataFrame, agg: DataFrame, keys: Sequence[str]) -> Dat
     partitions).  This keeps the large side from being shuffled just because
     the planner over-estimates an aggregate's output.
     """
-    from pyspark import StorageLevel
-    agg = agg.persist(StorageLevel.MEMORY_AND_DISK)
+    agg = cached(agg)
     small = agg.count() <= broadcast_budget_rows(agg)
     return df.join(F.broadcast(agg) if small else agg, list(keys), "left")
 
@@ -182,12 +231,13 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
 # --- aggregations ---------------------------------------------------------
 
 def orders_by_month(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(MONTH).agg(F.sum("orders").cast("bigint").alias("orders"))
+    return (lines.filter(complete_key([MONTH])).groupBy(MONTH)
+                 .agg(F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias("orders")))
 
 
 def block_item_sales(lines: DataFrame) -> DataFrame:
-    return (lines.groupBy(MONTH, "product_id", "campaign_id")
-                 .agg(F.sum("orders").cast("bigint").alias("orders")))
+    return (lines.filter(complete_key()).groupBy(MONTH, "product_id", "campaign_id")
+                 .agg(F.coalesce(F.sum("orders"), F.lit(0)).cast("bigint").alias("orders")))
 
 
 def sales_histogram(sales: DataFrame, col: str = "orders", bins: int = 20,
@@ -216,11 +266,11 @@ def sales_histogram(sales: DataFrame, col: str = "orders", bins: int = 20,
 
 def _mean_from(df: DataFrame, value: str, keys: Sequence[str], alias: str) -> DataFrame:
     """Mean of a per-line DECIMAL value, from raw lines or from cells (exact sums, one division)."""
-    if "line_count" in df.columns and f"{value}_sum" in df.columns:
-        s, n = F.sum(f"{value}_sum"), F.sum("line_count")
+    if f"{value}_sum" in df.columns:
+        s, n = F.sum(f"{value}_sum"), F.sum(f"{value}_count")
     else:
         s, n = F.sum(value), F.count(value)
-    return df.groupBy(*keys).agg((s.cast("double") / n).alias(alias))
+    return df.filter(complete_key(keys)).groupBy(*keys).agg(F.try_divide(s.cast("double"), n).alias(alias))
 
 
 def item_mean_price(df: DataFrame) -> DataFrame:
@@ -236,7 +286,8 @@ def month_item_mean_price(df: DataFrame) -> DataFrame:
 def campaign_month_revenue(df: DataFrame) -> DataFrame:
     """Sum of the per-line unit margin per (month, campaign) (DECIMAL)."""
     v = F.col("margin_sum") if "margin_sum" in df.columns else unit_margin("price", "purchase_price")
-    return df.groupBy(MONTH, "campaign_id").agg(F.sum(v).alias("date_campaign_revenue"))
+    return (df.filter(complete_key([MONTH, "campaign_id"])).groupBy(MONTH, "campaign_id")
+              .agg(F.coalesce(F.sum(v), F.lit(0)).alias("date_campaign_revenue")))
 
 
 def campaign_mean_revenue(month_revenue: DataFrame) -> DataFrame:
@@ -247,14 +298,16 @@ def campaign_mean_revenue(month_revenue: DataFrame) -> DataFrame:
 
 
 def product_rollup(rows: DataFrame, value: str = TARGET, alias: str = "order_ctn_month") -> DataFrame:
-    return rows.groupBy("product_id").agg(F.sum(value).cast("bigint").alias(alias))
+    return (rows.filter(complete_key(["product_id"])).groupBy("product_id")
+                .agg(F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias(alias)))
 
 
 def campaign_rollup(rows: DataFrame) -> DataFrame:
     """Sum of profit and pay per campaign (DECIMAL sums)."""
-    return (rows.groupBy("campaign_id")
-                .agg(F.sum("profit_month").alias("profit_month_sum"),
-                     F.sum("salary").alias("salary_month_sum")))
+    zero = F.lit(0)
+    return (rows.filter(complete_key(["campaign_id"])).groupBy("campaign_id")
+                .agg(F.coalesce(F.sum("profit_month"), zero).alias("profit_month_sum"),
+                     F.coalesce(F.sum("salary"), zero).alias("salary_month_sum")))
 
 
 def total(df: DataFrame, value: str, alias: str) -> DataFrame:
@@ -271,10 +324,15 @@ def campaign_net_profit(marketing: DataFrame, rollup: DataFrame, days: int = 29)
 
 def pnl_total(net: DataFrame, costs: DataFrame, total_orders: DataFrame,
               per_order_cost: int = 1000, cost_col: str = "cost") -> DataFrame:
-    """Sum(net profit) - Sum(expenses) - per_order_cost x orders - Sum(salary): four 1-row aggregates."""
-    a = net.agg(F.sum("profit_month").alias("p"), F.sum("salary_month_sum").cast("double").alias("s"))
-    b = costs.agg(F.sum(cost_col).cast("double").alias("e"))
-    c = total_orders.select(F.col(total_orders.columns[0]).cast("double").alias("o"))
+    """Sum(net profit) - Sum(expenses) - per_order_cost x orders - Sum(salary): four 1-row aggregates.
+
+    An empty or all-missing part counts as 0 (R9).
+    """
+    def whole(col):
+        return F.coalesce(F.sum(col).cast("double"), F.lit(0.0))
+    a = net.agg(whole("profit_month").alias("p"), whole("salary_month_sum").alias("s"))
+    b = costs.agg(whole(cost_col).alias("e"))
+    c = total_orders.select(F.coalesce(F.col(total_orders.columns[0]).cast("double"), F.lit(0.0)).alias("o"))
     return (a.crossJoin(b).crossJoin(c)
              .select((F.col("p") - F.col("e") - F.lit(per_order_cost) * F.col("o") - F.col("s"))
                      .alias("total_profit")))

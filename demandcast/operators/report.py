@@ -116,3 +116,16 @@ def ols_two(df: DataFrame, label: str, p1: str, p2: str) -> DataFrame:
         M = [[r[i] if j == k else A[i][j] for j in range(3)] for i in range(3)]
         sol.append(F.try_divide(det3(M), det))
     return s.select(sol[0].alias("intercept"), sol[1].alias("coef_1"), sol[2].alias("coef_2"))
+
+
+def apply_blend(df: DataFrame, weight: DataFrame, p1: str, p2: str, name: str = FORECAST) -> DataFrame:
+    """``alpha * p1 + (1 - alpha) * p2`` with the one-row result of ``blend_alpha``."""
+    j = attach_scalar(df, weight.select(F.col("alpha").alias("__a")))
+    return j.withColumn(name, F.col("__a") * F.col(p1) + (F.lit(1) - F.col("__a")) * F.col(p2)).drop("__a")
+
+
+def apply_ols(df: DataFrame, fit: DataFrame, p1: str, p2: str, name: str = FORECAST) -> DataFrame:
+    """``intercept + coef_1 * p1 + coef_2 * p2`` with the one-row result of ``ols_two``."""
+    j = attach_scalar(df, fit.select(*[F.col(c).alias(f"__{c}") for c in ("intercept", "coef_1", "coef_2")]))
+    return (j.withColumn(name, F.col("__intercept") + F.col("__coef_1") * F.col(p1) + F.col("__coef_2") * F.col(p2))
+             .drop("__intercept", "__coef_1", "__coef_2"))

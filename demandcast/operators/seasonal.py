@@ -13,8 +13,8 @@ Positions ignore calendar gaps (the observations are taken as consecutive).
 Guards: a series needs at least two full periods and only positive
 observations; otherwise its trend, seasonal and residual are NULL (the rows
 are kept).  Every window is partitioned by the series key; the phase table
-has ``period`` rows per series.  Seasonal indices are rounded to 1e-9 so they
-do not depend on summation order.
+has ``period`` rows per series.  A single global series is one partition: it has
+one row per month of the calendar.
 """
 
 from __future__ import annotations
@@ -54,8 +54,7 @@ def decompose(series: DataFrame, value: str, series_keys: Sequence[str] = (), pe
     t = base.withColumns({"trend": F.when(ok, trend), "__phase": F.pmod(F.col("__pos"), F.lit(period))})
     phase = (t.filter(F.col("trend").isNotNull())
               .groupBy(*keys, "__phase").agg(F.avg(F.col("observed") / F.col("trend")).alias("__pm")))
-    phase = phase.withColumn("__seasonal", F.round(
-        F.col("__pm") / F.avg("__pm").over(Window.partitionBy(*keys)), 9))
+    phase = phase.withColumn("__seasonal", F.col("__pm") / F.avg("__pm").over(Window.partitionBy(*keys)))
     out = (t.join(phase.select(*keys, "__phase", "__seasonal"), [*keys, "__phase"], "left")
             .withColumn("seasonal", F.when(ok, F.col("__seasonal")))
             .withColumn("resid", F.try_divide(F.try_divide(F.col("observed"), F.col("seasonal")), F.col("trend"))))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandcast.functions.columns import ratio, relative_change
-from demandcast.operators.panel import attach_scalar, join_back
+from demandcast.operators.panel import attach_scalar, cached, complete_key, join_back, panel_rows
 from demandcast.spec import MONTH, PAIR, TARGET
 
 UNBOUNDED = Window.unboundedPreceding
@@ -69,10 +69,7 @@ def union_lag_feature(df: DataFrame, lags: Sequence[int], col: str) -> DataFrame
 
 def group_sums(df: DataFrame, keys: Sequence[str], target: str = TARGET) -> DataFrame:
     """Sum of ``target`` per (month, *keys); rows whose key is NULL are dropped."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return (df.filter(cond).groupBy(MONTH, *keys)
+    return (df.filter(complete_key(keys)).groupBy(MONTH, *keys)
               .agg(F.sum(target).alias("__x"), F.count(F.lit(1)).alias("__n")))
 
 
@@ -112,14 +109,10 @@ def normalise(df: DataFrame, names: Sequence[str], norm: dict) -> DataFrame:
     aggregated twice.  The table is small (one row per key and month) and is
     persisted (recomputed from its source if an executor is lost).
     """
-    from pyspark import StorageLevel
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = cached(df)
     one = df.agg(*[v.alias(k) for k, v in norm.items()])
     j = attach_scalar(df, one)
-    out = {}
-    for n in names:
-        v = ratio(F.col(n), F.col(f"__m_{n}"))
-        out[n] = F.round(v, 6) if "_std_" in n else v
+    out = {n: ratio(F.col(n), F.col(f"__m_{n}")) for n in names}
     return j.withColumns(out).drop(*one.columns).drop(*[c for c in j.columns if c.startswith("__s_")])
 
 
@@ -140,10 +133,7 @@ def add_group_stats(df: DataFrame, keys: Sequence[str], target: str, prefix: str
 
 def group_mean(df: DataFrame, keys: Sequence[str], target: str, name: str) -> DataFrame:
     """Mean of ``target`` per (month, *keys): exact integer sum over count, one division."""
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return (df.filter(cond).groupBy(MONTH, *keys)
+    return (df.filter(complete_key(keys)).groupBy(MONTH, *keys)
               .agg((F.sum(target).cast("double") / F.count(F.lit(1))).alias(name)))
 
 
@@ -163,17 +153,38 @@ def product_month_prices(cells: DataFrame, k_max: int) -> DataFrame:
     Also the product's mean price over all months (``item_avg_item_price``).
     Windows run over the product-month table (at most one row per month).
     """
-    pm = (cells.groupBy("product_id", MONTH)
-               .agg((F.sum("price_sum").cast("double") / F.sum("line_count")).alias("__pr"),
-                    F.count(F.lit(1)).alias("__rows"),
-                    F.sum("price_sum").alias("__ps"), F.sum("line_count").alias("__pc")))
+    return product_prices(product_month_sums(cells), k_max).drop(*PRODUCT_SUMS)
+
+
+PRODUCT_SUMS = ("__x", "__ps", "__pc", "__best")
+
+
+def product_month_sums(cells: DataFrame) -> DataFrame:
+    """Per (product, month): sums of the cells.  Cells without a campaign (R8) add to the prices only;
+    ``__rows`` counts panel rows and may be 0."""
+    inside = complete_key()
+    return (cells.filter(complete_key(["product_id", MONTH])).groupBy("product_id", MONTH)
+                 .agg(F.coalesce(F.sum(F.when(inside, F.col(TARGET))), F.lit(0)).alias("__x"),
+                      F.count(F.when(inside, 1)).alias("__rows"), F.max(F.when(inside, F.col(TARGET))).alias("__best"),
+                      F.sum("price_sum").alias("__ps"), F.sum("price_count").alias("__pc")))
+
+
+def product_prices(sums: DataFrame, k_max: int) -> DataFrame:
+    """Month price, overall mean price, and the previous months' prices and row counts, on ``product_month_sums``.
+
+    Months without panel rows count for the overall mean, then leave (a row shift cannot reach them).
+    """
     w = month_window(["product_id"])
-    wall = Window.partitionBy("product_id")
-    cols = {"item_avg_item_price": F.sum("__ps").over(wall).cast("double") / F.sum("__pc").over(wall)}
+    pm = sums.withColumns({
+        "__pr": ratio(F.col("__ps").cast("double"), F.col("__pc")),
+        "item_avg_item_price": ratio(F.sum("__ps").over(Window.partitionBy("product_id")).cast("double"),
+                                     F.sum("__pc").over(Window.partitionBy("product_id")))})
+    pm = pm.filter(F.col("__rows") > 0)
+    cols = {}
     for t in range(1, k_max + 1):
         cols[f"__pr{t}"] = F.lag("__pr", t).over(w)
         cols[f"__rows{t}"] = F.lag("__rows", t).over(w)
-    return pm.withColumns(cols).drop("__ps", "__pc")
+    return pm.withColumns(cols)
 
 
 def price_row_lag(k: int, k_max: int) -> Column:
@@ -206,20 +217,21 @@ def price_trend_columns(lags: Sequence[int]) -> Column:
 
 
 def within_cell_index() -> Column:
-    return F.row_number().over(Window.partitionBy("product_id", MONTH).orderBy("campaign_id")) - 1
+    return F.row_number().over(Window.partitionBy("product_id", MONTH).orderBy(F.asc_nulls_last("campaign_id"))) - 1
 
 
 def create_revenue_features(cells: DataFrame, lags: Sequence[int] = (1, 2, 3, 4, 5, 6)) -> DataFrame:
     """Reference-shaped: add ``delta_price_lag`` to a panel that still carries the cell sums."""
     pm = product_month_prices(cells, max(lags))
-    j = join_back(cells, pm, ["product_id", MONTH]).withColumn("__j", within_cell_index())
+    j = join_back(panel_rows(cells), pm, ["product_id", MONTH]).withColumn("__j", within_cell_index())
     out = j.withColumn("delta_price_lag", price_trend_columns(lags))
     return out.drop(*[c for c in pm.columns if c.startswith("__")], "item_avg_item_price", "__j")
 
 
 def campaign_month_delta(cells: DataFrame) -> DataFrame:
     """Per (month, campaign): ``delta_revenue`` = (month revenue - campaign mean) / campaign mean."""
-    cm = cells.groupBy(MONTH, "campaign_id").agg(F.sum("margin_sum").alias("__rev"))
+    cm = (cells.filter(complete_key([MONTH, "campaign_id"])).groupBy(MONTH, "campaign_id")
+               .agg(F.coalesce(F.sum("margin_sum"), F.lit(0)).alias("__rev")))
     wall = Window.partitionBy("campaign_id")
     avg = F.sum("__rev").over(wall).cast("double") / F.count(F.lit(1)).over(wall)
     return cm.select(MONTH, "campaign_id",
@@ -228,7 +240,7 @@ def campaign_month_delta(cells: DataFrame) -> DataFrame:
 
 def create_campaign_revenue_features(cells: DataFrame) -> DataFrame:
     """Reference-shaped: add ``delta_revenue_lag_1`` (pair-grain lag of the campaign delta)."""
-    j = join_back(cells, campaign_month_delta(cells), [MONTH, "campaign_id"])
+    j = join_back(panel_rows(cells), campaign_month_delta(cells), [MONTH, "campaign_id"])
     return lag_feature(j, [1], "delta_revenue").drop("delta_revenue")
 
 

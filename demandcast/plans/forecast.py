@@ -10,6 +10,7 @@ RMSE ``rmse_test``.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,11 +18,12 @@ from pyspark.sql import functions as F
 
 from demandcast.operators import learn as L
 from demandcast.operators.clean import clean_features
+from demandcast.operators.panel import materialize, release, written_tables
 from demandcast.plans.features import feature_matrix
 from demandcast.spec import KEY, MONTH, TARGET, FactSpec
 
 # Label-encoded columns declared categorical for the trees (explicit list).
-CATEGORICAL = ("categories_name",)
+CATEGORICAL = ("categories_id", "categories_name")
 
 
 @dataclass
@@ -35,25 +37,33 @@ class Forecast:
 
 
 def prepared_table(lines: DataFrame, items: DataFrame, spec: FactSpec, k: int = 5) -> DataFrame:
+    """The training table, written by month; the panel tables that led to it are deleted."""
+    before = set(written_tables())
     clean = clean_features(feature_matrix(lines, items, spec), spec)
-    return L.prepare(clean, spec, CATEGORICAL, k)
+    out = L.prepare(clean, spec, CATEGORICAL, k)
+    release(lines.sparkSession, [p for p in written_tables() if p not in before])
+    return out
 
 
-def base_predictions(prepared: DataFrame, spec: FactSpec, params_a: dict = L.BOOSTER_A_FIXED,
-                     params_b: dict = L.BOOSTER_B_FIXED, k: int = 5, parallelism: int = 3) -> DataFrame:
-    """Both boosters' fold-averaged predictions; the two fold sets are fitted concurrently."""
-    from concurrent.futures import ThreadPoolExecutor
+def base_predictions(prepared: DataFrame, spec: FactSpec, params_a: dict | str = L.without_unmapped(L.BOOSTER_A_FIXED),
+                     params_b: dict | str = L.without_unmapped(L.BOOSTER_B_FIXED), k: int = 5, parallelism: int = 3,
+                     patience_a: int | None = L.PATIENCE_A, patience_b: int | None = L.PATIENCE_B) -> DataFrame:
+    """Both learners' fold means as two columns of one scored frame, written once.
+
+    The two fold sets are fitted concurrently; their models run as transforms over the same rows (no join).
+    """
     with ThreadPoolExecutor(max_workers=2) as pool:
-        fa = pool.submit(L.kfold_predictions, prepared, params_a, spec, k, "lgb", True, parallelism)
-        fb = pool.submit(L.kfold_predictions, prepared, params_b, spec, k, "xgb", True, parallelism)
-        pa, pb = fa.result(), fb.result()
-    return L.stack_level2(pa, pb)
+        fa = pool.submit(L.kfold_models, prepared, params_a, spec, k, patience_a, parallelism)
+        fb = pool.submit(L.kfold_models, prepared, params_b, spec, k, patience_b, parallelism)
+        models_a, models_b = fa.result(), fb.result()
+    scored = L.with_fold_mean(L.with_fold_mean(L.score_months(prepared, spec), models_a, "lgb"), models_b, "xgb")
+    return materialize(scored.select(*KEY, TARGET, "lgb", "xgb"), "parquet")
 
 
 def stacked_forecast(prepared: DataFrame, spec: FactSpec, level2: DataFrame | None = None,
-                     meta_params: dict = L.META_PARAMS) -> Forecast:
+                     meta_params: dict = L.META_PARAMS, learner: str = "gbt") -> Forecast:
     level2 = level2 if level2 is not None else base_predictions(prepared, spec)
-    final = L.stack_meta(level2, ["lgb", "xgb"], spec, meta_params)
+    final = L.stack_meta(level2, ["lgb", "xgb"], spec, meta_params, learner=learner)
     valid = final.filter(F.col(MONTH) == spec.valid_month)
     test = final.filter(F.col(MONTH) == spec.test_month)
     mean_y = valid.agg(F.avg(TARGET)).first()[0]

@@ -6,6 +6,9 @@ Every query reads the test tables through the fixture mapping
 
 from __future__ import annotations
 
+import dataclasses
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,10 +74,20 @@ LEFT JOIN cells l12 ON l12.campaign_id = m.campaign_id AND l12.product_id = m.pr
                        .select(*KEY, TARGET, *[f"{TARGET}_lag_{i}" for i in FIXTURE.count_lags]))
 
 
+STAT_COLS = [f"{prefix}_{kind}_sale_last_{p}" for _, prefix, periods in FIXTURE.group_stats
+             for p in periods for kind in ("avg", "std")]
+
+
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Normalised deviations at ``digits`` places: their normaliser is a float mean, whose last bits depend on the
+    order of summation.  Only results are rounded, never what an operator hands on."""
+    return df.withColumns({c: F.round(c, digits) for c in STAT_COLS if "_std_" in c and c in df.columns})
+
+
 @register("feature_matrix", O.features_sql(FIXTURE))
 def q_feature_matrix(spark, sf):
     lines, items = TD.inputs(spark, sf)
-    return feature_matrix(lines, items, FIXTURE)
+    return rounded(feature_matrix(lines, items, FIXTURE))
 
 
 # ---------------------------------------------------------------------------
@@ -99,8 +112,23 @@ def fsql(tail: str, *extra: str) -> str:
 
 
 def features(spark, sf):
-    lines, items = TD.inputs(spark, sf)
-    return feature_matrix(lines, items, SPEC)
+    return q_feature_matrix(spark, sf)
+
+
+def _cells(spark, sf):
+    return P.build_cells(TD.fact(spark, sf))
+
+
+def cells_once(spark, sf, null_keys: bool = False):
+    """The cells, written once for a query that reads them several times (one scan of the lines)."""
+    return P.materialize(P.build_cells(TD.fact(spark, sf), null_keys), "parquet")
+
+
+def panel_once(spark, sf):
+    """The panel with its items' category, written once."""
+    items = TD.items(spark, sf).select("id", "categories_id")
+    return P.materialize(P.join_items(P.build_cells(TD.fact(spark, sf)), items).select(*KEY, TARGET, "categories_id"),
+                         "parquet")
 
 
 def report_rows(spark, sf) -> DataFrame:
@@ -162,10 +190,13 @@ def q_write_forecast_csv(spark, sf):
                                  R.FORECAST)
 
 
-@register("checkpoint_matrix", BASE + "SELECT * REPLACE (CAST(profit_month AS DOUBLE) AS profit_month) FROM matrix")
+@register("checkpoint_matrix", fsql("SELECT *, CAST(date_block_num % 12 AS INT) AS month, "
+                                    "CAST(trunc(date_block_num / 12) AS INT) AS year FROM features"))
 def q_checkpoint_matrix(spark, sf):
-    m = _money(matrix(spark, sf), "profit_month")
-    return SK.checkpoint_table(m, SK.scratch_dir(m, "matrix"), [MONTH])
+    """The whole feature table with its calendar columns, saved by month and read back."""
+    lines, items = TD.inputs(spark, sf)
+    m = feature_matrix(lines, items, dataclasses.replace(SPEC, calendar=True))
+    return rounded(SK.checkpoint_table(m, SK.scratch_dir(m, "features"), [MONTH]))
 
 
 @register("reload_predictions", O.with_ctes(*O.BASE) + f"""SELECT m.date_block_num, m.campaign_id, m.product_id,
@@ -276,13 +307,13 @@ register("join_group_features", fsql(
     "SELECT m.date_block_num, m.campaign_id, m.product_id, g.product_avg_sale_last_6, g.product_std_sale_last_6, "
     "g.product_avg_sale_last_12, g.product_std_sale_last_12 FROM matrix m LEFT JOIN gs_product g "
     "ON g.date_block_num = m.date_block_num AND g.product_id = m.product_id"))(
-    lambda spark, sf: T.add_group_stats(P.build_cells(TD.fact(spark, sf)), ["product_id"], TARGET, "product", (6, 12))
+    lambda spark, sf: rounded(T.add_group_stats(cells_once(spark, sf), ["product_id"], TARGET, "product", (6, 12)))
                        .select(*KEY, "product_avg_sale_last_6", "product_std_sale_last_6",
                                "product_avg_sale_last_12", "product_std_sale_last_12"))
 
 register("asof_last_sale", fsql("SELECT date_block_num, campaign_id, product_id, item_campaign_last_sale, "
                                 "item_last_sale FROM rec"))(
-    lambda spark, sf: T.add_sales_features(P.build_cells(TD.fact(spark, sf)))
+    lambda spark, sf: T.add_sales_features(cells_once(spark, sf))
                        .select(*KEY, "item_campaign_last_sale", "item_last_sale"))
 
 register("join_marketing", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_ROWS, ROLLUP, O.MARKETING) +
@@ -291,11 +322,15 @@ register("join_marketing", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_ROWS, R
     lambda spark, sf: _out_money(TD.marketing(spark, sf).join(
         campaign_rollup_df(spark, sf), F.col("ID") == F.col("campaign_id"), "left").drop("ID")))
 
-register("attach_forecast", RSQL("SELECT date_block_num, campaign_id, product_id, item_cnt_month, "
-                                 "item_cnt_month_forecast FROM rows"))(
-    lambda spark, sf: R.attach_forecast(
-        report_rows(spark, sf).select(*KEY, TARGET),
-        report_rows(spark, sf).select(*KEY, F.col(R.FORECAST).alias("prediction"))))
+@register("attach_forecast", RSQL("SELECT date_block_num, campaign_id, product_id, item_cnt_month, "
+                                  "item_cnt_month_forecast FROM rows"))
+def q_attach_forecast(spark, sf):
+    """Saved predictions put back on the test rows by their key."""
+    rows = P.materialize(report_rows(spark, sf), "parquet")
+    saved = SK.save_predictions(rows.select(*KEY, F.col(R.FORECAST).alias("prediction")),
+                                SK.scratch_dir(rows, "pred-attach"))
+    return R.attach_forecast(rows.select(*KEY, TARGET), saved)
+
 
 # --- 2.4 aggregations ---------------------------------------------------------------
 
@@ -335,23 +370,29 @@ register("campaign_mean_revenue", O.with_ctes(O.FACT) + """, cr AS (SELECT date_
 SELECT campaign_id, CAST(SUM(rev) AS DOUBLE) / COUNT(*) AS campaign_avg_revenue FROM cr GROUP BY campaign_id""")(
     lambda spark, sf: P.campaign_mean_revenue(P.campaign_month_revenue(TD.fact(spark, sf))))
 
-VC_COLS = ("date_block_num", "campaign_id", "product_id", "item_cnt_month")
+VC_COLS = ("date_block_num", "campaign_id", "product_id", "item_cnt_month", "profit_month", "name",
+           "short_description", "categories_id", "categories_name")
 register("value_counts", BASE + "SELECT column_name, value, COUNT(*) AS count FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM cells" for c in VC_COLS)
+    f"SELECT '{c}' AS column_name, CAST({f'CAST({c} AS DECIMAL(38, 4))' if c == 'profit_month' else c} AS VARCHAR) "
+    f"AS value FROM matrix" for c in VC_COLS)
     + ") WHERE value IS NOT NULL GROUP BY column_name, value")(
-    lambda spark, sf: PR.value_counts(P.build_cells(TD.fact(spark, sf)), VC_COLS))
+    lambda spark, sf: PR.value_counts(matrix(spark, sf).withColumn(
+        "profit_month", F.col("profit_month").cast("decimal(38,4)")), VC_COLS))
 
 
 def _profile_sql():
     from demandcast.plans.features import feature_columns
     cols = feature_columns(SPEC)
-    parts = [f"SELECT '{c}' AS column_name, {i} AS ordinal, COUNT({c}) AS non_null_count, "
-             f"COUNT(*) - COUNT({c}) AS null_count FROM features" for i, c in enumerate(cols)]
+    kinds = "CASE any_value(typeof({0})) WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' " \
+            "WHEN 'HUGEINT' THEN 'bigint' ELSE lower(any_value(typeof({0}))) END"
+    parts = [f"SELECT '{c}' AS column_name, {i} AS ordinal, {kinds.format(c)} AS data_type, "
+             f"COUNT({c}) AS non_null_count, COUNT(*) - COUNT({c}) AS null_count FROM features"
+             for i, c in enumerate(cols)]
     return fsql(" UNION ALL ".join(parts))
 
 
 register("table_profile", _profile_sql())(
-    lambda spark, sf: PR.table_profile(features(spark, sf)).drop("data_type"))
+    lambda spark, sf: PR.table_profile(features(spark, sf)))
 
 
 def _nonfinite_sql():
@@ -362,7 +403,18 @@ def _nonfinite_sql():
     return fsql("SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE nonfinite_count > 0")
 
 
-register("nonfinite_cells", _nonfinite_sql())(lambda spark, sf: PR.nonfinite_counts(features(spark, sf)))
+register("nonfinite_counts", _nonfinite_sql())(lambda spark, sf: PR.nonfinite_counts(features(spark, sf)))
+
+
+def _nonfinite_cells_sql():
+    from demandcast.plans.features import feature_columns
+    return fsql(" UNION ALL ".join(
+        f"SELECT date_block_num, campaign_id, product_id, '{c}' AS column_name FROM features WHERE {c} IS NULL"
+        for c in feature_columns(SPEC) if c not in KEY))
+
+
+register("nonfinite_cells", _nonfinite_cells_sql())(
+    lambda spark, sf: PR.nonfinite_cells(features(spark, sf), KEY))
 
 register("product_rollup", RSQL("SELECT * FROM prod", PRODUCT_ROLLUP))(
     lambda spark, sf: P.product_rollup(report_rows(spark, sf)))
@@ -387,31 +439,30 @@ register("campaign_net_profit", O.with_ctes(O.FACT, O.CELLS, REPORT_ROWS, SAL_RO
        - 1000 * (SELECT CAST(SUM(order_ctn_month) AS DOUBLE) FROM prod)
        - (SELECT CAST(SUM(salary_month_sum) AS DOUBLE) FROM net), 4) AS total_profit""")
 def q_pnl_total(spark, sf):
-    net = net_profit_df(spark, sf)
-    tot = P.total(P.product_rollup(report_rows(spark, sf)), "order_ctn_month", "total_orders")
+    rows = P.materialize(report_rows(spark, sf), "parquet")
+    net = P.campaign_net_profit(TD.marketing(spark, sf), P.campaign_rollup(R.with_salary(rows)), days=29)
+    tot = P.total(P.product_rollup(rows), "order_ctn_month", "total_orders")
     out = P.pnl_total(net, TD.costs(spark, sf), tot, 1000)
     return out.select(F.round("total_profit", 4).alias("total_profit"))
 
 
 # --- 2.5 windows ------------------------------------------------------------------------
 
-def _cells(spark, sf):
-    return P.build_cells(TD.fact(spark, sf))
+def _with_recency(cells):
+    return P.join_back(cells, T.product_month_recency(cells), ["product_id", MONTH])
 
 
 register("last_sale_pair", fsql("SELECT date_block_num, campaign_id, product_id, item_campaign_last_sale FROM rec"))(
     lambda spark, sf: _cells(spark, sf).select(*KEY, T.last_sale(TARGET).alias("item_campaign_last_sale")))
 
 register("last_sale_item", fsql("SELECT date_block_num, campaign_id, product_id, item_last_sale FROM rec"))(
-    lambda spark, sf: P.join_back(_cells(spark, sf), T.product_month_recency(_cells(spark, sf)),
-                                  ["product_id", MONTH]).select(*KEY, "item_last_sale"))
+    lambda spark, sf: _with_recency(cells_once(spark, sf)).select(*KEY, "item_last_sale"))
 
 register("first_sale_pair", fsql("SELECT date_block_num, campaign_id, product_id, item_campaign_first_sale FROM rec"))(
     lambda spark, sf: _cells(spark, sf).select(*KEY, T.first_sale().alias("item_campaign_first_sale")))
 
 register("first_sale_item", fsql("SELECT date_block_num, campaign_id, product_id, item_first_sale FROM rec"))(
-    lambda spark, sf: P.join_back(_cells(spark, sf), T.product_month_recency(_cells(spark, sf)),
-                                  ["product_id", MONTH]).select(*KEY, "item_first_sale"))
+    lambda spark, sf: _with_recency(cells_once(spark, sf)).select(*KEY, "item_first_sale"))
 
 
 @register("row_position", BASE + "SELECT date_block_num, campaign_id, product_id, item_cnt_month, "
@@ -420,31 +471,42 @@ def q_row_position(spark, sf):
     return C.row_position(_cells(spark, sf).select(*KEY, TARGET), list(KEY), "ID")
 
 
-STAT_COLS = [f"{prefix}_{kind}_sale_last_{p}" for _, prefix, periods in SPEC.group_stats
-             for p in periods for kind in ("avg", "std")]
+def _group_stats(spark, sf):
+    out = panel_once(spark, sf)
+    for keys, prefix, periods in SPEC.group_stats:
+        out = T.add_group_stats(out, list(keys), TARGET, prefix, periods)
+    return rounded(out)
+
+
 register("group_trailing_avg", fsql("SELECT date_block_num, campaign_id, product_id, "
                                     + ", ".join(c for c in STAT_COLS if "_avg_" in c) + " FROM features"))(
-    lambda spark, sf: features(spark, sf).select(*KEY, *[c for c in STAT_COLS if "_avg_" in c]))
+    lambda spark, sf: _group_stats(spark, sf).select(*KEY, *[c for c in STAT_COLS if "_avg_" in c]))
 
 register("group_trailing_std", fsql("SELECT date_block_num, campaign_id, product_id, "
                                     + ", ".join(c for c in STAT_COLS if "_std_" in c) + " FROM features"))(
-    lambda spark, sf: features(spark, sf).select(*KEY, *[c for c in STAT_COLS if "_std_" in c]))
+    lambda spark, sf: _group_stats(spark, sf).select(*KEY, *[c for c in STAT_COLS if "_std_" in c]))
 
 register("normalise_by_mean", fsql("SELECT * FROM gs_category"))(
-    lambda spark, sf: T.group_trailing_stats(P.join_items(_cells(spark, sf), TD.items(spark, sf)),
-                                             ["categories_id"], TARGET, "category", (12,)))
+    lambda spark, sf: rounded(T.group_trailing_stats(P.join_items(_cells(spark, sf), TD.items(spark, sf)),
+                                                     ["categories_id"], TARGET, "category", (12,))))
 
 TE_COLS = [f"{name}_lag_{i}" for _, name, lags in SPEC.encodings for i in lags]
-register("target_encoding", fsql("SELECT date_block_num, campaign_id, product_id, " + ", ".join(TE_COLS)
-                                 + " FROM features"))(
-    lambda spark, sf: features(spark, sf).select(*KEY, *TE_COLS))
+
+
+@register("target_encoding", fsql("SELECT date_block_num, campaign_id, product_id, " + ", ".join(TE_COLS)
+                                  + " FROM features"))
+def q_target_encoding(spark, sf):
+    out = panel_once(spark, sf)
+    for keys, name, lags in SPEC.encodings:
+        out = T.target_encoding(out, list(keys), TARGET, name, lags)
+    return out.select(*KEY, *TE_COLS)
 
 
 def _price_lags(spark, sf):
-    cells = _cells(spark, sf)
+    cells = cells_once(spark, sf, null_keys=True)
     k_max = max(SPEC.price_lags)
     pm = T.product_month_prices(cells, k_max)
-    j = P.join_back(cells, pm, ["product_id", MONTH]).withColumn("__j", T.within_cell_index())
+    j = P.join_back(P.panel_rows(cells), pm, ["product_id", MONTH]).withColumn("__j", T.within_cell_index())
     return j, k_max
 
 
@@ -457,10 +519,15 @@ def q_price_row_lags(spark, sf):
 
 
 register("delta_price_lag", fsql("SELECT date_block_num, campaign_id, product_id, delta_price_lag FROM prt"))(
-    lambda spark, sf: T.create_revenue_features(_cells(spark, sf), SPEC.price_lags).select(*KEY, "delta_price_lag"))
+    lambda spark, sf: T.create_revenue_features(cells_once(spark, sf, True), SPEC.price_lags).select(*KEY, "delta_price_lag"))
 
 register("delta_revenue_lag", fsql("SELECT date_block_num, campaign_id, product_id, delta_revenue_lag_1 FROM features"))(
-    lambda spark, sf: T.create_campaign_revenue_features(_cells(spark, sf)).select(*KEY, "delta_revenue_lag_1"))
+    lambda spark, sf: T.create_campaign_revenue_features(cells_once(spark, sf, True)).select(*KEY, "delta_revenue_lag_1"))
+
+def _round9(df: DataFrame, *cols: str) -> DataFrame:
+    """Results of float means at 9 places (their last bits depend on the order of summation)."""
+    return df.withColumns({c: F.round(c, 9) for c in cols})
+
 
 SEASONAL_SERIES = """ser AS (SELECT campaign_id, date_block_num, CAST(SUM(orders) AS BIGINT) AS orders FROM fact
   GROUP BY campaign_id, date_block_num)"""
@@ -479,7 +546,7 @@ def _seasonal_sql(keys: str, src: str, tail: str) -> str:
   FROM ser),
 t AS (SELECT *, CASE WHEN nobs >= 14 AND mn > 0 THEN tr END AS trend, pos % 7 AS phase FROM b),
 ph AS (SELECT {pk}phase, AVG(observed / trend) AS pm FROM t WHERE trend IS NOT NULL GROUP BY {pk}phase),
-phn AS (SELECT {pk}phase, round(pm / AVG(pm) OVER ({part}), 9) AS s FROM ph),
+phn AS (SELECT {pk}phase, pm / AVG(pm) OVER ({part}) AS s FROM ph),
 d AS (SELECT t.*, CASE WHEN nobs >= 14 AND mn > 0 THEN p.s END AS seasonal FROM t LEFT JOIN phn p
       ON {on.replace('TRUE', '1=1')} AND p.phase = t.phase)
 SELECT {tail} FROM d"""
@@ -487,16 +554,19 @@ SELECT {tail} FROM d"""
 
 register("seasonal_trend", _seasonal_sql("", """ser AS (SELECT date_block_num, CAST(SUM(orders) AS BIGINT) AS orders
   FROM fact GROUP BY date_block_num)""",
-    "date_block_num, observed, trend, seasonal, observed / NULLIF(seasonal, 0) / NULLIF(trend, 0) AS resid"))(
-    lambda spark, sf: S.decompose(P.orders_by_month(TD.fact(spark, sf)), "orders", (), 7))
+    "date_block_num, observed, trend, round(seasonal, 9) AS seasonal, "
+    "round(observed / NULLIF(seasonal, 0) / NULLIF(trend, 0), 9) AS resid"))(
+    lambda spark, sf: _round9(S.decompose(P.orders_by_month(TD.fact(spark, sf)), "orders", (), 7), "seasonal", "resid"))
 
-register("seasonal_index", _seasonal_sql("campaign_id", SEASONAL_SERIES, "campaign_id, date_block_num, seasonal"))(
-    lambda spark, sf: S.decompose(_campaign_series(spark, sf), "orders", ["campaign_id"], 7)
+register("seasonal_index", _seasonal_sql("campaign_id", SEASONAL_SERIES, "campaign_id, date_block_num, round(seasonal, 9) AS seasonal"))(
+    lambda spark, sf: _round9(S.decompose(_campaign_series(spark, sf), "orders", ["campaign_id"], 7), "seasonal")
                        .select("campaign_id", MONTH, "seasonal"))
 
 register("seasonal_residual", _seasonal_sql("campaign_id", SEASONAL_SERIES,
-    "campaign_id, date_block_num, observed, trend, seasonal, observed / NULLIF(seasonal, 0) / NULLIF(trend, 0) AS resid"))(
-    lambda spark, sf: S.decompose(_campaign_series(spark, sf), "orders", ["campaign_id"], 7))
+    "campaign_id, date_block_num, observed, trend, round(seasonal, 9) AS seasonal, "
+    "round(observed / NULLIF(seasonal, 0) / NULLIF(trend, 0), 9) AS resid"))(
+    lambda spark, sf: _round9(S.decompose(_campaign_series(spark, sf), "orders", ["campaign_id"], 7),
+                              "seasonal", "resid"))
 
 
 def _campaign_series(spark, sf):
@@ -519,7 +589,7 @@ register("head", BASE + "SELECT * REPLACE (CAST(profit_month AS DOUBLE) AS profi
   CASE WHEN date_block_num < {VM} THEN 'train' WHEN date_block_num = {VM} THEN 'valid' ELSE 'test' END AS split
 FROM cells WHERE date_block_num <= {TM}""")
 def q_union_all(spark, sf):
-    cells = _cells(spark, sf).select(*KEY, TARGET)
+    cells = cells_once(spark, sf).select(*KEY, TARGET)
     parts = C.split_by_month(cells, SPEC)
     return P.union_all(*[df.withColumn("split", F.lit(name)) for name, df in parts.items()])
 
@@ -556,20 +626,30 @@ def _clean_sql():
         elif c in lab:
             sel2.append(f"CAST({c} AS DOUBLE) AS {c}")
         else:
-            m = f"AVG({c}) OVER ()"
-            if c in _float_feature_cols():
-                m = f"round({m}, 9)"
-            sel2.append(f"COALESCE(CAST({c} AS DOUBLE), CAST({m} AS DOUBLE)) AS {c}")
+            v = f"COALESCE(CAST({c} AS DOUBLE), CAST(AVG({c}) OVER () AS DOUBLE))"
+            sel2.append(f"{f'round({v}, 9)' if c in _float_feature_cols() else v} AS {c}")
     return fsql(f"SELECT {', '.join(sel2)} FROM lab", f"lab AS (SELECT {', '.join(sel1)} FROM features)")
 
 
 register("mean_impute", _clean_sql())(
-    lambda spark, sf: C.clean_features(features(spark, sf), SPEC))
+    lambda spark, sf: _clean(spark, sf))
+
+
+def _clean(spark, sf):
+    out = C.clean_features(features(spark, sf), SPEC)
+    return _round9(out, *[c for c in _float_feature_cols() if c in out.columns])
+
 
 LAG_COLS = [f"{TARGET}_lag_{i}" for i in SPEC.count_lags]
+
+
+def _count_lags(spark, sf):
+    return T.lag_feature(_cells(spark, sf), SPEC.count_lags, TARGET).select(*KEY, *LAG_COLS)
+
+
 register("zero_fill", fsql("SELECT date_block_num, campaign_id, product_id, "
                            + ", ".join(f"COALESCE({c}, 0) AS {c}" for c in LAG_COLS) + " FROM features"))(
-    lambda spark, sf: C.zero_fill(features(spark, sf).select(*KEY, *LAG_COLS), LAG_COLS))
+    lambda spark, sf: C.zero_fill(_count_lags(spark, sf), LAG_COLS))
 
 
 @register("coalesce_trend", O.with_ctes(*FEATS) + "SELECT date_block_num, campaign_id, product_id, "
@@ -585,88 +665,157 @@ def q_coalesce_trend(spark, sf):
 
 register("cast_float", fsql("SELECT date_block_num, campaign_id, product_id, "
                             + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in LAG_COLS) + " FROM features"))(
-    lambda spark, sf: C.cast_float(features(spark, sf).select(*KEY, *LAG_COLS), LAG_COLS))
+    lambda spark, sf: C.cast_float(_count_lags(spark, sf), LAG_COLS))
 
 
 # --- 2.9 modelling ---------------------------------------------------------------------------
-# Fitted stages are memoised per (session, data dir) so the keys below share one
-# prepared table and one set of fold fits instead of refitting per key.
+# Written stages (the training table, the level-2 predictions) are shared by the keys of one application and
+# data folder; ``release_models`` forgets them.
 
 from demandcast.operators import learn as L  # noqa: E402
 from demandcast.plans import forecast as FC  # noqa: E402
 
-_MEMO: dict = {}
+_STAGES: dict = {}
+FIXED_A, FIXED_B = L.without_unmapped(L.BOOSTER_A_FIXED), L.without_unmapped(L.BOOSTER_B_FIXED)
 
 
-def _memo(spark, sf, name, fn):
-    key = (id(spark), sf, name)
-    if key not in _MEMO:
-        _MEMO[key] = fn()
-    return _MEMO[key]
+def _stage(spark, sf, name, fn):
+    app = spark.sparkContext.applicationId
+    for key in [k for k in _STAGES if k[0] != app]:          # frames of an ended session
+        del _STAGES[key]
+    if (app, sf, name) not in _STAGES:
+        _STAGES[app, sf, name] = fn()
+    return _STAGES[app, sf, name]
 
 
-def prepared(spark, sf):
-    return _memo(spark, sf, "prepared", lambda: FC.prepared_table(*TD.inputs(spark, sf), SPEC))
+def release_models() -> None:
+    _STAGES.clear()
 
 
-def preds_a(spark, sf):
-    return _memo(spark, sf, "preds_a", lambda: L.kfold_predictions(prepared(spark, sf), L.BOOSTER_A_FIXED, SPEC,
-                                                                   5, "lgb", True, 3))
-
-
-def preds_b(spark, sf):
-    return _memo(spark, sf, "preds_b", lambda: L.kfold_predictions(prepared(spark, sf), L.BOOSTER_B_FIXED, SPEC,
-                                                                   5, "xgb", True, 3))
+def prepared(spark, sf):
+    return _stage(spark, sf, "prepared", lambda: FC.prepared_table(*TD.inputs(spark, sf), SPEC))
 
 
 def level2(spark, sf):
-    def both():
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            fa, fb = pool.submit(preds_a, spark, sf), pool.submit(preds_b, spark, sf)
-            return fa.result(), fb.result()
-    a, b = _memo(spark, sf, "preds_ab", both)
-    return L.stack_level2(a, b)
-
+    return _stage(spark, sf, "level2", lambda: FC.base_predictions(prepared(spark, sf), SPEC))
+
+
+def ols_level2(spark, sf):
+    """The fold ensemble and level 2 with the exact learner: a fold mean of least squares on two features each."""
+    return _stage(spark, sf, "ols2", lambda: _ols_level2(spark, sf))
+
+
+OLS_FEATURES = {"lgb": ("item_cnt_month_lag_1", "item_cnt_month_lag_2"), "xgb": ("item_cnt_month_lag_3",
+                                                                                 "item_cnt_month_lag_6")}
+
+
+def _ols_level2(spark, sf):
+    lags = L.with_folds(C.zero_fill(T.lag_feature(_cells(spark, sf), SPEC.count_lags, TARGET), LAG_COLS)
+                        .filter(F.col(MONTH) <= TM).select(*KEY, TARGET, *LAG_COLS))
+    lags = P.materialize(lags, "parquet")
+    scored = L.score_months(lags, SPEC).select(*KEY, TARGET)
+    for name, cols in OLS_FEATURES.items():
+        part = L.kfold_predictions(L.assemble(lags, cols), "ols", SPEC, 5, name)
+        scored = scored.join(part.drop(TARGET), list(KEY))
+    return P.materialize(scored, "parquet")
+
+
+def _ols_ctes():
+    """Fold-wise normal equations of two features with an intercept, solved by Cramer's rule, and their fold mean."""
+    lagged = ", ".join(f"COALESCE(l{i}.item_cnt_month, 0) AS item_cnt_month_lag_{i}" for i in SPEC.count_lags)
+    joins = " ".join(f"LEFT JOIN cells l{i} ON l{i}.campaign_id = m.campaign_id AND l{i}.product_id = m.product_id "
+                     f"AND l{i}.date_block_num = m.date_block_num - {i}" for i in SPEC.count_lags)
+    fold = FOLD_SQL
+    for k in KEY:
+        fold = fold.replace(f"CAST({k} AS VARCHAR)", f"CAST(m.{k} AS VARCHAR)")
+    ctes = [f"lagged AS (SELECT m.date_block_num, m.campaign_id, m.product_id, m.item_cnt_month, {fold} AS fold, "
+            f"{lagged} FROM cells m {joins} WHERE m.date_block_num <= {TM})"]
+    for name, (a, b) in OLS_FEATURES.items():
+        ctes.append(f"""{name}_s AS (SELECT f.k, CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM({a}) AS DOUBLE) AS sa,
+    CAST(SUM({b}) AS DOUBLE) AS sb, CAST(SUM(item_cnt_month) AS DOUBLE) AS sy, CAST(SUM({a} * {a}) AS DOUBLE) AS saa,
+    CAST(SUM({a} * {b}) AS DOUBLE) AS sab, CAST(SUM({b} * {b}) AS DOUBLE) AS sbb,
+    CAST(SUM({a} * item_cnt_month) AS DOUBLE) AS say, CAST(SUM({b} * item_cnt_month) AS DOUBLE) AS sby
+  FROM range(5) f(k) JOIN lagged ON fold <> f.k AND date_block_num < {VM} GROUP BY f.k),
+{name}_d AS (SELECT *, n * (saa * sbb - sab * sab) - sa * (sa * sbb - sab * sb) + sb * (sa * sab - saa * sb) AS det
+  FROM {name}_s),
+{name}_c AS (SELECT k, (sy * (saa * sbb - sab * sab) - sa * (say * sbb - sab * sby) + sb * (say * sab - saa * sby)) / det AS c0,
+    (n * (say * sbb - sab * sby) - sy * (sa * sbb - sab * sb) + sb * (sa * sby - say * sb)) / det AS c1,
+    (n * (saa * sby - say * sab) - sa * (sa * sby - say * sb) + sy * (sa * sab - saa * sb)) / det AS c2 FROM {name}_d),
+{name}_p AS (SELECT date_block_num, campaign_id, product_id, item_cnt_month, AVG(c0 + c1 * {a} + c2 * {b}) AS {name}
+  FROM lagged, {name}_c WHERE date_block_num IN ({VM}, {TM})
+  GROUP BY date_block_num, campaign_id, product_id, item_cnt_month)""")
+    ctes.append("lvl2 AS (SELECT * FROM lgb_p JOIN xgb_p USING (date_block_num, campaign_id, product_id, item_cnt_month))")
+    return ctes
+
+
+register("kfold_ensemble_ols", O.with_ctes(O.FACT, O.CELLS, *_ols_ctes()) +
+         "SELECT date_block_num, campaign_id, product_id, item_cnt_month, round(lgb, 6) AS lgb, round(xgb, 6) AS xgb "
+         "FROM lvl2")(
+    lambda spark, sf: ols_level2(spark, sf).withColumns({c: F.round(c, 6) for c in ("lgb", "xgb")}))
+
+register("stack_meta_ols", O.with_ctes(O.FACT, O.CELLS, *_ols_ctes(), f"""st AS (SELECT CAST(COUNT(*) AS DOUBLE) AS n,
+  SUM(lgb) AS sa, SUM(xgb) AS sb, SUM(CAST(item_cnt_month AS DOUBLE)) AS sy, SUM(lgb * lgb) AS saa, SUM(lgb * xgb) AS sab,
+  SUM(xgb * xgb) AS sbb, SUM(lgb * item_cnt_month) AS say, SUM(xgb * item_cnt_month) AS sby
+  FROM lvl2 WHERE date_block_num = {VM}),
+sd AS (SELECT *, n * (saa * sbb - sab * sab) - sa * (sa * sbb - sab * sb) + sb * (sa * sab - saa * sb) AS det FROM st),
+sc AS (SELECT (sy * (saa * sbb - sab * sab) - sa * (say * sbb - sab * sby) + sb * (say * sab - saa * sby)) / det AS c0,
+  (n * (say * sbb - sab * sby) - sy * (sa * sbb - sab * sb) + sb * (sa * sby - say * sb)) / det AS c1,
+  (n * (saa * sby - say * sab) - sa * (sa * sby - say * sb) + sy * (sa * sab - saa * sb)) / det AS c2 FROM sd)""")
+         + "SELECT date_block_num, campaign_id, product_id, round(c0 + c1 * lgb + c2 * xgb, 4) "
+           "AS item_cnt_month_forecast FROM lvl2, sc")(
+    lambda spark, sf: L.stack_meta(ols_level2(spark, sf), ["lgb", "xgb"], SPEC, learner="ols")
+                       .select(*KEY, F.round("item_cnt_month_forecast", 4).alias("item_cnt_month_forecast")))
+
+
+def _assembled_sql():
+    from demandcast.plans.features import feature_columns
+    cols = [c for c in feature_columns(SPEC) if c not in SPEC.drop_before_clean and c != TARGET]
+    outer = [c if c in KEY else f"round({c}, 6) AS {c}" if "_std_" in c else f"CAST({c} AS DOUBLE) AS {c}" for c in cols]
+    return f"SELECT {', '.join(outer)}, item_cnt_month FROM ({_clean_sql()}) WHERE date_block_num <= {TM}"
 
-def stacked(spark, sf):
-    return _memo(spark, sf, "stacked", lambda: FC.stacked_forecast(prepared(spark, sf), SPEC, level2(spark, sf)))
 
+@register("assemble_features", _assembled_sql())
+def q_assemble_features(spark, sf):
+    """The feature vector as columns again, to compare with the cleaning SQL."""
+    from pyspark.ml.functions import vector_to_array
+    p = prepared(spark, sf)
+    attrs = json.loads(p.schema[L.FEATURES].json())["metadata"]["ml_attr"]["attrs"]
+    names = {a["idx"]: a["name"] for kind in attrs.values() for a in kind}
+    wide = p.withColumn("__v", vector_to_array(L.FEATURES))
+    values = [F.col("__v")[i].alias(n) for i, n in sorted(names.items()) if n not in KEY]
+    return rounded(_round9(wide.select(*KEY, *values, TARGET),
+                           *[c for c in _float_feature_cols() if c in names.values() and "_std_" not in c]))
 
-register("assemble_features")(lambda spark, sf: prepared(spark, sf))
 
-register("booster_a")(lambda spark, sf: L.fit_predict(prepared(spark, sf), L.BOOSTER_A_FIXED, SPEC, "lgb"))
+register("booster_a_fixed")(lambda spark, sf: L.fit_predict(prepared(spark, sf), FIXED_A, SPEC, "lgb"))
 
-register("booster_b")(lambda spark, sf: L.fit_predict(prepared(spark, sf), L.BOOSTER_B_FIXED, SPEC, "xgb"))
+register("booster_b_fixed")(lambda spark, sf: L.fit_predict(prepared(spark, sf), FIXED_B, SPEC, "xgb"))
 
-register("early_stop")(lambda spark, sf: L.fit_predict(prepared(spark, sf), L.BOOSTER_B_FIXED, SPEC, "xgb",
-                                                       early_stop=True))
+register("early_stop")(lambda spark, sf: L.fit_predict(prepared(spark, sf), FIXED_B, SPEC, "xgb",
+                                                       patience=L.PATIENCE_B))
 
 
 @register("categorical_features", fsql(
     f"SELECT 'categories_name' AS column_name, CAST(MAX(code) + 1 AS INT) AS num_vals FROM ("
     f"SELECT DENSE_RANK() OVER (ORDER BY categories_name NULLS LAST) - 1 AS code FROM features "
-    f"WHERE date_block_num <= {TM})"))
+    f"WHERE date_block_num <= {TM}) UNION ALL "
+    f"SELECT 'categories_id', CAST(trunc(MAX(COALESCE(categories_id, m))) + 1 AS INT) FROM (SELECT categories_id, "
+    f"AVG(categories_id) OVER () AS m, date_block_num FROM features) WHERE date_block_num <= {TM}"))
 def q_categorical_features(spark, sf):
     """Categorical columns and their number of values, as declared to the trees."""
-    import json
-    p = prepared(spark, sf)
-    attrs = json.loads(p.schema[L.FEATURES].json())["metadata"].get("ml_attr", {}).get("attrs", {})
-    nominal = [(a["name"], len(a.get("vals", [])) or a.get("num_vals")) for a in attrs.get("nominal", [])]
-    rows = [{"column_name": n, "num_vals": int(v)} for n, v in nominal]
-    schema = "column_name string, num_vals int"
-    return spark.createDataFrame(rows, schema) if rows else spark.createDataFrame([], schema)
+    rows = [{"column_name": n, "num_vals": v} for n, v in L.nominal_sizes(prepared(spark, sf)).items()]
+    return spark.createDataFrame(rows, "column_name string, num_vals int")
 
 
 register("kfold_assign", BASE + f"SELECT date_block_num, campaign_id, product_id, {FOLD_SQL} AS fold FROM cells "
          f"WHERE date_block_num < {VM}")(
     lambda spark, sf: L.with_folds(_cells(spark, sf).filter(F.col(MONTH) < VM).select(*KEY)))
 
-register("kfold_ensemble")(lambda spark, sf: preds_a(spark, sf))
+register("kfold_ensemble")(lambda spark, sf: level2(spark, sf).select(*KEY, TARGET, "lgb"))
 
 register("stack_level2")(lambda spark, sf: level2(spark, sf))
 
-register("stack_meta")(lambda spark, sf: stacked(spark, sf).final)
+register("stack_meta")(lambda spark, sf: L.stack_meta(level2(spark, sf), ["lgb", "xgb"], SPEC))
 
 
 def _valid_forecasts(spark, sf):
@@ -720,38 +869,56 @@ def q_blend_ols(spark, sf):
     return o.select(*[F.round(c, 6).alias(c) for c in ("intercept", "coef_1", "coef_2")])
 
 
-register("blend_booster")(lambda spark, sf: L.stack_meta(level2(spark, sf), ["lgb", "xgb"], SPEC, {},
-                                                         "item_cnt_month_forecast"))
+def _two_forecasts(spark, sf):
+    """Validation and test rows with the two SQL-expressible forecasts, written once."""
+    cells = T.lag_feature(P.build_cells(TD.fact(spark, sf, months=(VM - 6, TM))), [1], TARGET)
+    return P.materialize(cells.select(*KEY, TARGET, R.lag1_forecast(cells).alias("lag_1"),
+                                      R.trailing_mean_forecast(cells, 6).alias("mean_6"))
+                         .filter(F.col(MONTH).isin(VM, TM)), "parquet")
+
+
+def _blend_file(spark, rows, name, digits=4):
+    out = rows.filter(F.col(MONTH) == TM).withColumn(R.FORECAST, F.round(R.FORECAST, digits))
+    return SK.write_forecast_csv(out, SK.scratch_dir(out, name), ["campaign_id", "product_id"], R.FORECAST)
+
+
+TEST_FC = VALID_FC.replace("vf AS", "tf AS").replace(f"WHERE m.date_block_num = {VM}", f"WHERE m.date_block_num = {TM}")
+FILE_SQL = ("SELECT CAST(ROW_NUMBER() OVER (ORDER BY campaign_id, product_id) - 1 AS BIGINT) AS ID, "
+            "round({0}, 4) AS item_cnt_month FROM tf, best")
 
 
-CV_TRIALS = 3  # trials run by the registered query; the operator default is the original 100
+@register("blend_alpha_forecast", SQL["blend_alpha"].replace(O.with_ctes(O.FACT, O.CELLS, VALID_FC),
+                                                             O.with_ctes(O.FACT, O.CELLS, VALID_FC, TEST_FC))
+          .replace("SELECT alpha, round(rmse, 6)", ", best AS (SELECT alpha, round(rmse, 6)")
+          + ")\n" + FILE_SQL.format("alpha * lag_1 + (1 - alpha) * mean_6"))
+def q_blend_alpha_forecast(spark, sf):
+    """The best weight of the validation month, applied to the test month and written as a forecast file."""
+    f = _two_forecasts(spark, sf)
+    best = R.blend_alpha(f.filter(F.col(MONTH) == VM), TARGET, "lag_1", "mean_6")
+    return _blend_file(spark, R.apply_blend(f, best, "lag_1", "mean_6"), "blend-alpha")
 
 
-@register("cv_search")
-def q_cv_search(spark, sf):
-    best, scores = _memo(spark, sf, "cv", lambda: L.cv_search(
-        prepared(spark, sf), {k: v for k, v in L.SPACE_B.items() if k != "n_estimators"} | {"n_estimators": [10, 20]},
-        SPEC, trials=CV_TRIALS, k=5, parallelism=3))
-    draws = L.random_trials({k: v for k, v in L.SPACE_B.items() if k != "n_estimators"} | {"n_estimators": [10, 20]},
-                            CV_TRIALS, 42)
-    rows = [dict(trial=i, **{k: float(v) for k, v in d.items()}, mean_rmse=float(s))
-            for i, (d, s) in enumerate(zip(draws, scores))]
-    return spark.createDataFrame(rows)
+@register("blend_ols_forecast", SQL["blend_ols"].replace(O.with_ctes(O.FACT, O.CELLS, VALID_FC),
+                                                         O.with_ctes(O.FACT, O.CELLS, VALID_FC, TEST_FC))
+          .replace("FROM s)\nSELECT", "FROM s),\nbest AS (SELECT").replace(", 6) AS", ", 12) AS")
+          + ")\n" + FILE_SQL.format("intercept + coef_1 * lag_1 + coef_2 * mean_6"))
+def q_blend_ols_forecast(spark, sf):
+    """The least-squares blend of the validation month, applied to the test month and written as a forecast file."""
+    f = _two_forecasts(spark, sf)
+    best = R.ols_two(f.filter(F.col(MONTH) == VM), TARGET, "lag_1", "mean_6")
+    return _blend_file(spark, R.apply_ols(f, best, "lag_1", "mean_6"), "blend-ols")
 
 
-@register("tuned_stack")
-def q_tuned_stack(spark, sf):
-    q_cv_search(spark, sf)
-    key = (id(spark), sf, "cv")
-    best = _MEMO[key][0]
-    pb = L.kfold_predictions(prepared(spark, sf), best, SPEC, 5, "xgb", True, 2)
-    l2 = L.stack_level2(preds_a(spark, sf), pb)
-    return FC.stacked_forecast(prepared(spark, sf), SPEC, l2).final
+@register("blend_booster")
+def q_blend_booster(spark, sf):
+    """The second library's booster with its documented defaults on the base predictions; test month as a file."""
+    out = L.stack_meta(level2(spark, sf), ["lgb", "xgb"], SPEC, L.DEFAULTS_B, R.FORECAST)
+    return _blend_file(spark, out, "blend-booster", 12)
 
 
 @register("stacked_forecast")
 def q_stacked_forecast(spark, sf):
-    fc = stacked(spark, sf)
+    fc = FC.stacked_forecast(prepared(spark, sf), SPEC, level2(spark, sf))
     rows = FC.forecast_rows(fc, SPEC)
     return SK.write_forecast_csv(rows, SK.scratch_dir(rows, "stacked-submission"), ["campaign_id", "product_id"],
                                  "item_cnt_month_forecast")

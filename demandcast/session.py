@@ -16,6 +16,7 @@ for tests, the bench and command-line use.  Settings that matter at scale:
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -67,8 +68,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        master = spark.conf.get("spark.master", "local")
-        if not str(master).startswith("local"):
+        master = spark.conf.get("spark.master", None)
+        if master is None or not re.match(r"local(\[|$)", str(master)):   # unknown counts as a cluster
             raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a shared folder "
                                "(checkpoints and written tables must survive the loss of an executor)")
         conf_dir = tempfile.mkdtemp(prefix="demandcast-ckpt-")   # local runs and tests only

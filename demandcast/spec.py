@@ -7,7 +7,7 @@ and on the test fixture (``FIXTURE``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 KEY = ("date_block_num", "campaign_id", "product_id")
 PAIR = ("campaign_id", "product_id")
@@ -41,11 +41,8 @@ class FactSpec:
     label_columns: tuple = ("name", "short_description", "categories_name")
     # last-sale months are produced up to this month (None = no cap)
     max_month: int | None = None
-    extra: dict = field(default_factory=dict)
-
-    @property
-    def train_before(self) -> int:
-        return self.valid_month
+    # calendar month and year that the notebook carries into its saved table
+    calendar: bool = False
 
 
 # The test fixture: base year 1995, train < 81, valid = 81, test = 82.

@@ -18,5 +18,5 @@ def spark():
 
 @pytest.fixture(scope="session")
 def duck_small():
-    from demandcast.plans.check import duckdb_connection
+    from oracle_check import duckdb_connection
     return duckdb_connection(SF_SMALL)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandcast.operators import temporal as T
 from demandcast.plans.features import feature_matrix, feature_matrix_chain
+from demandcast.plans.registry import rounded
 from demandcast.sources import testdata as TD
 from demandcast.spec import FIXTURE, KEY, TARGET
 
@@ -56,8 +57,8 @@ def test_trailing_window_equals_range_join(spark):
 
 def test_fused_feature_plan_equals_operator_chain(spark):
     lines, items = TD.inputs(spark, SF_SMALL)
-    a = feature_matrix(lines, items, FIXTURE)
-    b = feature_matrix_chain(lines, items, FIXTURE)
+    a = rounded(feature_matrix(lines, items, FIXTURE))
+    b = rounded(feature_matrix_chain(lines, items, FIXTURE))
     assert a.columns == b.columns
     ra = sorted(map(repr, (tuple(r) for r in a.collect())))
     rb = sorted(map(repr, (tuple(r) for r in b.collect())))

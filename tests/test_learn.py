@@ -1,10 +1,13 @@
 """Model fitting: rows, finite predictions, reproducibility, better than the mean."""
 
 import math
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from demandcast.operators import learn as L
+from demandcast.operators.panel import written_tables
 from demandcast.plans import forecast as FC
 from demandcast.sources import testdata as TD
 from demandcast.spec import FIXTURE, KEY, MONTH
@@ -21,9 +24,12 @@ def test_folds_stable_under_repartition(spark):
     assert len(sizes) == 5 and min(sizes) > 0
 
 
-def test_stacked_forecast_end_to_end(spark):
-    lines, items = TD.inputs(spark, SF_SMALL)
-    prep = FC.prepared_table(lines, items, FIXTURE)
+@pytest.fixture(scope="module")
+def prep(spark):
+    return FC.prepared_table(*TD.inputs(spark, SF_SMALL), FIXTURE)
+
+
+def test_stacked_forecast_end_to_end(spark, prep):
     small = {"max_depth": 3, "n_estimators": 3}
     l2 = FC.base_predictions(prep, FIXTURE, small, small, k=3, parallelism=2)
     fc = FC.stacked_forecast(prep, FIXTURE, l2, {"max_depth": 2, "n_estimators": 5, "learning_rate": 0.1})
@@ -36,9 +42,59 @@ def test_stacked_forecast_end_to_end(spark):
     assert math.isclose(again.rmse_valid_in_sample, fc.rmse_valid_in_sample)
 
 
+def test_prepared_table_keeps_no_panel_tables_and_reads_one_month(spark, prep):
+    assert not [p for p in written_tables() if not os.path.isdir(p.replace("file:", ""))]
+    plan = prep.filter(F.col(MONTH) == 81)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_block_num" in plan
+
+
+def test_best_iteration_by_patience():
+    assert L.best_iteration([5, 4, 3, 3.5, 2], 100) == 5
+    assert L.best_iteration([5, 4, 3, 3.5, 3.6, 2], 2) == 3      # two rounds without improvement: stop
+    assert L.best_iteration([5], 1) == 1
+
+
+def test_fit_keeps_the_asked_trees_or_the_best_iteration(prep):
+    train = prep.filter(F.col(MONTH) < FIXTURE.valid_month)
+    data, held = train.filter("fold <> 0"), train.filter("fold = 0")
+    params = L.without_unmapped(L.BOOSTER_A_FIXED)
+    model, errors = L.fit_with_patience(params, data, held, L.PATIENCE_A)
+    assert len(errors) == 9
+    assert model.getNumTrees == L.best_iteration(errors, L.PATIENCE_A)
+    if model.getNumTrees < 9:      # the refit is the head of the full fit
+        assert math.isclose(model.evaluateEachIteration(held, "squared")[-1], min(errors), rel_tol=1e-9)
+
+
+def test_large_category_stays_nominal(spark):
+    df = spark.createDataFrame([(float(i % 65), float(i)) for i in range(400)], "c double, item_cnt_month double")
+    v = L.assemble(L.declare_categorical(df, ["c"]), ["c"])
+    assert L.nominal_sizes(v) == {"c": 65} and L.bins_for(v) == 65
+    model = L.booster({"n_estimators": 1, "max_depth": 2}, v).fit(v)
+    assert model.getNumTrees == 1
+
+
+def test_missing_values_are_an_error_and_empty_columns_reported(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    assert L.drop_all_missing(df, ["a", "b"])[1] == ["b"]
+    with pytest.raises(Exception):
+        L.assemble(df, ["a", "b"]).collect()
+
+
 def test_gbt_parameter_mapping():
-    p = L.gbt_params(L.BOOSTER_B_NOTEBOOK)
+    p = L.gbt_params(L.without_unmapped(L.BOOSTER_B_NOTEBOOK))
     assert p["maxDepth"] == 7 and p["maxIter"] == 1000 and p["minInstancesPerNode"] == 300
     assert p["subsamplingRate"] == 0.8 and p["featureSubsetStrategy"] == "0.8" and p["stepSize"] == 0.1
-    assert L.gbt_params(L.BOOSTER_A_FIXED)["minInstancesPerNode"] == 1
+    assert L.gbt_params(L.without_unmapped(L.BOOSTER_A_FIXED))["minInstancesPerNode"] == 1
     assert set(L.unmapped(L.BOOSTER_A_FIXED)) == {"reg_alpha", "reg_lambda"}
+    for bad in (L.BOOSTER_A_FIXED, {"max_depth": 31}, {"num_leaves": 3}):
+        with pytest.raises(ValueError):
+            L.gbt_params(bad)
+    decoded = L.decode(L.BOOSTER_A_FIXED, L.SPACE_A)
+    assert (decoded["max_depth"], decoded["n_estimators"], decoded["min_child_weight"]) == (11, 1000, 100)
+
+
+def test_search_draws_from_both_spaces(prep):
+    few = {"n_estimators": [2, 3], "max_depth": [2, 3]}
+    for space in (L.SPACE_A, L.SPACE_B):
+        best, scores = L.cv_search(prep, space | few, FIXTURE, trials=2, k=2, parallelism=2)
+        assert len(scores) == 2 and set(best) == set(space) and all(s > 0 for s in scores)

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from demandcast.plans.check import compare
+from oracle_check import compare
 
 from conftest import SF_SMALL
 

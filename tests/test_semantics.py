@@ -111,8 +111,9 @@ def test_zero_divisor_gives_null(spark):
 
 def test_label_encode_sorted_null_last(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "name string")
-    out = C.label_encode(df, ["name"]).collect()
-    assert [r[0] for r in out] == [1, 0, 3, 2, 0]   # R16
+    out = C.label_encode(df.withColumn("k", F.col("name")), ["name"]).collect()
+    assert {(r["k"], r["name"]) for r in out} == {("a", 0), ("b", 1), ("c", 2), (None, 3)}   # R16
+    assert len(out) == 5
 
 
 def test_mean_impute_and_all_missing_column(spark):
@@ -200,3 +201,79 @@ def test_mean_impute_fit_on_training_months_only(spark):
     fit = df.filter(F.col("date_block_num") < 3)
     out = C.mean_impute(df, ["x"], fit=fit).orderBy("date_block_num").collect()
     assert [r["x"] for r in out] == [2.0, 2.0, 100.0]
+
+
+LINES = "date_block_num int, campaign_id int, product_id int, price decimal(12,2), purchase_price decimal(18,4), orders int"
+
+
+def _lines(spark, rows):
+    from decimal import Decimal
+    return spark.createDataFrame([(m, c, p, None if x is None else Decimal(x), Decimal(0), o)
+                                  for m, c, p, x, o in rows], LINES)
+
+
+NULL_ROWS = [(1, 1, 1, 10, 2), (1, 1, 1, None, 3), (1, 2, 1, 30, 1), (1, None, 1, 50, 9), (2, 1, None, 70, 4),
+             (2, 1, 1, None, 1), (2, None, None, 5, 5), (3, None, 1, 90, 1)]
+
+
+def test_null_keys_are_no_panel_rows_but_their_prices_count(spark):
+    lines = _lines(spark, NULL_ROWS)
+    panel = {(r[0], r[1], r[2]): r for r in P.build_cells(lines).collect()}
+    assert set(panel) == {(1, 1, 1), (1, 2, 1), (2, 1, 1)}                            # R8
+    cells = P.build_cells(lines, null_keys=True)
+    for of in (lines, cells):                                                        # both paths, one result
+        means = {(r[0], r[1]): r[2] for r in P.month_item_mean_price(of).collect()}
+        assert means == {(1, 1): 30.0, (2, 1): None, (3, 1): 90.0}                   # a null price is no price
+        assert [tuple(r) for r in P.item_mean_price(of).collect()] == [(1, 45.0)]
+        revenue = {(r[0], r[1]): float(r[2]) for r in P.campaign_month_revenue(of).collect()}
+        assert revenue == {(1, 1): 10.0, (1, 2): 30.0, (2, 1): 70.0}                 # an all-missing sum is 0 (R9)
+    assert P.panel_rows(cells).count() == 3
+
+
+def test_feature_matrix_with_null_keys_equals_the_chain(spark):
+    from demandcast.plans.features import feature_matrix, feature_matrix_chain
+    from demandcast.plans.registry import rounded
+    rows = NULL_ROWS + [(m, c, p, 10 * m + c + p, m + c) for m in range(1, 9) for c in (1, 2, 3) for p in (1, 2, 3)
+                        if (m + c * p) % 4]
+    items = spark.createDataFrame([(1, "a", "s", 7, "x"), (2, "b", None, None, None)],
+                                  "id int, name string, short_description string, categories_id int, categories_name string")
+    fused = rounded(feature_matrix(_lines(spark, rows), items))
+    chain = rounded(feature_matrix_chain(_lines(spark, rows), items))
+    assert sorted(map(repr, fused.collect())) == sorted(map(repr, chain.collect()))
+    assert fused.filter("campaign_id is null or product_id is null").count() == 0
+
+
+def test_empty_parts_count_as_zero(spark):
+    net = spark.createDataFrame([(10.0, 3.0)], "profit_month double, salary_month_sum double")
+    costs = spark.createDataFrame([], "item string, cost bigint")
+    orders = spark.createDataFrame([(None,)], "total_orders bigint")
+    assert P.pnl_total(net, costs, orders).first()[0] == 7.0
+
+
+def test_duplicate_items_do_not_fan_out(spark):
+    items = spark.createDataFrame([(1, "a"), (1, "b")], "id int, name string")
+    try:
+        P.join_items(cells(spark, GOLDEN), items)
+    except ValueError:
+        return
+    raise AssertionError("duplicate id accepted")
+
+
+def test_broadcast_limit_is_read_with_its_unit(spark):
+    agg = spark.range(1).selectExpr("id", "id as x")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, rows in (("1MB", 1 << 15), ("1024", 32), ("-1", 0), ("50m", 50 << 15)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert P.broadcast_budget_rows(agg) == rows, text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_blends_are_applied(spark):
+    from demandcast.operators import report as R
+    df = spark.createDataFrame([(float(y), y + 1.0, y * 0.5) for y in range(1, 40)], "y double, a double, b double")
+    w = spark.createDataFrame([(0.25, 1.0)], "alpha double, rmse double")
+    assert all(math.isclose(r[R.FORECAST], 0.25 * r["a"] + 0.75 * r["b"]) for r in R.apply_blend(df, w, "a", "b").collect())
+    o = R.apply_ols(df, R.ols_two(df.withColumn("b", F.col("b") + F.col("y") % 3), "y", "a", "b"), "a", "b").collect()
+    assert all(math.isfinite(r[R.FORECAST]) for r in o)
