@@ -2,9 +2,10 @@
 
 1. Every page is scanned once into blocks (one task-local pass, no tree kept): scripts, styles, forms and other
    raw elements are skipped, character references decoded, white space inside a block made one space.  A block
-   is *main* (inside ``article`` or ``main``), *furniture* (inside navigation, headers, footers, sidebars, adverts,
-   notices, comments, by element, role or class name) or *open* (neither).
-2. Pages with main blocks are finished: their text is the main blocks.  Repetition is not held against them, as a
+   is *furniture* (inside navigation, headers, footers, sidebars, adverts, notices, comments, by element, role or
+   class name), else *article*, *main* (inside ``main`` only) or *open* (none of these).  Of a header inside an
+   article the headings stay.
+2. Pages with article blocks, or else main blocks, are finished: these are their text.  Repetition is not held against them, as a
    passage that two articles share is still article text.
 3. For the others the token streams of all text outside articles are laid end to end per host and their suffixes
    put in order of their first ``min_run`` tokens by Spark's shuffle (a suffix array cut at the depth that counts;
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from demandcast.llm.common import map_rows, materialize
 
-MAIN, OPEN, FURNITURE = 1, 0, 2
+ARTICLE, MAIN, OPEN, FURNITURE = 3, 1, 0, 2
 
 #: Element names by role, and class, id and role words of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -43,7 +44,8 @@ FURNITURE_WORDS = frozenset("nav navbar navigation menu menubar footer sidebar a
                             "advertising banner cookie cookies consent gdpr notice alert newsletter subscribe promo "
                             "promotion sponsor sponsored share sharing social comment comments respond disqus "
                             "breadcrumb breadcrumbs pagination pager popup modal overlay login signup search related "
-                            "recommended contentinfo complementary masthead topbar toolbar widget skip".split())
+                            "recommended contentinfo complementary masthead topbar toolbar widget skip menus notices "
+                            "alerts notification reply replies copyright signin".split())
 #: The only words that make an article itself furniture.
 ARTICLE_WORDS = frozenset("ad ads advert adverts advertisement comment comments promo sponsored".split())
 #: An open element ends when one of these opens, unless a list, table or container lies between.
@@ -54,43 +56,42 @@ HOLDS = frozenset("ul ol dl table div section article main body nav aside footer
 _TAG = re.compile(r"<!--|<(?P<decl>[!?])|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"
                   r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _LOOSE = re.compile(r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>")
-_NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_NAMES = re.compile(r"(?<![\w-])(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
 
-def _is_furniture(name: str, attrs: str) -> bool:
-    if name in FURNITURE_TAGS:
-        return True
-    if not attrs:
-        return False
-    if _HIDDEN.search(attrs):
+def _attribute_words(attrs: str) -> set[str]:
+    """The words of the class, id, role and itemprop values of a tag."""
+    return {w for a, b, c in _NAMES.findall(attrs) for w in _WORD.findall((a or b or c).lower())} if attrs else set()
+
+
+def _is_furniture(name: str, attrs: str, words: set[str]) -> bool:
+    if name in FURNITURE_TAGS or (attrs and _HIDDEN.search(attrs)):
         return True
-    words = ARTICLE_WORDS if name in ("article", "main") else FURNITURE_WORDS
-    return any(not words.isdisjoint(_WORD.findall((a or b or c).lower()))
-               for a, b, c in _NAMES.findall(attrs))
+    return not words.isdisjoint(ARTICLE_WORDS if name in ("article", "main") else FURNITURE_WORDS)
 
 
 def page_blocks(page: str) -> list[tuple[int, str]]:
     """(kind, text) of every non-empty block in page order."""
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int, int, int]] = []      # name, and the main, furniture and header depth inside it
+    stack: list[tuple[str, int, int, int, int]] = []   # name; article, main, furniture and header depth inside it
     parts: list[str] = []
-    main = furniture = header = heading = 0
+    article = main = furniture = header = heading = 0
 
     def flush():
         if parts:
             words = " ".join("".join(parts).split())
             parts.clear()
             if words:
-                hidden = furniture or (header and not (main and heading))
-                out.append((FURNITURE if hidden else MAIN if main else OPEN, words))
+                hidden = furniture or (header and not ((article or main) and heading))
+                out.append((FURNITURE if hidden else ARTICLE if article else MAIN if main else OPEN, words))
 
     def pop_to(at: int):
-        nonlocal main, furniture, header
+        nonlocal article, main, furniture, header
         del stack[at:]
-        main, furniture, header = stack[-1][1:] if stack else (0, 0, 0)
+        article, main, furniture, header = stack[-1][1:] if stack else (0, 0, 0, 0)
 
     at, n = 0, len(page)
     while at < n:
@@ -145,10 +146,13 @@ def page_blocks(page: str) -> list[tuple[int, str]]:
             heading = int(name in HEADINGS)
         if attrs.rstrip().endswith("/") and name not in BLOCK:
             continue
-        main += name in ("article", "main") or "role=\"main\"" in attrs
-        furniture += name not in ("html", "body") and _is_furniture(name, attrs)
-        header += name == "header"
-        stack.append((name, main, furniture, header))
+        if name not in ("html", "body"):
+            named = _attribute_words(attrs)
+            article += name == "article" or not named.isdisjoint(("article", "articlebody"))
+            main += name == "main" or "main" in named
+            furniture += _is_furniture(name, attrs, named)
+            header += name == "header" or "header" in named
+        stack.append((name, article, main, furniture, header))
     flush()
     return out
 
@@ -163,8 +167,9 @@ def scan_pages(pages: DataFrame) -> DataFrame:
     def make() -> Callable[..., tuple]:
         def row(page_id, url, page):
             blocks = page_blocks(page or "")
-            found = [t for k, t in blocks if k == MAIN]
-            outside = [(k, t) for k, t in blocks if k != MAIN]
+            best = ARTICLE if any(k == ARTICLE for k, _ in blocks) else MAIN
+            found = [t for k, t in blocks if k == best]
+            outside = [(k, t) for k, t in blocks if k != best]
             finished = "\n".join(found) if found or not any(k == OPEN for k, _ in outside) else None
             return (page_id, url, host_of(url), finished, [k for k, _ in outside], [t for _, t in outside])
         return row
