@@ -16,7 +16,9 @@ from demandcast.session import shared_path
 
 #: ASCII white space the contracts name: [\x20\x09-\x0D]
 SPACES = " \t\n\x0b\x0c\r"
-WORD_REGEX = r"[^\x20\x09-\x0D]+"
+_SPACE, _WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+
+FILTER_BITS = 1 << 26          # bits of the filters that go before exact joins: 8 MB broadcast
 
 _WRITTEN: list[str] = []
 
@@ -46,7 +48,13 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def packed(docs: DataFrame, *columns: str) -> DataFrame:
+def word_count(text: Column) -> Column:
+    """Number of ``[^\\x20\\x09-\\x0D]+`` in a text: every word with the space around it becomes one character."""
+    marks = F.regexp_replace(text, f"{_SPACE}*{_WORD}+{_SPACE}*", "w")
+    return F.length(F.translate(marks, SPACES, "")).cast("long")
+
+
+def packed(docs: DataFrame, *columns: str | Column) -> DataFrame:
     """``docs`` as one struct ``__doc`` beside the named columns, so that no column of a caller can clash."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), *columns)
 
@@ -82,6 +90,37 @@ def drop_tables(spark: SparkSession, paths: list[str]) -> None:
             _WRITTEN.remove(path)
 
 
+def _marked(rows: DataFrame, column: str, wanted: DataFrame, bits: int) -> DataFrame:
+    """``rows`` with ``__likely``: whether ``column`` may be among the values of ``wanted`` (one column).
+
+    A bitmap of hashed values is broadcast: ``bits`` / 8 bytes at most, whatever the tables hold.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    marks = wanted.select(bit(F.col(wanted.columns[0])).alias("bit")).groupBy(F.shiftright("bit", 15).alias("__part")) \
+        .agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(F.lit(32767))).alias("__map"))
+    hashed = rows.withColumn("__bit", bit(F.col(column))).withColumn("__part", F.shiftright("__bit", 15))
+    inside = F.col("__bit").bitwiseAND(F.lit(32767))
+    byte = F.conv(F.hex(F.substring("__map", (F.shiftright(inside, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    set_ = F.getbit(byte, inside.bitwiseAND(F.lit(7)).cast("int")) == 1
+    return (hashed.join(F.broadcast(marks), "__part", "left")
+            .withColumn("__likely", F.coalesce(set_, F.lit(False))).drop("__bit", "__part", "__map"))
+
+
+def likely_rows(rows: DataFrame, column: str, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows whose ``column`` may be among the values of ``wanted``; none that is gets lost.
+
+    It only spares the exact join that follows from shuffling rows that have no partner.
+    """
+    return _marked(rows, column, wanted, bits).where("__likely").drop("__likely")
+
+
+def split_rows(rows: DataFrame, column: str, wanted: DataFrame,
+               bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``column`` may be among the values of ``wanted``, and those whose surely is not."""
+    marked = _marked(rows, column, wanted, bits)
+    return marked.where("__likely").drop("__likely"), marked.where("not __likely").drop("__likely")
+
+
 def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable[..., tuple]],
              rows_at_once: int = 256) -> DataFrame:
     """One output row per input row from a Python function, in Arrow batches.

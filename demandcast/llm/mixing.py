@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import WORD_REGEX, materialize, packed, text_or_empty, unpacked
+from demandcast.llm.common import materialize, packed, text_or_empty, unpacked, word_count
 
 MOST_EPOCHS = 3
 SEED = "mix-1"
@@ -51,8 +51,7 @@ def uniform(seed: str) -> Column:
 
 def measured(docs: DataFrame, seed: str = SEED) -> DataFrame:
     """``docs`` with the source, words and key of every row in columns of their own."""
-    words = F.regexp_count(text_or_empty(), F.lit(WORD_REGEX)).cast("long")
-    return docs.withColumns({"__source": F.col("source").cast("string"), "__size": words,
+    return docs.withColumns({"__source": F.col("source").cast("string"), "__size": word_count(text_or_empty()),
                              "__key": F.pow(uniform(seed), 1.0 / quality_weight())})
 
 
