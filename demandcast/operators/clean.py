@@ -62,13 +62,18 @@ def label_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                .select("__column", "__value", (F.col("__pos") - F.col("__first")).cast("int").alias("__code")))
 
 
-def label_encode(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def label_encode(df: DataFrame, cols: Sequence[str], by: str | None = None) -> DataFrame:
     """Replace each string column by its code (R16: sorted order, NULL gets the last code).
 
     The code tables of all columns come from one pass; each is joined back with a
-    size-checked broadcast.
+    size-checked broadcast.  ``by`` names a key that decides the columns (the product
+    decides its item's strings): then one row per key is encoded, not every row of
+    ``df``, and the codes are joined on the key.
     """
     cols = list(cols)
+    if by is not None:
+        keyed = materialize(df.select(by, *cols).distinct(), "persist")
+        return join_back_checked(df.drop(*cols), label_encode(keyed, cols), [by]).select(*df.columns)
     codes = materialize(label_codes(df, cols), "persist")
     out = df
     for c in cols:
@@ -156,7 +161,7 @@ def clean_features(features: DataFrame, spec: FactSpec, fit_before: int | None =
     each re-running the feature chain.
     """
     df = materialize(features.drop(*spec.drop_before_clean), how)
-    df = label_encode(df, spec.label_columns)
+    df = label_encode(df, spec.label_columns, by="product_id")
     df = inf_to_null(df)
     fit = df.filter(F.col(MONTH) < fit_before) if fit_before is not None else None
     return mean_impute(df, fit=fit)

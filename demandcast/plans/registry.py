@@ -599,7 +599,8 @@ def q_union_all(spark, sf):
 LABEL_SQL = ", ".join(f"CAST(DENSE_RANK() OVER (ORDER BY {c} NULLS LAST) - 1 AS INT) AS {c}"
                       for c in SPEC.label_columns)
 register("label_encode", BASE + f"SELECT date_block_num, campaign_id, product_id, {LABEL_SQL} FROM matrix")(
-    lambda spark, sf: C.label_encode(matrix(spark, sf), SPEC.label_columns)
+    lambda spark, sf: C.label_encode(P.materialize(matrix(spark, sf).select(*KEY, *SPEC.label_columns), "parquet"),
+                                     SPEC.label_columns, by="product_id")
                        .select(*KEY, *SPEC.label_columns))
 
 
