@@ -46,6 +46,9 @@ FURNITURE_WORDS = frozenset("nav navbar navigation menu menubar footer sidebar a
                             "breadcrumb breadcrumbs pagination pager popup modal overlay login signup search related "
                             "recommended contentinfo complementary masthead topbar toolbar widget skip menus notices "
                             "alerts notification reply replies copyright signin".split())
+#: Beginnings of further such words.
+FURNITURE_STEMS = re.compile("advert|adsby|adslot|adunit|adbox|breadcrumb|cookie|newsletter|sidebar|subscri|sponsor|navbar|"
+                             "navigation|footer|paginat|commentl|commentb|commentt")
 #: The only words that make an article itself furniture.
 ARTICLE_WORDS = frozenset("ad ads advert adverts advertisement comment comments promo sponsored".split())
 #: An open element ends when one of these opens, unless a list, table or container lies between.
@@ -70,7 +73,9 @@ def _attribute_words(attrs: str) -> set[str]:
 def _is_furniture(name: str, attrs: str, words: set[str]) -> bool:
     if name in FURNITURE_TAGS or (attrs and _HIDDEN.search(attrs)):
         return True
-    return not words.isdisjoint(ARTICLE_WORDS if name in ("article", "main") else FURNITURE_WORDS)
+    if name in ("article", "main"):
+        return not words.isdisjoint(ARTICLE_WORDS)
+    return not words.isdisjoint(FURNITURE_WORDS) or any(map(FURNITURE_STEMS.match, words))
 
 
 def page_blocks(page: str) -> list[tuple[int, str]]:

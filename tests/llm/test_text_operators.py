@@ -138,7 +138,7 @@ def test_article_markup():
                    "<td>1<td>2</table><div class='share'>no</div><ul><li>x<li>y</ul></article>")
     assert kinds(page) == ["Head & more", "One bold line two", "Three 1 < 2", "Sub", "tail", "1", "2", "x", "y"]
     assert kinds('<div class="site-header">no</div><main><div id="crumbs">x</div><div class="post article-body"><div '
-                 'class="entry-header"><h1>T</h1>by</div><p>Body</div></main><div class="sidebar">no</div>') == ["T", "Body"]
+                 'class="entry-header"><h1>T</h1>by</div><p>Body</div></main><div class="sidebar">no</div><ol class="commentlist"><li>no</ol>') == ["T", "Body"]
     assert htmlmain.page_blocks("<main><p>a</p></main><p data-class='menu'>b") == [(htmlmain.MAIN, "a"), (htmlmain.OPEN, "b")]
     assert kinds("") == [] and kinds("a < b") == [] and kinds("<article>a < b <i") == ["a < b <i"]
 
