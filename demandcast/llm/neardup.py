@@ -6,14 +6,17 @@
 2. *HyperMinHash.*  The hash range is cut into ``REGISTERS`` equal buckets.  A register keeps the least hash of its
    bucket as a leading-zero count and ``MANTISSA`` further bits; empty registers borrow from a filled one that a
    fixed hash chain names.  Bands of ``ROWS`` registers are the candidate keys (a pair at similarity 0.8 shares none
-   of 48 bands of 6 with probability 5e-7).
-3. *Links.*  In every band bucket the classes are first compared with one leader.  Where a bucket still holds more
+   of 48 bands of 7 with probability 1e-5, one at 0.85 with 1e-8).
+3. *Links.*  In every bucket the classes are first compared with one leader.  Where a bucket still holds more
    than one component after that, each class outside its largest component is compared with all others of the
-   bucket, in tiles of bounded size.  In a tile, pairs are ordered by the collision-corrected Jaccard estimate of
-   their registers; those that ``SLACK`` says cannot reach the threshold are left out, those already connected
-   are skipped, and the rest are confirmed on the full sets by 100 * intersection >= percent * union.
+   bucket, in tiles of bounded size.  In a tile, pairs whose collision-corrected Jaccard estimate lies ``SLACK``
+   standard errors below the threshold are left out, those already connected are skipped, and the rest are confirmed
+   on the full sets by 100 * intersection >= percent * union.
 4. *Components.*  Star steps over the confirmed links (``components``); a component is named by its smallest doc_id.
 
+Joins whose sides both grow with the corpus are shuffle joins at every size (``merge``), so the plan that is tested
+small is the plan that runs large.
+
 No bucket, class or component is gathered in one task: leaders' members and tiles are dealt in bounded pieces, and
 nothing is capped.
 
@@ -32,17 +35,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import map_rows, materialize, packed, unpacked
+from demandcast.llm.common import likely_rows, map_rows, materialize, packed, split_rows, unpacked
 from demandcast.llm.components import connected_components
 
-REGISTERS = 288
-ROWS = 6                       # registers in a band
+REGISTERS = 336
+ROWS = 7                       # registers in a band
 BANDS = REGISTERS // ROWS
 MANTISSA = 10
 EMPTY = 0xFFFF
 SLACK = 5.0                    # standard errors of the estimate below the threshold that are still confirmed
+HOME_ROUNDS = 2                # rounds that gather the neighbourhoods of tiles
 TILE = 512                     # classes on each side of a tile
-WORD_CACHE = 400_000
+WORD_CACHE = 200_000
 
 _U64 = np.uint64
 _MASK = (1 << 64) - 1
@@ -145,30 +149,46 @@ def sketch_documents(docs: DataFrame, words: int) -> DataFrame:
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
-    """(band key, class) for every band of every class."""
+    """(class, key) for every band of every class."""
     width = 2 * ROWS
     return (classes.select("class", "registers", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
             .select("class", F.xxhash64("band", F.substring("registers", F.col("band") * width + 1, F.lit(width)))
                     .alias("key")))
 
 
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """Keys that several classes have, and the least of these classes."""
+    return (keys.groupBy("key").agg(F.min("class").alias("leader"), F.max("class").alias("last"))
+            .where("leader <> last").select("key", "leader"))
+
+
+def candidate_buckets(classes: DataFrame) -> DataFrame:
+    """(key, class, leader) of every band bucket that several classes share."""
+    keys = band_rows(classes)
+    shared = materialize(shared_keys(keys), "lsh-shared")
+    return likely_rows(keys, "key", shared.select("key")).join(shared, "key")
+
+
 def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """The full sets of ``wanted`` classes (class, doc_id, digest), from one of the documents of each."""
+    """Registers and full sets of ``wanted`` classes (class, doc_id, digest), from one of the documents of each."""
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text"))
     w = wanted.select("class", "doc_id", F.col("digest").alias("wants"))
-    rows = texts.join(w, texts["__id"].eqNullSafe(w.doc_id)).select("class", "wants", "text")
+    rows = likely_rows(texts, "__id", w.select("doc_id")).join(w.hint("merge"), F.col("__id").eqNullSafe(w.doc_id)).select("class", "wants", "text")
 
     def make() -> Callable[..., tuple]:
         hashes = _WordHashes()
 
         def row(cls, wants, text):
             s = shingle_set(text, words, hashes)
-            match = len(s) and xxhash.xxh3_128_digest(s.tobytes()) == wants
-            return cls, s.tobytes() if match else None
+            if not len(s) or xxhash.xxh3_128_digest(s.tobytes()) != wants:
+                return cls, None, None
+            return cls, registers(s).tobytes(), s.tobytes()
         return row
 
-    sets = map_rows(rows, ["class", "wants", "text"], "class long, shingles binary", make)
-    return sets.where("shingles is not null").dropDuplicates(["class"])
+    sets = map_rows(rows, ["class", "wants", "text"], "class long, registers binary, shingles binary", make)
+    found = materialize(sets.where("shingles is not null"), "candidate-sets")
+    one = found.agg(F.count("*").alias("n"), F.countDistinct("class").alias("d")).first()
+    return found if one.n == one.d else materialize(found.dropDuplicates(["class"]), "candidate-sets")   # repeated ids
 
 
 class _Forest:
@@ -183,6 +203,15 @@ class _Forest:
         return x
 
 
+def overlaps(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Exact sizes of the intersections of one sorted set with several, in one search."""
+    joined = np.concatenate(others)
+    at = np.searchsorted(x, joined)
+    at[at == len(x)] = 0
+    starts = np.concatenate([[0], np.cumsum([len(o) for o in others])[:-1]])
+    return np.add.reduceat((x[at] == joined).astype(np.int64), starts)
+
+
 def tile_links(left: list[int], right: list[int], parts: dict, regs: dict, sets: dict, percent: int) -> list[tuple]:
     """Confirmed links that connect the components found in a tile, left against right."""
     forest = _Forest()
@@ -190,28 +219,27 @@ def tile_links(left: list[int], right: list[int], parts: dict, regs: dict, sets:
     floor = share - SLACK * np.sqrt(share * (1 - share) / REGISTERS)
     table = np.stack([regs[r] for r in right])
     size = np.array([len(sets[r]) for r in right])
-    links, waiting = [], []
+    links = []
     for a in left:
-        n = len(sets[a])
-        fits = (100 * np.minimum(size, n) >= percent * np.maximum(size, n))
-        guess = np.where(fits, estimate(regs[a], table), -1.0)
-        waiting += [(-guess[j], a, right[j]) for j in np.flatnonzero(guess >= floor)]
-    waiting.sort()
-    for _, a, b in waiting:
-        ra, rb = forest.root(parts[a]), forest.root(parts[b])
-        if a == b or ra == rb:
+        n, root = len(sets[a]), forest.root(parts[a])
+        fits = np.flatnonzero(100 * np.minimum(size, n) >= percent * np.maximum(size, n))
+        fits = fits[estimate(regs[a], table[fits]) >= floor]
+        fits = [j for j in fits if right[j] != a and forest.root(parts[right[j]]) != root]
+        if not fits:
             continue
-        x, y = sets[a], sets[b]
-        common = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * common >= percent * (len(x) + len(y) - common):
-            links.append((a, b))
-            forest.up[ra] = rb
+        common = overlaps(sets[a], [sets[right[j]] for j in fits])
+        for j, same in zip(fits, common):
+            if 100 * same >= percent * (n + size[j] - same):
+                ra, rb = forest.root(parts[a]), forest.root(parts[right[j]])
+                if ra != rb:
+                    links.append((a, right[j]))
+                    forest.up[ra] = rb
     return links
 
 
 def confirm(tiles: DataFrame, payload: DataFrame, percent: int) -> DataFrame:
     """Links found in ``tiles`` (tile, side, class, part); ``payload`` has the registers and sets of classes."""
-    rows = tiles.join(payload, "class").select("tile", "side", "class", "part", "registers", "shingles")
+    rows = tiles.join(payload.hint("merge"), "class").select("tile", "side", "class", "part", "registers", "shingles")
 
     def run(group: pa.Table) -> pa.Table:
         get = lambda name: group.column(name).to_pylist()
@@ -242,15 +270,20 @@ def leader_tiles(pairs: DataFrame) -> DataFrame:
 def rest_tiles(buckets: DataFrame) -> DataFrame:
     """Tiles for buckets (key, class, part) that still hold several components.
 
-    Every class outside a bucket's largest component meets all other classes of the bucket.  The classes that
-    share a least member are put together, in pieces of TILE, so a partner is sent once per piece, not per class.
+    Every class outside a bucket's largest component meets all other classes of the bucket.  Classes of
+    one neighbourhood are put together, in pieces of TILE, so a partner is sent once per piece, not per class.
     """
     sized = buckets.groupBy("key", "part").agg(F.count("*").alias("n"))
     largest = sized.groupBy("key").agg(F.max(F.struct("n", "part")).alias("m"), F.count("*").alias("parts"))
     open_ = largest.where("parts > 1").select("key", F.col("m.part").alias("main"))
     held = materialize(buckets.join(open_, "key"), "lsh-open")
-    first = held.groupBy("key").agg(F.min("class").alias("home"))
-    left = held.where("part <> main").join(first, "key").groupBy("class", "part").agg(F.min("home").alias("home"))
+    # neighbourhoods: a few rounds of the least label over shared buckets (only the packing depends on them)
+    home = held.select("class", F.col("class").alias("home")).distinct()
+    for _ in range(HOME_ROUNDS):
+        least = held.select("key", "class").join(home, "class").groupBy("key").agg(F.min("home").alias("home"))
+        home = materialize(held.select("key", "class").join(least, "key").groupBy("class")
+                           .agg(F.min("home").alias("home")), "lsh-homes")
+    left = held.where("part <> main").select("class", "part").distinct().join(home, "class")
     pieces = left.groupBy("home").agg(F.ceil(F.count("*") / TILE).alias("lefts"))
     left = materialize(left.join(pieces, "home").withColumn("l", F.pmod(F.xxhash64("class"), F.col("lefts"))),
                        "lsh-left")
@@ -273,16 +306,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     named = materialize(sketches.where("digest is not null").groupBy("digest")
                         .agg(F.min("row").alias("class"), F.min("doc_id").alias("doc_id")), "classes")
     one = named.select(F.col("class").alias("row"), "class")
-    classes = materialize(sketches.select("row", "registers").join(one, "row").select("class", "registers"),
-                          "class-registers")
+    classes = materialize(sketches.select("row", "registers").join(one.hint("merge"), "row")
+                          .select("class", "registers"), "class-registers")
 
-    keys = band_rows(classes)
-    shared = keys.groupBy("key").agg(F.min("class").alias("leader"), F.max("class").alias("last")) \
-        .where("leader <> last").select("key", "leader")
-    buckets = materialize(keys.join(shared, "key"), "lsh-buckets")
-    candidates = buckets.select("class").distinct()
-    payload = materialize(classes.join(candidates, "class").join(
-        class_sets(docs, named.join(candidates, "class"), words), "class"), "candidate-sets")
+    buckets = materialize(candidate_buckets(classes), "lsh-buckets")
+    wanted = materialize(named.join(buckets.select("class").distinct(), "class"), "candidates")
+    payload = class_sets(docs, wanted, words)
 
     pairs = materialize(buckets.where("class <> leader").select("leader", "class").distinct(), "lsh-pairs")
     links = materialize(confirm(leader_tiles(pairs), payload, percent), "links")
@@ -306,10 +335,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group stays, with all columns of ``docs``; rows that repeat doc_id and text once."""
-    found = near_duplicates(docs, words, percent)
+    found = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"), "near-decided")
     stay = found.where("kept").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"))
-    rows = packed(docs, "doc_id", "text")
-    joined = rows.join(stay, rows["doc_id"].cast("long").eqNullSafe(stay["__id"])).drop("__id")
-    once = joined.where("__rows = 1")
-    again = joined.where("__rows > 1").dropDuplicates(["doc_id", "text"])
-    return unpacked(once.unionByName(again))
+    special = found.where("not kept").select("doc_id").unionByName(
+        stay.where("__rows > 1").select(F.col("__id").alias("doc_id")))
+    maybe, sure = split_rows(packed(docs, F.col("doc_id").cast("long").alias("__doc_id"), "text"), "__doc_id", special)
+    joined = maybe.join(stay, maybe["__doc_id"].eqNullSafe(stay["__id"])).drop("__id")
+    once = joined.where("__rows = 1").drop("__rows")
+    again = joined.where("__rows > 1").dropDuplicates(["__doc_id", "text"]).drop("__rows")
+    return unpacked(sure.unionByName(once).unionByName(again))
