@@ -73,6 +73,15 @@ def stacked_forecast(prepared: DataFrame, spec: FactSpec, level2: DataFrame | No
                     L.rmse_value(valid.withColumn("__m", F.lit(float(mean_y or 0.0))), TARGET, "__m"))
 
 
+def tuned_forecast(prepared: DataFrame, spec: FactSpec, trials: int = 100, k: int = 5, space_a: dict = L.SPACE_A,
+                   space_b: dict = L.SPACE_B, parallelism: int = 4) -> Forecast:
+    """Search both boosters over their declared spaces, then fit and stack the best of each."""
+    best_a, _ = L.cv_search(prepared, space_a, spec, trials, k, L.PATIENCE_A, parallelism)
+    best_b, _ = L.cv_search(prepared, space_b, spec, trials, k, L.PATIENCE_SEARCH_B, parallelism)
+    level2 = base_predictions(prepared, spec, L.without_unmapped(best_a), L.without_unmapped(best_b), k, parallelism)
+    return stacked_forecast(prepared, spec, level2)
+
+
 def forecast_rows(fc: Forecast, spec: FactSpec) -> DataFrame:
     """Test-month rows with the stacked forecast (the data behind the forecast file)."""
     return fc.final.filter(F.col(MONTH) == spec.test_month).select(*KEY, TARGET, "lgb", "xgb",

@@ -98,3 +98,10 @@ def test_search_draws_from_both_spaces(prep):
     for space in (L.SPACE_A, L.SPACE_B):
         best, scores = L.cv_search(prep, space | few, FIXTURE, trials=2, k=2, parallelism=2)
         assert len(scores) == 2 and set(best) == set(space) and all(s > 0 for s in scores)
+
+
+def test_tuned_forecast_searches_and_stacks(prep):
+    few = {"n_estimators": [2], "max_depth": [2]}
+    fc = FC.tuned_forecast(prep, FIXTURE, 1, 2, L.SPACE_A | few, L.SPACE_B | few, 2)
+    assert fc.final.count() == L.score_months(prep, FIXTURE).count()
+    assert math.isfinite(fc.rmse_test)
