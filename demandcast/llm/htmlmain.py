@@ -5,8 +5,8 @@
    is *furniture* (inside navigation, headers, footers, sidebars, adverts, notices, comments, by element, role or
    class name), else *article*, *main* (inside ``main`` only) or *open* (none of these).  Of a header inside an
    article the headings stay.
-2. Pages with article blocks, or else main blocks, are finished: these are their text.  Repetition is not held against them, as a
-   passage that two articles share is still article text.
+2. Pages with article blocks, or else main blocks, are finished: these are their text.  Repetition is not held
+   against them, as a passage that two articles share is still article text.
 3. For the others the token streams of all text outside articles are laid end to end per host and their suffixes
    put in order of their first ``min_run`` tokens by Spark's shuffle (a suffix array cut at the depth that counts;
    no host is ever gathered in one task, equal prefixes are combined before the shuffle).  A prefix that occurs on
@@ -47,8 +47,8 @@ FURNITURE_WORDS = frozenset("nav navbar navigation menu menubar footer sidebar a
                             "recommended contentinfo complementary masthead topbar toolbar widget skip menus notices "
                             "alerts notification reply replies copyright signin".split())
 #: Beginnings of further such words.
-FURNITURE_STEMS = re.compile("advert|adsby|adslot|adunit|adbox|breadcrumb|cookie|newsletter|sidebar|subscri|sponsor|navbar|"
-                             "navigation|footer|paginat|commentl|commentb|commentt")
+FURNITURE_STEMS = re.compile("advert|adsby|adslot|adunit|adbox|breadcrumb|cookie|newsletter|sidebar|subscri|sponsor|"
+                             "navbar|navigation|footer|paginat|commentl|commentb|commentt")
 #: The only words that make an article itself furniture.
 ARTICLE_WORDS = frozenset("ad ads advert adverts advertisement comment comments promo sponsored".split())
 #: An open element ends when one of these opens, unless a list, table or container lies between.

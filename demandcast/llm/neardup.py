@@ -27,7 +27,7 @@ equal documents and both carry ``kept``.  Other columns of the input are ignored
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -144,8 +144,8 @@ def sketch_documents(docs: DataFrame, words: int) -> DataFrame:
             return doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), registers(s).tobytes()
         return row
 
-    return map_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
-                    ["doc_id", "text"], "doc_id long, n_shingles long, digest binary, registers binary", make)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return map_rows(rows, ["doc_id", "text"], "doc_id long, n_shingles long, digest binary, registers binary", make)
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
@@ -173,7 +173,8 @@ def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """Registers and full sets of ``wanted`` classes (class, doc_id, digest), from one of the documents of each."""
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text"))
     w = wanted.select("class", "doc_id", F.col("digest").alias("wants"))
-    rows = likely_rows(texts, "__id", w.select("doc_id")).join(w.hint("merge"), F.col("__id").eqNullSafe(w.doc_id)).select("class", "wants", "text")
+    rows = (likely_rows(texts, "__id", w.select("doc_id"))
+            .join(w.hint("merge"), F.col("__id").eqNullSafe(w.doc_id)).select("class", "wants", "text"))
 
     def make() -> Callable[..., tuple]:
         hashes = _WordHashes()

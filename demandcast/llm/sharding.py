@@ -203,4 +203,5 @@ def write_shards(docs: DataFrame, path: str, shards: int = 24) -> None:
     tree = build_tree(materialize(points(docs), "kd-points"), shards)
     own = packed(docs, "doc_id", "text", *[c for c in ("lang", "source") if c in docs.columns])
     keyed = own.select("__doc", *[c.alias(name) for name, c in point_columns(own).items()])
-    keyed.select(tree.number().alias("shard"), F.col("__doc").alias("document")).write.partitionBy("shard").parquet(path)
+    placed = keyed.select(tree.number().alias("shard"), F.col("__doc").alias("document"))
+    placed.write.partitionBy("shard").parquet(path)

@@ -1,17 +1,19 @@
 """The registered queries against their SQL, the pipeline against a brute-force version, native plans."""
 
+import base64
 import re
-import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 
 import __spark_entry__ as E
 import corpus_pipeline
-from demandcast.llm import exactdup, mixing, neardup, quality, queries
+from demandcast.llm import mixing, quality, queries
 from demandcast.llm.common import drop_tables, read_table, ship_package, written_tables
 from tests.conftest import SF_SMALL
+from tests.llm.test_table_operators import brute_components
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -44,7 +46,6 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
     assert set(written_tables()) == before                     # stages leave no tables behind
     docs = read_table(spark, SF_SMALL, "documents")
     model = quality.train(docs, read_table(spark, SF_SMALL, "labels"))
-    import numpy as np
     rows = [r for r in docs.collect() if model.score(np.array([quality.features(r.text)]))[0] >= 0.5]
     best = {}
     for r in rows:
@@ -52,13 +53,12 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
         if key not in best or (-len(r.text), r.doc_id) < (-len(best[key].text), best[key].doc_id):
             best[key] = r
     rows = list(best.values())
-    from tests.llm.test_table_operators import brute_components
     firsts = {c for _, _, c in brute_components([(r.doc_id, r.text) for r in rows], 5)}
     rows = [r for r in rows if r.doc_id in firsts]
     kept = spark.createDataFrame(rows, docs.schema)
     copies = {r.doc_id: (r.taken // r.size if r.size else 1) for r in mixing.mix(kept).collect()}
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, special_tokens={}, mergeable_ranks={
-        __import__("base64").b64decode(a): int(b)
+        base64.b64decode(a): int(b)
         for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))})
     want = sorted((r.doc_id, len(library.encode_ordinary(r.text))) for r in rows for _ in range(copies[r.doc_id]))
     assert got == want
