@@ -28,8 +28,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Minimal perfect hash (7): of equal texts one stays."""
     ship_package(spark)
-    history, batch = exactdup.split_by_age(docs)
-    return exactdup.keep_winners(docs, exactdup.deduplicate(history, batch)).select(*COLUMNS)
+    return exactdup.keep_winners(docs, exactdup.deduplicate_by_age(docs)).select(*COLUMNS)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

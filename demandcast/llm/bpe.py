@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from demandcast.llm.common import map_rows
 
-CACHE_ENTRIES = 250_000       # pretokens in each of two generations
-PAIR_ENTRIES = 500_000
+CACHE_ENTRIES = 150_000       # pretokens in each of two generations
+PAIR_ENTRIES = 250_000
 
 
 class Vocabulary:
@@ -208,22 +208,11 @@ class Codec:
         return b"".join(map(self.v.bytes.__getitem__, ids))
 
 
-_WORKER: dict[tuple, Codec] = {}
-
-
-def _worker_codec(key: tuple, make: Callable[[], Codec]) -> Codec:
-    """The codec of this Python worker: kept from task to task, so that its pretokens are met again."""
-    if key not in _WORKER:
-        _WORKER.clear()
-        _WORKER[key] = make()
-    return _WORKER[key]
-
-
 def _with_codec(docs: DataFrame, vocabulary: str, pattern: str, columns: list[str], schema: str, row) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary))
 
     def make() -> Callable[..., tuple]:
-        codec = _worker_codec((vocabulary, pattern), lambda: Codec(shared.value, pattern))
+        codec = Codec(shared.value, pattern)
         digits = list(map(str, range(codec.v.size)))
         return lambda *values: row(codec, digits, *values)
 

@@ -23,9 +23,18 @@ FILTER_BITS = 1 << 26          # bits of the filters that go before exact joins:
 _WRITTEN: list[str] = []
 
 
+BATCH_ROWS = 1000               # rows in an Arrow batch: texts are long, and a batch is held several times over
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application (a zip by ``addPyFile``, as ``--py-files`` does)."""
+    """Give the executors this package, once per application (a zip by ``addPyFile``, as ``--py-files`` does).
+
+    Also lowers the session's Arrow batches to ``BATCH_ROWS`` rows, which bounds the memory beside the heap.
+    """
     sc = spark.sparkContext
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch, "10000")) <= BATCH_ROWS:
+        spark.conf.set(batch, str(BATCH_ROWS))
     if getattr(sc, "_demandcast_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

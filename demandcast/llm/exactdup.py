@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import SPACES, materialize, packed, text_or_empty, unpacked
+from demandcast.llm.common import SPACES, materialize, packed, split_rows, text_or_empty, unpacked
 
 PRIME = 2147483647
 KEYS_PER_BUCKET = 4096
@@ -152,8 +152,19 @@ def deduplicate(history: DataFrame, batch: DataFrame) -> DataFrame:
 
     ``doc_id, keep_id, group_size, kept, text_sha256``, and ``repeat``: whether the group has a historical row.
     """
-    past = materialize(digest_rows(history), "digests-past")
-    new = materialize(digest_rows(batch), "digests-new")
+    return decide(digest_rows(history).withColumn("old", F.lit(True))
+                  .unionByName(digest_rows(batch).withColumn("old", F.lit(False))))
+
+
+def deduplicate_by_age(docs: DataFrame) -> DataFrame:
+    """``deduplicate`` of the two halves that ``split_by_age`` makes, from one scan of the texts."""
+    return decide(digest_rows(docs).withColumn("old", is_old()))
+
+
+def decide(rows: DataFrame) -> DataFrame:
+    """The groups of ``digest_rows`` with a flag ``old``: index the old rows, look the others up, merge the winners."""
+    rows = materialize(rows, "digests")
+    past, new = rows.where("old"), rows.where("not old")
     index = DigestIndex.build(past)
     found = materialize(index.lookup(new), "digest-lookup")
     repeats = found.where("slot is not null").select("bucket", "slot", F.col("winner").alias("__w"),
@@ -163,8 +174,7 @@ def deduplicate(history: DataFrame, batch: DataFrame) -> DataFrame:
         F.lit(True).alias("repeat"))
     new_groups = found.where("slot is null").select("digest", "winner", "n", F.lit(False).alias("repeat"))
     groups = old_groups.unionByName(new_groups)
-    rows = past.select("doc_id", "digest").unionByName(new.select("doc_id", "digest"))
-    return rows.join(groups, "digest").select(
+    return rows.select("doc_id", "digest").join(groups, "digest").select(
         "doc_id", F.col("winner.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         F.col("doc_id").eqNullSafe(F.col("winner.doc_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"), "repeat")
@@ -172,20 +182,27 @@ def deduplicate(history: DataFrame, batch: DataFrame) -> DataFrame:
 
 def split_by_age(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """History and batch of a table that has no time column: by a hash of doc_id, half and half."""
-    old = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
-    return docs.where(old), docs.where(~old)
+    return docs.where(is_old()), docs.where(~is_old())
+
+
+def is_old() -> Column:
+    return F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(2)) == 0
 
 
 def keep_winners(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The documents that stay, with all columns of ``docs``; rows that repeat doc_id and text once."""
+    decided = materialize(decided.select("doc_id", "kept", "text_sha256"), "exact-decided")
     stay = decided.where("kept").groupBy("doc_id", "text_sha256").agg(F.count("*").alias("__rows"))
     stay = stay.select(F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__held"), "__rows")
-    keyed = packed(docs, "doc_id", "text").withColumn("__digest", F.unhex(F.sha2(F.encode(normalised(), "UTF-8"), 256)))
+    special = decided.where("not kept").select("doc_id").unionByName(
+        stay.where("__rows > 1").select(F.col("__id").alias("doc_id")))
+    maybe, sure = split_rows(packed(docs, F.col("doc_id").cast("long").alias("__doc_id"), "text"), "__doc_id", special)
+    keyed = maybe.withColumn("__digest", F.unhex(F.sha2(F.encode(normalised(), "UTF-8"), 256)))
     joined = keyed.join(stay, (keyed["__digest"] == stay["__held"])
-                        & keyed["doc_id"].cast("long").eqNullSafe(stay["__id"])).drop("__id", "__held")
+                        & keyed["__doc_id"].eqNullSafe(stay["__id"])).drop("__id", "__held")
     once = joined.where("__rows = 1")
-    again = joined.where("__rows > 1").dropDuplicates(["doc_id", "__digest"])
-    return unpacked(once.unionByName(again))
+    again = joined.where("__rows > 1").dropDuplicates(["__doc_id", "__digest"])
+    return unpacked(sure).unionByName(unpacked(once.unionByName(again)))
 
 
 #: The same rule in DuckDB.

@@ -41,8 +41,7 @@ def op6_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_perfect_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history, batch = exactdup.split_by_age(read_table(spark, sf_dir, "documents"))
-    return exactdup.deduplicate(history, batch).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return exactdup.deduplicate_by_age(read_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def op8_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
