@@ -5,13 +5,15 @@
    class (a 128-bit digest); from here on classes are compared, so copies cost nothing.
 2. *HyperMinHash.*  The hash range is cut into ``REGISTERS`` equal buckets.  A register keeps the least hash of its
    bucket as a leading-zero count and ``MANTISSA`` further bits; empty registers borrow from a filled one that a
-   fixed hash chain names.  Bands of ``ROWS`` registers are the candidate keys (a pair at similarity 0.8 shares none
-   of 48 bands of 7 with probability 1e-5, one at 0.85 with 1e-8).
+   fixed hash chain names, so a small set's registers are independent draws from it.  Bands of ``ROWS`` registers are
+   the candidate keys (of 48 bands of 7 independent registers, a pair at similarity 0.8 shares none with
+   probability 1e-5, one at 0.85 with 1e-8).
 3. *Links.*  In every bucket the classes are first compared with one leader.  Where a bucket still holds more
    than one component after that, each class outside its largest component is compared with all others of the
-   bucket, in tiles of bounded size.  In a tile, pairs whose collision-corrected Jaccard estimate lies ``SLACK``
-   standard errors below the threshold are left out, those already connected are skipped, and the rest are confirmed
-   on the full sets by 100 * intersection >= percent * union.
+   bucket, in tiles of bounded size.  In a tile, pairs of large sets (``FEW`` shingles or more) whose
+   collision-corrected Jaccard estimate lies ``SLACK`` standard errors below the threshold are left out, those already
+   connected are skipped, and the rest are confirmed on the full sets by 100 * intersection >= percent * union.
+   Smaller sets fill too few registers for that error and are never estimated.
 4. *Components.*  Star steps over the confirmed links (``components``); a component is named by its smallest doc_id.
 
 Joins whose sides both grow with the corpus are shuffle joins at every size (``merge``), so the plan that is tested
@@ -44,6 +46,7 @@ BANDS = REGISTERS // ROWS
 MANTISSA = 10
 EMPTY = 0xFFFF
 SLACK = 5.0                    # standard errors of the estimate below the threshold that are still confirmed
+FEW = 4 * REGISTERS            # pairs with a set smaller than this are confirmed without an estimate
 HOME_ROUNDS = 2                # rounds that gather the neighbourhoods of tiles
 TILE = 512                     # classes on each side of a tile
 WORD_CACHE = 200_000
@@ -68,6 +71,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 #: Which registers an empty register asks, in order; the same for every document.
 _CHAIN = np.stack([_mix(np.arange(REGISTERS, dtype=_U64) + _U64((0xA5A5_0001 * (k + 1)) & _MASK))
                    % _U64(REGISTERS) for k in range(64)]).astype(np.int64)
+#: How registers (rows) rank the buckets when their chain names no filled one: the same for every document.
+_RANK = _mix(np.arange(REGISTERS * REGISTERS, dtype=_U64) + _U64(0x5A5A_0001_0000)).reshape(REGISTERS, REGISTERS)
 
 
 class _WordHashes(dict):
@@ -116,9 +121,9 @@ def registers(hashes: np.ndarray) -> np.ndarray:
         found = filled[ask]
         out[empty[found]] = out[ask[found]]
         empty = empty[~found]
-    if len(empty):                                    # very small sets: the next filled bucket
+    if len(empty):                                    # very small sets: the filled bucket that ranks first
         order = np.flatnonzero(filled)
-        out[empty] = out[order[np.searchsorted(order, empty) % len(order)]]
+        out[empty] = out[order[_RANK[np.ix_(empty, order)].argmin(axis=1)]]
     return out
 
 
@@ -213,6 +218,27 @@ def overlaps(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return np.add.reduceat((x[at] == joined).astype(np.int64), starts)
 
 
+class _SmallSets:
+    """The small sets of one tile, their shingles numbered, so that an intersection is a look-up and not a search."""
+
+    def __init__(self, sets: dict, most: float):
+        self.sets = {c: s for c, s in sets.items() if len(s) <= most}
+        if self.sets:
+            known, number = np.unique(np.concatenate(list(self.sets.values())), return_inverse=True)
+            ends = np.cumsum([len(s) for s in self.sets.values()])
+            self.sets = dict(zip(self.sets, np.split(number.astype(np.int32), ends[:-1])))
+            self.hit = np.zeros(len(known), np.uint8)
+
+    def overlaps(self, x: int, others: list[int]) -> np.ndarray:
+        """Exact sizes of the intersections of one class's set with those of several."""
+        sets = [self.sets[o] for o in others]
+        starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
+        self.hit[self.sets[x]] = 1
+        same = np.add.reduceat(self.hit[np.concatenate(sets)], starts, dtype=np.int64)
+        self.hit[self.sets[x]] = 0
+        return same
+
+
 def tile_links(left: list[int], right: list[int], parts: dict, regs: dict, sets: dict, percent: int) -> list[tuple]:
     """Confirmed links that connect the components found in a tile, left against right."""
     forest = _Forest()
@@ -220,15 +246,22 @@ def tile_links(left: list[int], right: list[int], parts: dict, regs: dict, sets:
     floor = share - SLACK * np.sqrt(share * (1 - share) / REGISTERS)
     table = np.stack([regs[r] for r in right])
     size = np.array([len(sets[r]) for r in right])
+    few = _SmallSets(sets, FEW * 100 / percent)       # whatever may link with a set below FEW
     links = []
     for a in left:
         n, root = len(sets[a]), forest.root(parts[a])
         fits = np.flatnonzero(100 * np.minimum(size, n) >= percent * np.maximum(size, n))
-        fits = fits[estimate(regs[a], table[fits]) >= floor]
+        small = np.minimum(size[fits], n) < FEW
+        if not small.all():
+            small[~small] = estimate(regs[a], table[fits[~small]]) >= floor
+            fits = fits[small]
         fits = [j for j in fits if right[j] != a and forest.root(parts[right[j]]) != root]
         if not fits:
             continue
-        common = overlaps(sets[a], [sets[right[j]] for j in fits])
+        if a in few.sets and size[fits].max() <= FEW * 100 / percent:
+            common = few.overlaps(a, [right[j] for j in fits])
+        else:
+            common = overlaps(sets[a], [sets[right[j]] for j in fits])
         for j, same in zip(fits, common):
             if 100 * same >= percent * (n + size[j] - same):
                 ra, rb = forest.root(parts[a]), forest.root(parts[right[j]])

@@ -140,6 +140,19 @@ def test_near_duplicates_in_one_large_group(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(rows, 2)
 
 
+@pytest.mark.parametrize("first, second, shift", [(4, 5, 0), (5, 6, 0), (8, 10, 0), (9, 9, 1)])
+def test_near_duplicates_of_short_documents(spark, first, second, shift):
+    ship_package(spark)
+    rows = []
+    for p in range(2000):                                  # isolated pairs of so many two-word shingles, at 0.8 or above
+        words = [f"p{p}w{k}" for k in range(second + shift + 1)]
+        rows += [(2 * p, " ".join(words[:first + 1]), "a"), (2 * p + 1, " ".join(words[shift:]), "a")]
+        a, b = shingles(rows[-2][1], 2), shingles(rows[-1][1], 2)
+        assert (len(a), len(b)) == (first, second) and 100 * len(a & b) >= 80 * len(a | b)
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, source string"), 2).collect()
+    assert {r.doc_id for r in got if r.component_id != r.doc_id // 2 * 2} == set()
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = {(r.doc_id, r.n_shingles): r for r in neardup.near_duplicates(odd, 2).collect()}
     assert got[1, 0].component_id == 1 and got[2, 0].component_id == 2 and got[3, 0].kept
