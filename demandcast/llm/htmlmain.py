@@ -4,7 +4,9 @@
    raw elements are skipped, character references decoded, white space inside a block made one space.  A block
    is *furniture* (inside navigation, headers, footers, sidebars, adverts, notices, comments, by element, role or
    class name), else *article*, *main* (inside ``main`` only) or *open* (none of these).  Of a header inside an
-   article the headings stay.
+   article the headings stay.  What only a name marks is furniture unless an article or main stands in it that has
+   more words than all others of the page; names that tell a state (``has-sidebar``), ids of headings, sections and
+   paragraphs inside articles, and compound names on headings mark nothing.
 2. Pages with article blocks, or else main blocks, are finished: these are their text.  Repetition is not held
    against them, as a passage that two articles share is still article text.
 3. For the others the token streams of all text outside articles are laid end to end per host and their suffixes
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 from demandcast.llm.common import map_rows, materialize
 
 ARTICLE, MAIN, OPEN, FURNITURE = 3, 1, 0, 2
+DOUBTED = 4                    # added to the kind of an article or main inside an element that has a name of furniture
 
 #: Element names by role, and class, id and role words of page furniture.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +54,15 @@ FURNITURE_STEMS = re.compile("advert|adsby|adslot|adunit|adbox|breadcrumb|cookie
                              "navbar|navigation|footer|paginat|commentl|commentb|commentt")
 #: The only words that make an article itself furniture.
 ARTICLE_WORDS = frozenset("ad ads advert adverts advertisement comment comments promo sponsored".split())
+#: Names, as whole tokens, of elements that hold an article or the main part.
+ARTICLE_NAMES = frozenset("article articlebody article-body article_body article__body article-content article-text "
+                          "articletext".split())
+MAIN_NAMES = frozenset("main main-content maincontent main_content".split())
+#: Words of compound names that tell a state of the page and not what the element is.
+STATE_WORDS = frozenset("has with without no is not show hide".split())
+#: Elements that articles hold their text in, and the only words that make them furniture there.
+TEXT_TAGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6".split())
+TEXT_WORDS = ARTICLE_WORDS | frozenset("advertising share sharing newsletter subscribe cookie cookies".split())
 #: An open element ends when one of these opens, unless a list, table or container lies between.
 CLOSES = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
           "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"])}
@@ -59,44 +71,74 @@ HOLDS = frozenset("ul ol dl table div section article main body nav aside footer
 _TAG = re.compile(r"<!--|<(?P<decl>[!?])|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"
                   r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
 _LOOSE = re.compile(r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>")
-_NAMES = re.compile(r"(?<![\w-])(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none")
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 
 
-def _attribute_words(attrs: str) -> set[str]:
-    """The words of the class, id, role and itemprop values of a tag."""
-    return {w for a, b, c in _NAMES.findall(attrs) for w in _WORD.findall((a or b or c).lower())} if attrs else set()
+def _attributes(attrs: str) -> dict[str, str]:
+    """The attributes of a tag by name, in lower case; of repeated ones the first."""
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(attrs):
+        found.setdefault(name.lower(), (a or b or c).lower())
+    return found
 
 
-def _is_furniture(name: str, attrs: str, words: set[str]) -> bool:
-    if name in FURNITURE_TAGS or (attrs and _HIDDEN.search(attrs)):
-        return True
+def _is_hidden(named: dict[str, str]) -> bool:
+    return ("hidden" in named or named.get("aria-hidden", "").strip() == "true"
+            or bool(_NO_DISPLAY.search(named.get("style", ""))))
+
+
+def _tokens(named: dict[str, str], names: tuple[str, ...] = ("class", "id", "role", "itemprop")) -> set[str]:
+    return {t for n in names if n in named for t in named[n].split()}
+
+
+def _words(tokens: set[str]) -> set[str]:
+    """The words of names, without those of names that tell a state."""
+    split = map(_WORD.findall, tokens)
+    return {w for words in split if STATE_WORDS.isdisjoint(words) for w in words}
+
+
+def _telling_words(name: str, named: dict[str, str], inside: bool) -> set[str]:
+    """The words by which an element may be furniture or a header; ``inside``: of an article or main."""
+    if name in HEADINGS:
+        return _tokens(named, ("class", "role"))
+    if not inside:
+        return _words(_tokens(named))
+    own = _words(_tokens(named, ("class", "role", "itemprop")))
+    return own if name in TEXT_TAGS or name == "section" else own | _tokens(named, ("id",))
+
+
+def _is_named_furniture(name: str, words: set[str], inside: bool) -> bool:
     if name in ("article", "main"):
         return not words.isdisjoint(ARTICLE_WORDS)
+    if inside and name in TEXT_TAGS:
+        return not words.isdisjoint(TEXT_WORDS)
     return not words.isdisjoint(FURNITURE_WORDS) or any(map(FURNITURE_STEMS.match, words))
 
 
 def page_blocks(page: str) -> list[tuple[int, str]]:
     """(kind, text) of every non-empty block in page order."""
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int, int, int, int]] = []   # name; article, main, furniture and header depth inside it
+    # name; article, main, furniture (by element; by name) and header depth inside it, names that an article reset
+    stack: list[tuple[str, int, int, int, int, int, int]] = []
     parts: list[str] = []
-    article = main = furniture = header = heading = 0
+    article = main = furniture = named = header = doubt = heading = 0
 
     def flush():
         if parts:
             words = " ".join("".join(parts).split())
             parts.clear()
             if words:
-                hidden = furniture or (header and not ((article or main) and heading))
-                out.append((FURNITURE if hidden else ARTICLE if article else MAIN if main else OPEN, words))
+                hidden = furniture or named or (header and not ((article or main) and heading))
+                kind = FURNITURE if hidden else ARTICLE if article else MAIN if main else OPEN
+                out.append((kind + DOUBTED * (doubt > 0 and not hidden), words))
 
     def pop_to(at: int):
-        nonlocal article, main, furniture, header
+        nonlocal article, main, furniture, named, header, doubt
         del stack[at:]
-        article, main, furniture, header = stack[-1][1:] if stack else (0, 0, 0, 0)
+        article, main, furniture, named, header, doubt = stack[-1][1:] if stack else (0, 0, 0, 0, 0, 0)
 
     at, n = 0, len(page)
     while at < n:
@@ -152,14 +194,23 @@ def page_blocks(page: str) -> list[tuple[int, str]]:
         if attrs.rstrip().endswith("/") and name not in BLOCK:
             continue
         if name not in ("html", "body"):
-            named = _attribute_words(attrs)
-            article += name == "article" or not named.isdisjoint(("article", "articlebody"))
-            main += name == "main" or "main" in named
-            furniture += _is_furniture(name, attrs, named)
-            header += name == "header" or "header" in named
-        stack.append((name, article, main, furniture, header))
+            own = _attributes(attrs) if attrs else {}
+            tokens = _tokens(own)
+            is_article = name == "article" or not tokens.isdisjoint(ARTICLE_NAMES)
+            is_main = name == "main" or not tokens.isdisjoint(MAIN_NAMES)
+            if (is_article or is_main) and not (article or main) and (named or header):
+                doubt, named, header = 1, 0, 0
+            words = _telling_words(name, own, bool(article or main))
+            article += is_article
+            main += is_main
+            furniture += name in FURNITURE_TAGS or _is_hidden(own)
+            named += _is_named_furniture(name, words, bool(article or main))
+            header += name == "header" or "header" in words
+        stack.append((name, article, main, furniture, named, header, doubt))
     flush()
-    return out
+    sure = sum(t.count(" ") + 1 for k, t in out if k in (ARTICLE, MAIN))
+    doubted = sum(t.count(" ") + 1 for k, t in out if k >= DOUBTED)
+    return [(k if k < DOUBTED else k - DOUBTED if doubted > sure else FURNITURE, t) for k, t in out]
 
 
 def host_of(url: str | None) -> str | None:

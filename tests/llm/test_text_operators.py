@@ -143,6 +143,27 @@ def test_article_markup():
     assert kinds("") == [] and kinds("a < b") == [] and kinds("<article>a < b <i") == ["a < b <i"]
 
 
+@pytest.mark.parametrize("before", [
+    "<div class='content has-sidebar'>", "<div id='page' class='with-comments'>", "<section class='widget'>",
+    "<div class='page-header-fixed header'>", "<div title='the hidden life'>", "<div data-css='display: none'>"])
+def test_names_around_an_article_do_not_lose_it(before):
+    story = "<article><h2 id='related-work'>Related work</h2><p>one two three<p class='notice'>Note this</article>"
+    assert kinds(f"<body>{before}{story}") == ["Related work", "one two three", "Note this"]
+    assert [t for k, t in htmlmain.page_blocks(f"{before}<main><p>a b</main>") if k == htmlmain.MAIN] == ["a b"]
+
+
+def test_names_inside_an_article():
+    page = ("<article><h2 id='social-impact'>Impact</h2><section id='search-methods'><p>how</p></section>"
+            "<h3 class='has-menu'>Menu</h3><p>tail<p class='share'>no<div class='related-posts'>no</div>"
+            "<div id='comments'>no</div><p hidden>no</p><p style='color:red; display: none'>no</p>"
+            "<p aria-hidden='true'>no</p><p class='x hidden'>seen</article>")
+    assert kinds(page) == ["Impact", "how", "Menu", "tail", "seen"]
+    # an article in furniture stays there beside a larger one, a card is no article, a menu is not main
+    assert kinds("<div class='related'><article>a b</article></div><article>a b c</article>") == ["a b c"]
+    assert htmlmain.page_blocks("<div class='article-card'>x</div><nav>a</nav><div id='main-column'>b") == [
+        (htmlmain.OPEN, "x"), (htmlmain.FURNITURE, "a"), (htmlmain.OPEN, "b")]
+
+
 def test_repeated_text_decides_where_markup_is_silent(spark):
     from demandcast.llm.common import ship_package
     ship_package(spark)
