@@ -7,13 +7,15 @@
    article the headings stay.  What only a name marks is furniture unless an article or main stands in it that has
    more words than all others of the page; names that tell a state (``has-sidebar``), ids of headings, sections and
    paragraphs inside articles, and compound names on headings mark nothing.
-2. Pages with article blocks, or else main blocks, are finished: these are their text.  Repetition is not held
-   against them, as a passage that two articles share is still article text.
-3. For the others the token streams of all text outside articles are laid end to end per host and their suffixes
-   put in order of their first ``min_run`` tokens by Spark's shuffle (a suffix array cut at the depth that counts;
-   no host is ever gathered in one task, equal prefixes are combined before the shuffle).  A prefix that occurs on
-   pages of different content is a repeated substring; tokens under one are covered.  Open blocks that are covered
-   to ``covered_share`` are boilerplate; the rest, the unique runs, is the text.
+2. The token streams of all blocks of a page are laid end to end per host and their suffixes put in order of their
+   first ``min_run`` tokens by Spark's shuffle (a suffix array cut at the depth that counts; no host is ever gathered
+   in one task, equal prefixes are combined before the shuffle).  A prefix that occurs on pages of different content
+   is a repeated substring; tokens under one are covered.  Blocks shorter than ``min_run`` are also keyed whole.
+3. On pages without article and main blocks, open blocks that are covered to ``covered_share`` are boilerplate; the
+   rest, the unique runs, is the text.  Otherwise the text is the article blocks or the blocks of ``main`` outside
+   articles, whichever have more uncovered tokens (articles if equal).  Of these a block goes only if it is covered
+   by prefixes on at least ``MANY_PAGES`` pages and ``MANY_SHARE`` of the host's pages: a passage that two articles
+   share is still article text.  If all would go, all stay.
 
 Defined results: null and empty html give an empty text.  A page without host is compared with the other pages
 without host.  Pages with equal content count as one page, so copies do not erase each other.  Repeated rows give
@@ -26,12 +28,15 @@ import html as entities
 import re
 from collections.abc import Callable
 
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import map_rows, materialize
+from demandcast.llm.common import likely_rows, map_rows, materialize
 
 ARTICLE, MAIN, OPEN, FURNITURE = 3, 1, 0, 2
+MANY_PAGES, MANY_SHARE = 5, 0.25   # pages of a host that repeat what is boilerplate even inside an article
 DOUBTED = 4                    # added to the kind of an article or main inside an element that has a name of furniture
 
 #: Element names by role, and class, id and role words of page furniture.
@@ -219,67 +224,104 @@ def host_of(url: str | None) -> str | None:
 
 
 def scan_pages(pages: DataFrame) -> DataFrame:
-    """One row per page: the finished text (null where markup is silent) and the blocks outside articles."""
+    """One row per page: its host and blocks, and a hash of them."""
     def make() -> Callable[..., tuple]:
         def row(page_id, url, page):
             blocks = page_blocks(page or "")
-            best = ARTICLE if any(k == ARTICLE for k, _ in blocks) else MAIN
-            found = [t for k, t in blocks if k == best]
-            outside = [(k, t) for k, t in blocks if k != best]
-            finished = "\n".join(found) if found or not any(k == OPEN for k, _ in outside) else None
-            return (page_id, url, host_of(url), finished, [k for k, _ in outside], [t for _, t in outside])
+            texts = [t for _, t in blocks]
+            return (page_id, url, host_of(url), _signed(xxhash.xxh3_64_intdigest("\n".join(texts))),
+                    [k for k, _ in blocks], texts)
         return row
 
     return map_rows(pages.select("page_id", "url", F.col("html").cast("string").alias("html")),
                     ["page_id", "url", "html"],
-                    "page_id long, url string, host string, finished string, kinds array<int>, blocks array<string>",
-                    make)
+                    "page_id long, url string, host string, content long, kinds array<int>, blocks array<string>", make)
+
+
+def _signed(h: int) -> int:
+    return h - (1 << 64) if h >> 63 else h
+
+
+def page_keys(host: str | None, blocks: list[str], min_run: int) -> tuple[np.ndarray, list[int | None]]:
+    """Keys of the suffixes of a page's stream by host and first ``min_run`` tokens, and of its short blocks whole."""
+    seed = xxhash.xxh3_64_intdigest(b"-" if host is None else b"+" + host.encode())
+    tokens = [t for b in blocks for t in b.split(" ")]
+    known = {t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), seed) for t in set(tokens)}
+    h = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+    n = max(0, len(h) - min_run + 1)
+    runs = np.zeros(n, np.uint64)
+    for k in range(min_run if n else 0):
+        runs = (runs ^ (runs >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n]
+    short = [_signed(xxhash.xxh3_64_intdigest(b"\n" + b.encode("utf-8", "surrogatepass"), seed))
+             if b.count(" ") + 1 < min_run else None for b in blocks]
+    return runs.view(np.int64), short
 
 
 def suffixes(scanned: DataFrame, min_run: int) -> DataFrame:
-    """The suffixes of every page's stream with at least ``min_run`` tokens, by host and prefix."""
-    streams = scanned.where(F.size("blocks") > 0).select(
-        "rid", "host", F.split(F.array_join("blocks", " "), " ").alias("tokens"))
-    streams = streams.where(F.size("tokens") >= min_run).withColumn("content", F.xxhash64("tokens"))
-    return streams.select("rid", "host", "content", F.posexplode(F.expr(
-        f"transform(sequence(1, size(tokens) - {min_run - 1}), "
-        f"i -> xxhash64(array_join(slice(tokens, i, {min_run}), ' ')))")).alias("at", "prefix"))
+    """(rid, content, key): the distinct keys of every page."""
+    def make() -> Callable[..., tuple]:
+        def row(rid, host, content, blocks):
+            runs, short = page_keys(host, blocks, min_run)
+            return rid, content, list({*runs.tolist(), *(k for k in short if k is not None)})
+        return row
+
+    rows = map_rows(scanned, ["rid", "host", "content", "blocks"], "rid long, content long, keys array<long>", make)
+    return rows.select("rid", "content", F.explode("keys").alias("key"))
 
 
 def repeated_prefixes(rows: DataFrame) -> DataFrame:
-    """(host, prefix) that occur on pages of different content: neighbours in the host's suffix array."""
-    return (rows.groupBy("host", "prefix").agg(F.min("content").alias("a"), F.max("content").alias("b"))
-            .where("a <> b").select("host", "prefix"))
+    """Keys that occur on pages of different content: neighbours in the host's suffix array."""
+    return (rows.groupBy("key").agg(F.min("content").alias("a"), F.max("content").alias("b"))
+            .where("a <> b").select("key"))
+
+
+def choose_blocks(kinds: list[int], blocks: list[str], runs: list[int], short: list[int | None], pages: dict[int, int],
+                  many: float, min_run: int, covered_share: float) -> list[str]:
+    """The main text of one page; ``pages`` has the number of pages of every repeated key."""
+    sizes = [b.count(" ") + 1 for b in blocks]
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+
+    def covered(least: float) -> list[int]:
+        under = bytearray(int(starts[-1]))
+        for s, key in enumerate(runs):
+            if pages.get(key, 0) >= least:
+                under[s:s + min_run] = b"\x01" * min_run
+        return [size if pages.get(key, 0) >= least else sum(under[at:at + size])
+                for at, size, key in zip(starts, sizes, short)]
+
+    some = covered(2)
+    unique = {k: sum(n - c for kind, n, c in zip(kinds, sizes, some) if kind == k) for k in (ARTICLE, MAIN)}
+    if ARTICLE in kinds or MAIN in kinds:
+        best = MAIN if ARTICLE not in kinds or (MAIN in kinds and unique[MAIN] > unique[ARTICLE]) else ARTICLE
+        often = covered(many)
+        found = [(b, c < covered_share * n) for k, b, n, c in zip(kinds, blocks, sizes, often) if k == best]
+        return [b for b, stays in found if stays] or [b for b, _ in found]
+    return [b for k, b, n, c in zip(kinds, blocks, sizes, some) if k == OPEN and c < covered_share * n]
 
 
 def extract_main_text(pages: DataFrame, min_run: int = 8, covered_share: float = 0.8) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (page_id, url, html)."""
     scanned = materialize(scan_pages(pages).withColumn("rid", F.monotonically_increasing_id()), "html-scan")
-    done = scanned.where("finished is not null").select("page_id", "url", F.col("finished").alias("text"))
-
-    rows = suffixes(scanned, min_run)
-    repeated = repeated_prefixes(rows)
-    silent = scanned.where("finished is null")
-    wanted = suffixes(silent, min_run)
-    covered = (wanted.join(repeated, wanted.host.eqNullSafe(repeated.host) & (wanted.prefix == repeated.prefix),
-                           "left_semi")
-               .groupBy("rid").agg(F.collect_list("at").alias("starts")))     # bounded by the page's own length
+    repeated = materialize(repeated_prefixes(suffixes(scanned, min_run)), "html-repeated")
+    hits = materialize(likely_rows(suffixes(scanned, min_run), "key", repeated).join(repeated, "key"), "html-hits")
+    # pages of equal content count as one
+    counts = hits.select("key", "content").distinct().groupBy("key").agg(F.count("*").alias("n"))
+    found = (hits.join(counts, "key").groupBy("rid")                              # bounded by the page's own length
+             .agg(F.collect_list("key").alias("keys"), F.collect_list("n").alias("ns")))
+    hosts = materialize(scanned.select("host", "content").distinct().groupBy(F.col("host").alias("__host"))
+                        .agg(F.count("*").alias("host_pages")), "html-hosts")
+    sizes = scanned.select("rid", "host").join(hosts, F.col("host").eqNullSafe(F.col("__host")))
+    found = found.join(sizes.select("rid", "host_pages"), "rid")
 
     def make() -> Callable[..., tuple]:
-        def row(page_id, url, kinds, blocks, starts):
-            n = sum(len(b.split(" ")) for b in blocks)
-            under = bytearray(n)
-            for s in starts or ():
-                under[s:s + min_run] = b"\x01" * min_run
-            kept, at = [], 0
-            for kind, block in zip(kinds, blocks):
-                size = len(block.split(" "))
-                if kind == OPEN and sum(under[at:at + size]) < covered_share * size:
-                    kept.append(block)
-                at += size
+        def row(page_id, url, host, kinds, blocks, keys, ns, host_pages):
+            runs, short = page_keys(host, blocks, min_run)
+            kept = choose_blocks(kinds, blocks, runs.tolist(), short, dict(zip(keys or (), ns or ())),
+                                 max(MANY_PAGES, MANY_SHARE * (host_pages or 0)), min_run, covered_share)
             return page_id, url, "\n".join(kept)
         return row
 
-    decided = map_rows(silent.join(covered, "rid", "left"), ["page_id", "url", "kinds", "blocks", "starts"],
+    decided = map_rows(scanned.join(found, "rid", "left"),
+                       ["page_id", "url", "host", "kinds", "blocks", "keys", "ns", "host_pages"],
                        "page_id long, url string, text string", make)
-    return done.unionByName(decided).withColumn("n_chars", F.length("text").cast("long"))
+    return decided.withColumn("n_chars", F.length("text").cast("long"))

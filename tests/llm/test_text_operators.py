@@ -178,3 +178,31 @@ def test_repeated_text_decides_where_markup_is_silent(spark):
     own = [(i, t := f"own words of page {i} follow here and there {i}", len(t)) for i in (0, 0, 1, 2, 3, 4, 5)]
     assert got == sorted(own + [(10, line, len(line)), (11, "", 0), (12, "", 0), (13, line, len(line))])
     assert htmlmain.extract_main_text(pages.limit(0)).count() == 0
+
+
+def test_repeated_text_inside_articles_and_main(spark):
+    from demandcast.llm.common import ship_package
+    ship_package(spark)
+    share = "share this story with all of your friends on every network today"
+    shared = "a passage that the first two articles of this host both have in full"
+    rows = [(i, f"http://h.example/{i}", f"<article><p>own story {i} goes on with words of {i} alone</p><p>{share}</p>"
+             f"<p>Tell us more</p>{f'<p>{shared}</p>' if i < 2 else ''}</article>") for i in range(6)]
+    rows += [(6 + i, f"http://h.example/m{i}", f"<main><p>the whole report of day {i} stands here in main {i}</p>"
+              f"<article>teaser</article></main>") for i in range(2)]
+    rows += [(8, "http://one.example/", f"<article><p>{share}</p></article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmlmain.extract_main_text(pages).collect()}
+    own = [f"own story {i} goes on with words of {i} alone" + (f"\n{shared}" if i < 2 else "") for i in range(6)]
+    assert [got[i] for i in range(6)] == own
+    assert [got[6 + i] for i in range(2)] == [f"the whole report of day {i} stands here in main {i}" for i in range(2)]
+    assert got[8] == share
+
+
+def test_short_repeated_blocks_without_markup(spark):
+    from demandcast.llm.common import ship_package
+    ship_package(spark)
+    rows = [(i, "http://h.example/", f"<p>Home and news</p><p>w{i} x{i} y{i}</p><p>All rights</p>") for i in range(3)]
+    rows += [(3, "http://o.example/", "<p>Home and news</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in htmlmain.extract_main_text(pages).collect()}
+    assert got == {0: "w0 x0 y0", 1: "w1 x1 y1", 2: "w2 x2 y2", 3: "Home and news"}
