@@ -13,8 +13,9 @@ Base kinds (spans in code points, end exclusive, leftmost and non-overlapping wi
 
 A match that fails its check is dropped whole and not retried from a later start.  Added kinds:
 
-* ``account``  the value behind an identifier cue (``account``, ``iban``, ``token`` ...) and ``:``, ``=`` or ``#``:
-  8 or more of ``[A-Za-z0-9_-]`` with at least one digit
+* ``account``  the value behind an identifier cue (``account``, ``iban``, ``access_token`` ...), words such as
+  ``number``, and ``:``, ``=``, ``#`` or ``is``: 8 or more of ``[A-Za-z0-9_-]`` (4 behind a password cue) with at least
+  one digit; behind ``iban`` also groups between single spaces that pass mod 97, with or without such a mark
 * ``url``      a scheme and what follows up to white space, quotes or angle brackets, without closing punctuation
 
 Defined results: null and empty texts have no spans (empty strings, zero counts, the digest of the empty
@@ -40,11 +41,17 @@ LOCAL = frozenset(_ALNUM + "._%+-")
 LABEL = frozenset(_ALNUM + "-")
 PHONE = frozenset("0123456789 ().-")
 ACCOUNT = frozenset(_ALNUM + "_-")
+ALNUM = frozenset(_ALNUM)
+SPACE, QUOTES = frozenset(" "), frozenset(" \"'")
 URL_END = frozenset(" \t\n\x0b\x0c\r\"'<>`{}|\\^")
 URL_TRAIL = frozenset(".,;:!?)]")
 #: Schemes and identifier cues that start an added span.
 SCHEMES = ("http://", "https://", "ftp://", "ssh://", "sftp://", "mailto:")
 CUES = ("account", "acct", "iban", "token", "api_key", "apikey", "secret", "password", "passwd", "ssn", "passport")
+#: Words that may stand between a cue and its value, the cues of short values, and the least lengths of values.
+FILLERS = frozenset("number no num nr id code is".split())
+SHORT_CUES = frozenset(["password", "passwd"])
+LEAST, LEAST_SHORT = 8, 4
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "account", "url")
 
@@ -153,14 +160,40 @@ def expand_url(text: str, begin: int, end: int) -> Span | None:
 
 def expand_account(text: str, begin: int, end: int) -> Span | None:
     """The identifier that the cue at ``begin:end`` announces."""
-    if begin and text[begin - 1] in ACCOUNT:
-        return None
-    at = _run(text, end, frozenset(" "))
-    if at >= len(text) or text[at] not in ":=#":
+    if begin and text[begin - 1] in ALNUM:
         return None
-    at = _run(text, at + 1, frozenset(" \"'"))
+    cue = text[begin:end].lower()
+    at, marked = _run(text, end, SPACE), False
+    while (stop := _run(text, at, ALNUM)) > at and at > end and (word := text[at:stop].lower()) in FILLERS:
+        marked |= word == "is"
+        stop += text[stop:stop + 1] == "." and word in ("no", "num", "nr")
+        at = _run(text, stop, SPACE)
+        end = stop
+    if at < len(text) and text[at] in ":=#":
+        at, marked = at + 1, True
+    at = _run(text, at, QUOTES)
+    if cue == "iban" and (stop := expand_iban(text, at)):
+        return at, stop
     stop = _run(text, at, ACCOUNT)
-    return (at, stop) if stop - at >= 8 and any(c in DIGITS for c in text[at:stop]) else None
+    least = LEAST_SHORT if cue in SHORT_CUES else LEAST
+    return (at, stop) if marked and stop - at >= least and any(c in DIGITS for c in text[at:stop]) else None
+
+
+def expand_iban(text: str, at: int) -> int | None:
+    """End of the longest account number from ``at``, in groups between single spaces, that passes mod 97."""
+    ends, chars, stop = [], "", at
+    while (after := _run(text, stop, ALNUM)) > stop and len(chars) + after - stop <= 34:
+        chars += text[stop:after].upper()
+        ends.append((after, len(chars)))
+        if text[after:after + 1] != " ":
+            break
+        stop = after + 1
+    if not (chars[:2].isalpha() and chars[2:4].isdigit()):
+        return None
+    for end, n in reversed(ends):
+        if n >= 15 and int("".join(str(int(c, 36)) for c in chars[4:n] + chars[:4])) % 97 == 1:
+            return end
+    return None
 
 
 def find_spans(text: str, anchors: ahocorasick.Automaton) -> dict[str, list[Span]]:

@@ -114,6 +114,19 @@ def test_added_spans_and_masking(spark):
     assert [r.text for r in pii.mask_personal_data(docs).orderBy("doc_id").collect()] == ["mail [email] now", None]
 
 
+@pytest.mark.parametrize("text, value", [
+    ("account number: 12345678", "12345678"), ("Account no. 12345678", None), ("account no.: 12345678", "12345678"),
+    ("IBAN DE89 3704 0044 0532 0130 00 is mine", "DE89 3704 0044 0532 0130 00"),
+    ("IBAN: DE89 3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 00"), ("IBAN DE88 3704 0044 0532 0130 00", None),
+    ("iban=DE88370400440532013000", "DE88370400440532013000"), ("password: hunter2", "hunter2"),
+    ("my password is hunter2", "hunter2"), ("access_token=9abc12ff", "9abc12ff"), ("client_secret=9abc12ff", "9abc12ff"),
+    ("auth-token: 9abc12ff", "9abc12ff"), ("mytoken=9abc12ff", None), ("account 12345678", None), ("token is", None),
+    ("accountno: 12345678", None)])
+def test_written_forms_of_accounts(text, value):
+    found = pii.find_spans(text, pii._anchors())["account"]
+    assert [text[a:b] for a, b in found] == ([] if value is None else [value])
+
+
 def test_personal_data_of_odd_rows(odd, none):
     rows = pii.find_personal_data(odd).collect()
     assert len(rows) == len(ODD) and {r.spans for r in rows} == {""}
