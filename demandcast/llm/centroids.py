@@ -230,9 +230,9 @@ def cluster(vectors: DataFrame, k: int = 8, rounds: int = 10, dims: int = 64, sc
 
 def oracle_sql(k: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: str = "3") -> str:
     """The same rounds written out as one common table expression each, for DuckDB."""
-    parts = [f"""kept AS MATERIALIZED (SELECT vec_id, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    parts = [f"""kept AS MATERIALIZED (SELECT vec_id, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
   FROM embeddings WHERE len(embedding) = {dims}
-  AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = {dims})""",
+  AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(CAST(x AS DOUBLE))]) = {dims})""",
              "comp AS MATERIALIZED (SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM kept)",
              f"""first AS (SELECT vec_id, ROW_NUMBER() OVER (ORDER BY sha256('{seed}:' || CAST(vec_id AS VARCHAR)), v) - 1 AS c
   FROM kept QUALIFY c < {k})""",

@@ -6,9 +6,9 @@ task that made them, only lengths travel.  Whole pieces fill a sequence alone an
 
 *Search.*  The other pieces are dealt by a hash of their locator (even, whatever the documents repeat) to groups of
 about ``GROUP`` pieces.  A group starts from best fit in falling length.  Then underfull bins trade: one piece moves,
-or pieces are exchanged one for one or two for one, from the emptiest bin to the bin where the exchange closes the
-most room.  Every trade makes the sum of squared fills larger, so the search ends; bins that run empty are dropped.
-A trade never lowers the fuller bin of the two, so the emptiest bins drain first.
+or pieces are exchanged one for one or two for one, from the emptiest bin to one at least as full.  Every trade makes
+the sum of squared fills larger, and of all trades the one that raises it most is made; bins that run empty are
+dropped.  The search ends when a pass over all bins empties none, or at a lower bound of the number of bins.
 
 *Rounds.*  The emptiest ``LEFT`` underfull bins of a group are opened again and their pieces dealt anew, several groups
 into one, until one group is left: a table of n pieces takes log n rounds over quickly shrinking tables, and the whole
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from demandcast.llm.common import materialize, text_or_empty
 
-GROUP = 20_000                  # pieces in a group, on average
+GROUP = 4_000                   # pieces in a group, on average
 LEFT = 24                       # underfull bins of a group that are opened again
 TEXTS = 64                      # texts encoded at a time
 TEXT_BYTES = 4 << 20            # or as many as hold this many characters
@@ -103,85 +102,103 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
+def least_bins(lengths: np.ndarray, capacity: int) -> int:
+    """A number of bins that no packing can go below: the largest of the bounds by dual feasible functions.
+
+    For every k a length counts floor((k + 1) * length / capacity) k-ths of a bin (its own share where that is whole);
+    k = 1 counts the pieces over half a sequence, k = 2 two pieces over a third as one bin, and so on.
+    """
+    best = -(-int(lengths.sum()) // capacity)
+    for k in range(1, 64):
+        scaled = (k + 1) * lengths
+        # in units of 1 / (k * capacity) of a bin
+        share = np.where(scaled % capacity == 0, k * lengths, scaled // capacity * capacity)
+        best = max(best, -(-int(share.sum()) // (k * capacity)))
+    return best
+
+
 class Search:
-    """Trades between underfull bins; a bin is a sorted list of (length, position)."""
+    """Trades between underfull bins: one over, one for one, two for one.
+
+    The emptiest bin gives; of all trades with bins at least as full the one that raises the sum of squared fills most
+    is made.  A giver holds at most about sqrt(2 * capacity) different lengths, so its pairs are few.
+    """
 
     def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
         self.capacity = capacity
-        self.bins = [sorted((lengths[i], i) for i in b) for b in bins]
-        self.fill = [sum(lengths[i] for i in b) for b in bins]
-
-    def _at_most(self, b: int, length: int) -> tuple[int, int] | None:
-        """The longest piece of bin ``b`` of at most ``length``."""
-        at = bisect_left(self.bins[b], (length + 1,))
-        return self.bins[b][at - 1] if at else None
-
-    def trade(self, giver: int, taker: int) -> tuple[int, tuple, tuple] | None:
-        """The trade that moves most tokens from ``giver`` to ``taker``: (tokens, pieces over, pieces back).
-
-        It raises the squared fill when the taker ends fuller than the giver was, and it must leave the taker legal.
-        """
-        room = self.capacity - self.fill[taker]
-        least = self.fill[giver] - self.fill[taker]             # tokens <= this would not raise the squared fill
-        best: tuple[int, tuple, tuple] | None = None
-
-        def offer(over: tuple, back: tuple) -> bool:
-            nonlocal best
-            tokens = sum(p[0] for p in over) - sum(p[0] for p in back)
-            if max(least, 0) < tokens <= room and (best is None or tokens > best[0]):
-                best = tokens, over, back
-            return best is not None and best[0] == room
-
-        if (one := self._at_most(giver, room)) and offer((one,), ()):          # a move
-            return best
-        mine, theirs = self.bins[giver], self.bins[taker]
-        for y in theirs:                                                        # one for one
-            if (x := self._at_most(giver, room + y[0])) and offer((x,), (y,)):
-                return best
-        for i, x1 in enumerate(mine):                                           # two for one
-            for x2 in mine[:i]:
-                need = x1[0] + x2[0] - room
-                at = bisect_left(theirs, (need,))
-                if at < len(theirs) and offer((x1, x2), (theirs[at],)):
-                    return best
-        for i, y1 in enumerate(theirs):                                         # one for two
-            for y2 in theirs[:i]:
-                if (x := self._at_most(giver, room + y1[0] + y2[0])) and offer((x,), (y1, y2)):
-                    return best
-        return best
-
-    def apply(self, giver: int, taker: int, found: tuple[int, tuple, tuple]) -> None:
-        tokens, over, back = found
-        for piece in over:
-            self.bins[giver].remove(piece)
-            insort(self.bins[taker], piece)
-        for piece in back:
-            self.bins[taker].remove(piece)
-            insort(self.bins[giver], piece)
+        self.length = np.array(lengths, dtype=np.int64)
+        self.bin = np.empty(len(lengths), dtype=np.int64)
+        for b, pieces in enumerate(bins):
+            self.bin[pieces] = b
+        self.fill = np.bincount(self.bin, weights=self.length, minlength=len(bins)).astype(np.int64)
+
+    def trade(self, giver: int) -> tuple[list[int], int | None, int] | None:
+        """The best trade of a bin: (its pieces that go over, the piece that comes back, the taker)."""
+        room = self.capacity - self.fill
+        takers = (room > 0) & (self.fill >= self.fill[giver])
+        takers[giver] = False
+        bins, theirs = np.flatnonzero(takers), np.flatnonzero(takers[self.bin])
+        if not len(bins):
+            return None
+        # what may come back, nothing included, and the bin it comes from
+        back = np.concatenate([np.zeros(len(bins), np.int64), self.length[theirs]])
+        taker = np.concatenate([bins, self.bin[theirs]])
+        ahead, free = self.fill[taker] - self.fill[giver], room[taker]
+        mine = np.flatnonzero(self.bin == giver)
+        mine = mine[np.unique(self.length[mine], return_index=True)[1]]
+        overs = [[int(i)] for i in mine] + self._pairs(giver)
+        best, found = 0, None
+        for over in overs:
+            tokens = int(self.length[over].sum()) - back
+            gain = np.where((tokens > 0) & (tokens <= free), tokens * (ahead + tokens), 0)
+            if len(over) == 2:
+                gain[:len(bins)] = 0                            # two pieces over without one back are two moves
+            at = int(gain.argmax())
+            if gain[at] > best:
+                best = int(gain[at])
+                found = over, (None if at < len(bins) else int(theirs[at - len(bins)])), int(taker[at])
+        return found
+
+    def _pairs(self, giver: int) -> list[list[int]]:
+        mine = np.flatnonzero(self.bin == giver)
+        seen: dict[tuple[int, int], list[int]] = {}
+        by_length: dict[int, list[int]] = {}
+        for i in mine.tolist():
+            by_length.setdefault(int(self.length[i]), []).append(i)
+        kinds = sorted(by_length)
+        for n, x in enumerate(kinds):
+            if len(by_length[x]) > 1:
+                seen[x, x] = by_length[x][:2]
+            for y in kinds[:n]:
+                seen[x, y] = [by_length[x][0], by_length[y][0]]
+        return list(seen.values())
+
+    def apply(self, giver: int, over: list[int], back: int | None, taker: int) -> None:
+        self.bin[over] = taker
+        tokens = int(self.length[over].sum())
+        if back is not None:
+            self.bin[back] = giver
+            tokens -= int(self.length[back])
         self.fill[giver] -= tokens
         self.fill[taker] += tokens
 
     def run(self) -> list[list[int]]:
-        """Drain the emptiest bin into the others, in order of fill, until no trade is left; the bins not empty."""
-        under = sorted((b for b in range(len(self.bins)) if self.fill[b] < self.capacity), key=lambda b: (self.fill[b], b))
-        stuck = 0
-        while under and stuck < len(under):
-            giver = under[stuck]
-            moved = False
-            for taker in reversed([b for b in under if b != giver and self.fill[b] >= self.fill[giver]]):
-                while self.fill[giver] and (found := self.trade(giver, taker)):
-                    self.apply(giver, taker, found)
-                    moved = True
-                    if self.fill[taker] == self.capacity or self.fill[taker] < self.fill[giver]:
-                        break
-                if not self.fill[giver]:
+        """Passes over the underfull bins, emptiest first, until one empties no bin or fewer bins are impossible."""
+        least = least_bins(self.length, self.capacity)
+        emptied = True
+        while emptied:
+            emptied = False
+            for giver in np.argsort(self.fill, kind="stable").tolist():
+                if np.count_nonzero(self.fill) <= least:
                     break
-            if moved:
-                under = sorted((b for b in under if 0 < self.fill[b] < self.capacity), key=lambda b: (self.fill[b], b))
-                stuck = 0
-            else:
-                stuck += 1
-        return [[i for _, i in b] for b in self.bins if b]
+                while 0 < self.fill[giver] < self.capacity and (found := self.trade(giver)):
+                    self.apply(giver, *found)
+                    emptied |= not self.fill[giver]
+            if np.count_nonzero(self.fill) <= least:
+                break
+        order = np.lexsort((np.arange(len(self.bin)), self.bin))
+        parts = np.split(order, np.flatnonzero(np.diff(self.bin[order])) + 1)
+        return [p.tolist() for p in parts if len(p)]
 
 
 def pack(lengths: list[int], capacity: int) -> list[list[int]]:

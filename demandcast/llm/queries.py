@@ -11,7 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from demandcast.llm import ann, bpe, exactdup, htmlmain, mixing, neardup, pii, quality, sharding, tokencount
+from demandcast.llm import (ann, bpe, centroids, divergence, exactdup, htmlmain, mixing, neardup, packing, pii, quality,
+                            sharding, tokencount)
 from demandcast.llm.common import read_table, ship_package
 
 
@@ -57,10 +58,23 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"), k=8, rounds=10, dims=64, scale=1024, seed="3")
+
+
+def op12_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                  end_id=2, capacity=1024)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"), least=3, top=200)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_kd_sharding, op2_pairwise_quality, op3_hyperminhash, op4_heap_token_counts,
            op5_host_suffix_extraction, op6_anchor_pii, op7_perfect_hash_dedup, op8_weighted_mix, op9_one_bit_search,
-           op10_prefix_bpe]
+           op10_prefix_bpe, op11_simplex_clusters, op12_swap_packing, op13_source_divergence]
     return {f.__name__: _shipped(f) for f in own}
 
 
@@ -74,4 +88,5 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def oracle_sql() -> dict[str, str]:
     return {"op7_perfect_hash_dedup": exactdup.ORACLE_SQL, "op8_weighted_mix": mixing.ORACLE_SQL,
-            "op9_one_bit_search": ann.ORACLE_SQL}
+            "op9_one_bit_search": ann.ORACLE_SQL, "op11_simplex_clusters": centroids.ORACLE_SQL,
+            "op13_source_divergence": divergence.ORACLE_SQL}

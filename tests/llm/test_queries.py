@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, duck_small, name):
 
 def test_entry_registers_the_queries():
     found = E.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in found) == 1
     assert "pipeline" in found
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact", "near", "mix", "encode"]
