@@ -114,6 +114,22 @@ def test_packing_of_odd_rows(odd, none):
     assert packing.pack_documents(none, path).count() == 0
 
 
+def test_encoder_equals_the_library(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED", 50)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), packing.Encoder(path)
+    rng = random.Random(9)
+    settled = [c for c in map(chr, range(0xD7A4)) if re.match(f"[{packing.SETTLED}]", c)]
+    texts = ["", " ", "it's  a\n\n\ttest ", "<|endoftext|> x", "a\x1cb\x85c \u00a0d", "e\u0301 \U0001F600", "don't'S 12\u00b2"]
+    texts += ["".join(rng.choices(settled if rng.random() < 0.7 else settled[:100], k=rng.randint(1, 30)))
+              for _ in range(6000)]
+    texts += ["".join(rng.choices(" \n\tab'st1.", k=rng.randint(1, 30))) for _ in range(3000)]
+    texts += ["".join(chr(rng.choice([rng.randint(0, 0xD7FF), rng.randint(0xE000, 0x1FFFF)])) for _ in range(12))
+              for _ in range(3000)]
+    got = [ids for at in range(0, len(texts), 100) for ids in own.encode(texts[at:at + 100])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_trades_raise_the_squared_fill_and_empty_bins():
     rng = random.Random(3)
     fewer = 0
