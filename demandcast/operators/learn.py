@@ -29,11 +29,13 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.functions.columns import key_hash_bucket
+from demandcast.operators import boost
 from demandcast.session import shared_path
 from demandcast.spec import KEY, MONTH, TARGET, FactSpec
 
@@ -265,6 +267,30 @@ def fit_predict(prepared: DataFrame, params: dict, spec: FactSpec, name: str = "
     return model.setPredictionCol(name).transform(score_months(prepared, spec)).select(*KEY, label, name)
 
 
+def fit_regularised(prepared: DataFrame, params: dict, spec: FactSpec, name: str = "pred", leaves: int = 31,
+                    at_once: int = 1, patience: int | None = None, label: str = TARGET) -> DataFrame:
+    """``boost`` with the terms GBTRegressor lacks (L1, L2, gamma, leaf-wise growth), on the valid and test months.
+
+    With ``patience`` the valid month ends the fit.  Row and column sampling have no counterpart here and are not used;
+    nominal columns are split by the order of their codes.
+    """
+    width = prepared.schema[FEATURES].metadata["ml_attr"]["num_attrs"]
+    names = [f"__f{i}" for i in range(width)]
+
+    def wide(df: DataFrame) -> DataFrame:
+        values = vector_to_array(F.col(FEATURES))
+        return df.withColumn("__x", values).withColumns({c: F.col("__x")[i] for i, c in enumerate(names)}).drop("__x")
+
+    m = F.col(MONTH)
+    train, held = wide(prepared.filter(m < spec.valid_month)), wide(prepared.filter(m == spec.valid_month))
+    penalty = boost.Penalty(params.get("reg_alpha", 0.0), params.get("reg_lambda", 0.0), params.get("gamma", 0.0),
+                            params.get("min_child_weight", 1.0))
+    model = boost.fit(train, held if patience is not None else None, names, label, params["n_estimators"],
+                      params.get("learning_rate", 0.1), penalty, leaves, params["max_depth"], at_once=at_once,
+                      patience=patience)
+    return model.transform(wide(score_months(prepared, spec)), names, name).select(*KEY, label, name)
+
+
 def stack_level2(*preds: DataFrame) -> DataFrame:
     """Base predictions side by side, joined on the natural key (not by position)."""
     out = preds[0]
