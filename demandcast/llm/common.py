@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from demandcast.session import shared_path
 
@@ -72,7 +73,7 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select("__doc.*")
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     It cuts the lineage (a lost executor costs a re-read), keeps the columns prunable, and gives the
@@ -80,7 +81,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, f"llm/{label}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -130,7 +131,7 @@ def split_rows(rows: DataFrame, column: str, wanted: DataFrame,
     return marked.where("__likely").drop("__likely"), marked.where("not __likely").drop("__likely")
 
 
-def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[], Callable[..., tuple]],
+def map_rows(df: DataFrame, columns: list[str], schema: str | StructType, make: Callable[[], Callable[..., tuple]],
              rows_at_once: int = 256) -> DataFrame:
     """One output row per input row from a Python function, in Arrow batches.
 
@@ -148,9 +149,9 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
                                                  schema=arrow)
 
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType, _parse_datatype_string
+    from pyspark.sql.types import _parse_datatype_string
 
-    struct = _parse_datatype_string(schema)
+    struct = schema if isinstance(schema, StructType) else _parse_datatype_string(schema)
     assert isinstance(struct, StructType)
     arrow = to_arrow_schema(struct)
     return df.select(*columns).mapInArrow(run, struct)

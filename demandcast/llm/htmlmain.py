@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 
 import numpy as np
@@ -46,7 +47,7 @@ RAW = frozenset("script style noscript template iframe textarea select svg math
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure "
                   "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table "
                   "tbody td tfoot th thead tr ul caption".split())
-FURNITURE_TAGS = frozenset("nav aside footer form menu dialog".split())
+FURNITURE_TAGS = frozenset("nav aside footer menu dialog".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FURNITURE_WORDS = frozenset("nav navbar navigation menu menubar footer sidebar ad ads advert adverts advertisement "
                             "advertising banner cookie cookies consent gdpr notice alert newsletter subscribe promo "
@@ -73,13 +74,14 @@ CLOSES = {"li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozense
           "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"])}
 HOLDS = frozenset("ul ol dl table div section article main body nav aside footer header form".split())
 
-_TAG = re.compile(r"<!--|<(?P<decl>[!?])|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"
-                  r"(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
-_LOOSE = re.compile(r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>[^>]*)>")
+_NAME = re.compile(r"<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)")
+_ATTRS = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+(?=>)")
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none")
 _WORD = re.compile(r"[a-z]+")
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+#: A button that is not closed ends where the next block or button begins.
+_BUTTON_END = re.compile(rf"</button\s*>|<(?=button\b|/?(?:{'|'.join(sorted(BLOCK - {'div'}))})\b)", re.I)
 
 
 def _attributes(attrs: str) -> dict[str, str]:
@@ -140,38 +142,54 @@ def page_blocks(page: str) -> list[tuple[int, str]]:
                 kind = FURNITURE if hidden else ARTICLE if article else MAIN if main else OPEN
                 out.append((kind + DOUBTED * (doubt > 0 and not hidden), words))
 
+    places: dict[str, list[int]] = {}            # where on the stack elements of a name lie
+    holds: list[int] = []                         # and those of HOLDS
+
     def pop_to(at: int):
         nonlocal article, main, furniture, named, header, doubt
+        for name, *_ in reversed(stack[at:]):
+            places[name].pop()
+            if name in HOLDS:
+                holds.pop()
         del stack[at:]
         article, main, furniture, named, header, doubt = stack[-1][1:] if stack else (0, 0, 0, 0, 0, 0)
 
     at, n = 0, len(page)
+    last, quotes = page.rfind(">"), True          # no tag ends beyond; whether quotes may still hide a ">"
     while at < n:
         lt = page.find("<", at)
-        if lt < 0:
+        if lt < 0 or lt > last:
             parts.append(entities.unescape(page[at:]))
             break
         if lt > at:
             parts.append(entities.unescape(page[at:lt]))
-        tag = _TAG.match(page, lt) or _LOOSE.match(page, lt)
-        if tag is None:                              # a bare "<" is text
-            parts.append("<")
-            at = lt + 1
-            continue
-        if tag[0] == "<!--":
+        if page.startswith("<!--", lt):
             end = page.find("-->", lt + 4)
             at = n if end < 0 else end + 3
             continue
-        if tag.groupdict().get("decl"):
-            end = page.find(">", lt)
-            at = n if end < 0 else end + 1
+        if page.startswith(("<!", "<?"), lt):
+            at = page.find(">", lt) + 1
             continue
-        at = tag.end()
-        name, closing, attrs = tag["name"].lower(), bool(tag["close"]), tag["attrs"]
+        tag = _NAME.match(page, lt)
+        if tag is None:                              # a bare "<" is text
+            parts.append("<")
+            at = lt + 1
+            continue
+        rest = _ATTRS.match(page, tag.end()) if quotes else None
+        if rest is None:                             # a quote without end: from here on the next ">" ends a tag
+            quotes = False
+            at = page.find(">", lt) + 1
+        else:
+            at = rest.end() + 1
+        if at == 0 or at <= tag.end():               # the name ran to the end of the page
+            parts.append(entities.unescape(page[lt:]))
+            break
+        attrs = page[tag.end():at - 1]
+        name, closing = tag["name"].lower(), bool(tag["close"])
         if name in RAW:
             if not closing and not attrs.rstrip().endswith("/"):
-                end = _RAW_END[name].search(page, at)
-                at = end.end() if end else n
+                end = (_BUTTON_END if name == "button" else _RAW_END[name]).search(page, at)
+                at = n if end is None else end.end() if end[0] != "<" else end.start()
             continue
         if name == "br":
             parts.append(" ")
@@ -183,18 +201,15 @@ def page_blocks(page: str) -> list[tuple[int, str]]:
         if closing:
             if name in HEADINGS:
                 heading = 0
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    pop_to(k)
-                    break
+            if places.get(name):
+                pop_to(places[name][-1])
             continue
         if name in BLOCK:
-            ends = CLOSES.get(name, frozenset()) | {"p"}
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ends:
-                    pop_to(k)
-                elif stack[k][0] in HOLDS:
-                    break
+            held = holds[-1] if holds else -1
+            ends = [place[k] for e in (*CLOSES.get(name, ()), "p") if (place := places.get(e))
+                    and (k := bisect_right(place, held)) < len(place)]
+            if ends:
+                pop_to(min(ends))
             heading = int(name in HEADINGS)
         if attrs.rstrip().endswith("/") and name not in BLOCK:
             continue
@@ -209,8 +224,11 @@ def page_blocks(page: str) -> list[tuple[int, str]]:
             article += is_article
             main += is_main
             furniture += name in FURNITURE_TAGS or _is_hidden(own)
-            named += _is_named_furniture(name, words, bool(article or main))
+            named += name == "form" or _is_named_furniture(name, words, bool(article or main))
             header += name == "header" or "header" in words
+        places.setdefault(name, []).append(len(stack))
+        if name in HOLDS:
+            holds.append(len(stack))
         stack.append((name, article, main, furniture, named, header, doubt))
     flush()
     sure = sum(t.count(" ") + 1 for k, t in out if k in (ARTICLE, MAIN))

@@ -36,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from demandcast.llm.common import likely_rows, map_rows, materialize, packed, split_rows, unpacked
 from demandcast.llm.components import connected_components
@@ -174,12 +175,46 @@ def candidate_buckets(classes: DataFrame) -> DataFrame:
     return likely_rows(keys, "key", shared.select("key")).join(shared, "key")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """Registers and full sets of ``wanted`` classes (class, doc_id, digest), from one of the documents of each."""
+def _digests(docs: DataFrame, words: int) -> DataFrame:
+    """``digest, text`` of every row of ``docs`` (text) that has words."""
+    def make() -> Callable[..., tuple]:
+        hashes = _WordHashes()
+
+        def row(text):
+            s = shingle_set(text, words, hashes)
+            return (xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None), text
+        return row
+
+    return map_rows(docs, ["text"], "digest binary, text string", make).where("digest is not null")
+
+
+def _class_texts(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(class, wants, text): one text for each of the wanted classes (class, doc_id, digest), or a few.
+
+    A class is found by its doc_id; where that is null or names several wanted classes, by its digest, as every
+    text of such an id would meet every class of it.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("text"))
     w = wanted.select("class", "doc_id", F.col("digest").alias("wants"))
-    rows = (likely_rows(texts, "__id", w.select("doc_id"))
-            .join(w.hint("merge"), F.col("__id").eqNullSafe(w.doc_id)).select("class", "wants", "text"))
+    unclear = materialize(w.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null")
+                          .select(F.col("doc_id").alias("__unclear")), "unclear-ids")
+    clear = not unclear.head(1)
+    by_id = w if clear else w.join(unclear, F.col("doc_id") == F.col("__unclear"), "left_anti").where(
+        "doc_id is not null")
+    rows = (likely_rows(texts, "__id", by_id.select("doc_id")).join(by_id.hint("merge"), F.col("__id") == by_id.doc_id)
+            .select("class", "wants", "text"))
+    if clear:
+        return rows
+    rest = w.join(unclear, F.col("doc_id").eqNullSafe(F.col("__unclear")), "left_semi").select("class", "wants")
+    held = likely_rows(texts, "__id", unclear).join(unclear, F.col("__id").eqNullSafe(F.col("__unclear")), "left_semi")
+    found = likely_rows(_digests(held, words), "digest", rest.select("wants")).groupBy("digest") \
+        .agg(F.min("text").alias("text"))                           # copies are combined before the shuffle
+    return rows.unionByName(found.join(rest, F.col("digest") == F.col("wants")).select("class", "wants", "text"))
+
+
+def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """Registers and full sets of ``wanted`` classes (class, doc_id, digest), from one of the documents of each."""
+    rows = _class_texts(docs, wanted, words)
 
     def make() -> Callable[..., tuple]:
         hashes = _WordHashes()
@@ -333,8 +368,8 @@ def rest_tiles(buckets: DataFrame) -> DataFrame:
             .unionByName(right.select(tile, F.lit(1).alias("side"), "class", "part")))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text)."""
+def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id, n_shingles, digest, component, component_id`` for every row; no component without words."""
     sketches = materialize(sketch_documents(docs, words).withColumn("row", F.monotonically_increasing_id()),
                            "sketches")
     named = materialize(sketches.where("digest is not null").groupBy("digest")
@@ -360,21 +395,57 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         final.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "component", F.coalesce("component", "class"))
     least = member.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_digest = member.join(least, "component").select("digest", "component_id")
-    linked = sketches.where("digest is not null").select("doc_id", "n_shingles", "digest") \
-        .join(by_digest, "digest").select("doc_id", "n_shingles", "component_id")
-    alone = sketches.where("digest is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    by_digest = member.join(least, "component").select("digest", "component", "component_id")
+    rows = sketches.select("doc_id", "n_shingles", "digest")
+    alone = rows.where("digest is null").withColumn("component", F.lit(None).cast("long")) \
+        .withColumn("component_id", F.col("doc_id"))
+    return rows.where("digest is not null").join(by_digest, "digest").unionByName(alone) \
+        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id, text)."""
+    return _components(docs, words, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group stays, with all columns of ``docs``; rows that repeat doc_id and text once."""
-    found = materialize(near_duplicates(docs, words, percent).select("doc_id", "kept"), "near-decided")
-    stay = found.where("kept").groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__rows"))
-    special = found.where("not kept").select("doc_id").unionByName(
-        stay.where("__rows > 1").select(F.col("__id").alias("doc_id")))
-    maybe, sure = split_rows(packed(docs, F.col("doc_id").cast("long").alias("__doc_id"), "text"), "__doc_id", special)
-    joined = maybe.join(stay, maybe["__doc_id"].eqNullSafe(stay["__id"])).drop("__id")
-    once = joined.where("__rows = 1").drop("__rows")
-    again = joined.where("__rows > 1").dropDuplicates(["__doc_id", "text"]).drop("__rows")
-    return unpacked(sure.unionByName(once).unionByName(again))
+    """One document of each group stays, with all columns of ``docs``: the one with the smallest doc_id.
+
+    Rows whose doc_id is null or repeated are told apart by their digest: of a group without ids the row with the
+    smallest digest stays, rows that repeat doc_id and set count once, rows without words once per doc_id and text.
+    """
+    found = materialize(_components(docs, words, percent).select("doc_id", "digest", "component", "kept"),
+                        "near-decided")
+    gone = found.where("not kept").select(F.col("doc_id").alias("__id"))
+    unclear = materialize(found.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("n"))
+                          .where("n > 1 or __id is null").select("__id"), "near-unclear")
+    rows = packed(docs, F.col("doc_id").cast("long").alias("__doc_id"), F.col("text").cast("string").alias("text"))
+    same_id = F.col("__doc_id").eqNullSafe(F.col("__id"))
+    if not unclear.head(1):
+        maybe, sure = split_rows(rows, "__doc_id", gone)
+        return unpacked(sure.unionByName(maybe.join(gone, same_id, "left_anti")))
+    maybe, sure = split_rows(rows, "__doc_id", gone.unionByName(unclear))
+    plain = maybe.join(gone.unionByName(unclear), same_id, "left_anti")
+    told = _with_digests(maybe.join(unclear, same_id, "left_semi"), words)
+    first = found.where("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "digest")).alias("w")) \
+        .select(F.col("w.doc_id").alias("__id"), F.col("w.digest").alias("__wins"))
+    stays = told.join(first, same_id & (F.col("__digest") == F.col("__wins"))).groupBy("__doc_id", "__digest") \
+        .agg(F.min_by("__doc", "text").alias("__doc"))
+    silent = told.where("__digest is null").groupBy("__doc_id", "text").agg(F.first("__doc").alias("__doc"))
+    return unpacked(sure.select("__doc").unionByName(plain.select("__doc")).unionByName(stays.select("__doc"))
+                    .unionByName(silent.select("__doc")))
+
+
+def _with_digests(rows: DataFrame, words: int) -> DataFrame:
+    """``rows`` (__doc, __doc_id, text) with the digest of their shingle set."""
+    def make() -> Callable[..., tuple]:
+        hashes = _WordHashes()
+
+        def row(doc, doc_id, text):
+            s = shingle_set(text, words, hashes)
+            return doc, doc_id, text, (xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
+        return row
+
+    schema = StructType().add(rows.schema["__doc"]).add("__doc_id", "long").add("text", "string")
+    return map_rows(rows, ["__doc", "__doc_id", "text"], schema.add("__digest", "binary"), make)

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from demandcast.llm import ann, exactdup, mixing, neardup, quality, queries, sharding
 from demandcast.llm.common import read_table, ship_package
@@ -153,6 +154,29 @@ def test_near_duplicates_of_short_documents(spark, first, second, shift):
     assert {r.doc_id for r in got if r.component_id != r.doc_id // 2 * 2} == set()
 
 
+def test_near_duplicates_without_ids(spark):
+    """Null and reused ids: texts are found by digest, so the rows read stay linear, and one of each group stays."""
+    ship_package(spark)
+    texts = [" ".join(f"g{p}w{k}" for k in range(30)) + f" end{v}" for p in range(400) for v in range(2)]
+    rows = [(None if k < 600 else 7, t, "s") for k, t in enumerate(texts)] + [(None, texts[0], "s")] * 50
+    docs = documents(spark, rows)
+    sketches = neardup.sketch_documents(docs, 5).withColumn("row", F.monotonically_increasing_id())
+    wanted = sketches.groupBy("digest").agg(F.min("row").alias("class"), F.min("doc_id").alias("doc_id"))
+    assert neardup._class_texts(docs, wanted, 5).count() == len(texts)
+    assert neardup.near_duplicates(docs).count() == len(rows)
+    kept = neardup.keep_first(docs)
+    groups = Counter(r.text.rsplit(" ", 1)[0] for r in kept.collect())
+    assert kept.columns == docs.columns and len(groups) == 400 and set(groups.values()) == {1}
+
+
+def test_keep_first_with_an_id_of_two_texts(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(1, one, "s"), (5, one + " more", "s"), (5, two, "s"), (5, two, "s"), (None, two + " more", "s"),
+            (None, "", "s"), (None, "", "s"), (None, None, "s")]
+    kept = neardup.keep_first(documents(spark, rows)).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(1, one), (5, two), (None, ""), (None, None)])
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = {(r.doc_id, r.n_shingles): r for r in neardup.near_duplicates(odd, 2).collect()}
     assert got[1, 0].component_id == 1 and got[2, 0].component_id == 2 and got[3, 0].kept
