@@ -7,19 +7,25 @@
    article the headings stay.  What only a name marks is furniture unless an article or main stands in it that has
    more words than all others of the page; names that tell a state (``has-sidebar``), ids of headings, sections and
    paragraphs inside articles, and compound names on headings mark nothing.
-2. The token streams of all blocks of a page are laid end to end per host and their suffixes put in order of their
-   first ``min_run`` tokens by Spark's shuffle (a suffix array cut at the depth that counts; no host is ever gathered
-   in one task, equal prefixes are combined before the shuffle).  A prefix that occurs on pages of different content
-   is a repeated substring; tokens under one are covered.  Blocks shorter than ``min_run`` are also keyed whole.
+2. The token streams of all blocks of a page are laid end to end per host.  A suffix counts by its first ``min_run``
+   tokens: a place lies under a substring of that length or more which repeats on another page exactly if it lies
+   under such a beginning that does.  Suffixes are met in two steps, so that few of them go through the shuffle.
+   Every suffix has a mark, the least hash of the short grams in its first ``min_run`` tokens; equal beginnings have
+   equal marks, and a page has about a third as many marks as suffixes.  Marks are counted by pages first (combined
+   before the shuffle); only the suffixes under marks of several pages are then counted themselves, with their exact
+   number of pages.  Tokens under a repeated one are covered.  Blocks shorter than ``min_run`` are also keyed whole.
+   No host and no run is ever gathered in one task.
 3. On pages without article and main blocks, open blocks that are covered to ``covered_share`` are boilerplate; the
    rest, the unique runs, is the text.  Otherwise the text is the article blocks or the blocks of ``main`` outside
    articles, whichever have more uncovered tokens (articles if equal).  Of these a block goes only if it is covered
-   by prefixes on at least ``MANY_PAGES`` pages and ``MANY_SHARE`` of the host's pages: a passage that two articles
-   share is still article text.  If all would go, all stay.
+   by runs on at least ``MANY_PAGES`` pages and ``MANY_SHARE`` of the host's pages: a passage that two articles
+   share is still article text.  If all would go, all stay.  The choice is made on block sizes and covered places;
+   texts move only where it differs from the one without repeats.
 
 Defined results: null and empty html give an empty text.  A page without host is compared with the other pages
-without host.  Pages with equal content count as one page, so copies do not erase each other.  Repeated rows give
-repeated rows; columns other than page_id, url and html are ignored.
+without host.  Pages of a host with equal content count as one page, so copies do not erase each other.  Time is
+linear in a page's length, whatever its markup: beyond the last ">" all is text, and after a quote that never ends
+the next ">" ends a tag.  Repeated rows give repeated rows; columns other than page_id, url and html are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import likely_rows, map_rows, materialize
+from demandcast.llm.common import likely_rows, map_rows, materialize, split_rows
 
 ARTICLE, MAIN, OPEN, FURNITURE = 3, 1, 0, 2
 MANY_PAGES, MANY_SHARE = 5, 0.25   # pages of a host that repeat what is boilerplate even inside an article
@@ -242,104 +248,166 @@ def host_of(url: str | None) -> str | None:
 
 
 def scan_pages(pages: DataFrame) -> DataFrame:
-    """One row per page: its host and blocks, and a hash of them."""
+    """One row per page: its host, its blocks, a hash of both (pages that agree in it count as one) and with kinds."""
     def make() -> Callable[..., tuple]:
         def row(page_id, url, page):
             blocks = page_blocks(page or "")
-            texts = [t for _, t in blocks]
-            return (page_id, url, host_of(url), _signed(xxhash.xxh3_64_intdigest("\n".join(texts))),
-                    [k for k, _ in blocks], texts)
+            texts, host = [t for _, t in blocks], host_of(url)
+            content = _signed(xxhash.xxh3_64_intdigest("\n".join(texts), _host_seed(host)))
+            kinds = [k for k, _ in blocks]
+            form = _signed(xxhash.xxh3_64_intdigest(bytes(kinds), content & 0xFFFFFFFFFFFFFFFF))
+            return page_id, url, host, content, form, kinds, [t.count(" ") + 1 for t in texts], texts
         return row
 
     return map_rows(pages.select("page_id", "url", F.col("html").cast("string").alias("html")),
-                    ["page_id", "url", "html"],
-                    "page_id long, url string, host string, content long, kinds array<int>, blocks array<string>", make)
+                    ["page_id", "url", "html"], "page_id long, url string, host string, content long, "
+                    "form long, kinds array<int>, sizes array<int>, blocks array<string>", make)
+
+
+def _host_seed(host: str | None) -> int:
+    return xxhash.xxh3_64_intdigest(b"-" if host is None else b"+" + host.encode("utf-8", "surrogatepass"))
 
 
 def _signed(h: int) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def page_keys(host: str | None, blocks: list[str], min_run: int) -> tuple[np.ndarray, list[int | None]]:
-    """Keys of the suffixes of a page's stream by host and first ``min_run`` tokens, and of its short blocks whole."""
-    seed = xxhash.xxh3_64_intdigest(b"-" if host is None else b"+" + host.encode())
+def _hashes(hashed: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of all runs of ``length`` tokens."""
+    n = max(0, len(hashed) - length + 1)
+    runs = np.zeros(n, np.uint64)
+    for k in range(length if n else 0):
+        runs = (runs ^ (runs >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + hashed[k:k + n]
+    return runs
+
+
+def page_suffixes(host: str | None, blocks: list[str], min_run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(at, key, mark) of the suffixes of a page's stream, and of its short blocks whole.
+
+    ``key`` stands for host and first ``min_run`` tokens (``at``: the token where they start) or for a short block
+    (``at``: minus its number and one).  ``mark`` is the least hash of the shorter grams among these tokens: equal
+    keys have equal marks, and neighbouring suffixes mostly share theirs, so there are far fewer marks than keys.
+    """
+    seed = _host_seed(host)
     tokens = [t for b in blocks for t in b.split(" ")]
     known = {t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), seed) for t in set(tokens)}
     h = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-    n = max(0, len(h) - min_run + 1)
-    runs = np.zeros(n, np.uint64)
-    for k in range(min_run if n else 0):
-        runs = (runs ^ (runs >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + h[k:k + n]
-    short = [_signed(xxhash.xxh3_64_intdigest(b"\n" + b.encode("utf-8", "surrogatepass"), seed))
-             if b.count(" ") + 1 < min_run else None for b in blocks]
-    return runs.view(np.int64), short
+    keys = _hashes(h, min_run)
+    gram = max(1, min_run // 2)
+    marks = np.lib.stride_tricks.sliding_window_view(_hashes(h, gram), min_run - gram + 1).min(axis=1) \
+        if len(keys) else keys
+    short = [(-k - 1, xxhash.xxh3_64_intdigest(b"\n" + b.encode("utf-8", "surrogatepass"), seed))
+             for k, b in enumerate(blocks) if b.count(" ") + 1 < min_run]
+    at, whole = np.array([k for k, _ in short], np.int64), np.array([x for _, x in short], np.uint64)
+    return (np.concatenate([np.arange(len(keys)), at]), np.concatenate([keys, whole]).view(np.int64),
+            np.concatenate([marks, whole]).view(np.int64))
+
+
+def marks(scanned: DataFrame, min_run: int) -> DataFrame:
+    """(mark): the distinct marks of every page."""
+    def make() -> Callable[..., tuple]:
+        return lambda host, blocks: (np.unique(page_suffixes(host, blocks, min_run)[2]).tolist(),)
 
+    return map_rows(scanned, ["host", "blocks"], "marks array<long>", make).select(F.explode("marks").alias("mark"))
 
-def suffixes(scanned: DataFrame, min_run: int) -> DataFrame:
-    """(rid, content, key): the distinct keys of every page."""
+
+def marked_suffixes(scanned: DataFrame, met: DataFrame, min_run: int) -> DataFrame:
+    """(content, at, key, first): the suffixes under the marks ``met``; ``first`` of its key in the page."""
     def make() -> Callable[..., tuple]:
-        def row(rid, host, content, blocks):
-            runs, short = page_keys(host, blocks, min_run)
-            return rid, content, list({*runs.tolist(), *(k for k in short if k is not None)})
+        def row(content, host, blocks):
+            at, key, mark = page_suffixes(host, blocks, min_run)
+            first = np.zeros(len(key), bool)
+            first[np.unique(key, return_index=True)[1]] = True
+            order = np.argsort(mark, kind="stable")
+            starts = np.flatnonzero(np.diff(mark[order], prepend=mark[order][:1] - 1))
+            cut = lambda values: [x.tolist() for x in np.split(values[order], starts[1:])] if len(at) else []
+            return content, [dict(zip(("mark", "at", "key", "first"), x)) for x in
+                             zip(mark[order][starts].tolist(), cut(at), cut(key), cut(first))]
         return row
 
-    rows = map_rows(scanned, ["rid", "host", "content", "blocks"], "rid long, content long, keys array<long>", make)
-    return rows.select("rid", "content", F.explode("keys").alias("key"))
-
+    rows = map_rows(scanned, ["content", "host", "blocks"],
+                    "content long, s array<struct<mark:long,at:array<int>,key:array<long>,first:array<boolean>>>", make)
+    rows = likely_rows(rows.select("content", F.explode("s").alias("s")).select("content", "s.*"), "mark", met)
+    return rows.join(met, "mark").select("content", F.explode(F.arrays_zip("at", "key", "first")).alias("s")) \
+        .select("content", "s.*")
 
-def repeated_prefixes(rows: DataFrame) -> DataFrame:
-    """Keys that occur on pages of different content: neighbours in the host's suffix array."""
-    return (rows.groupBy("key").agg(F.min("content").alias("a"), F.max("content").alias("b"))
-            .where("a <> b").select("key"))
 
-
-def choose_blocks(kinds: list[int], blocks: list[str], runs: list[int], short: list[int | None], pages: dict[int, int],
-                  many: float, min_run: int, covered_share: float) -> list[str]:
-    """The main text of one page; ``pages`` has the number of pages of every repeated key."""
-    sizes = [b.count(" ") + 1 for b in blocks]
+def choose_blocks(kinds: list[int], sizes: list[int], repeats: dict[int, int], many: float, min_run: int,
+                  covered_share: float) -> list[int]:
+    """Numbers of the blocks of a page's main text; ``repeats`` has the pages of every repeated suffix by place."""
     starts = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
 
     def covered(least: float) -> list[int]:
         under = bytearray(int(starts[-1]))
-        for s, key in enumerate(runs):
-            if pages.get(key, 0) >= least:
-                under[s:s + min_run] = b"\x01" * min_run
-        return [size if pages.get(key, 0) >= least else sum(under[at:at + size])
-                for at, size, key in zip(starts, sizes, short)]
+        for at, n in repeats.items():
+            if at >= 0 and n >= least:
+                under[at:at + min_run] = b"\x01" * min_run
+        return [size if repeats.get(-k - 1, 0) >= least else sum(under[at:at + size])
+                for k, (at, size) in enumerate(zip(starts, sizes))]
 
     some = covered(2)
     unique = {k: sum(n - c for kind, n, c in zip(kinds, sizes, some) if kind == k) for k in (ARTICLE, MAIN)}
     if ARTICLE in kinds or MAIN in kinds:
         best = MAIN if ARTICLE not in kinds or (MAIN in kinds and unique[MAIN] > unique[ARTICLE]) else ARTICLE
         often = covered(many)
-        found = [(b, c < covered_share * n) for k, b, n, c in zip(kinds, blocks, sizes, often) if k == best]
-        return [b for b, stays in found if stays] or [b for b, _ in found]
-    return [b for k, b, n, c in zip(kinds, blocks, sizes, some) if k == OPEN and c < covered_share * n]
+        found = [(i, c < covered_share * n) for i, (k, n, c) in enumerate(zip(kinds, sizes, often)) if k == best]
+        return [i for i, stays in found if stays] or [i for i, _ in found]
+    return [i for i, (k, n, c) in enumerate(zip(kinds, sizes, some)) if k == OPEN and c < covered_share * n]
+
+
+def _without_copies(scanned: DataFrame, by: str) -> DataFrame:
+    """One page of every value of ``by``; ``scanned`` itself where none repeats."""
+    first = scanned.groupBy(by).agg(F.min("rid").alias("rid"), F.count("*").alias("n"))
+    again = materialize(scanned.select(by, F.col("rid").alias("__rid"))
+                        .join(first.where("n > 1").drop("n"), by).where("__rid <> rid").select("__rid"),
+                        "html-copies")
+    if not again.head(1):
+        return scanned
+    maybe, sure = split_rows(scanned, "rid", again)
+    return sure.unionByName(maybe.join(again, F.col("rid") == F.col("__rid"), "left_anti"))
+
+
+def decisions(scanned: DataFrame, min_run: int, covered_share: float) -> DataFrame:
+    """(form, chosen): block numbers, for the pages of which repeated suffixes change the choice."""
+    one = _without_copies(scanned, "content")
+    forms = one if one is scanned else _without_copies(scanned, "form")
+    met = materialize(marks(one.select("host", "blocks"), min_run).groupBy("mark").agg(F.count("*").alias("n"))
+                      .where("n > 1").select("mark"), "html-met")
+    found = materialize(marked_suffixes(one, met, min_run), "html-suffixes")
+    repeated = found.where("first").groupBy("key").agg(F.count("*").cast("int").alias("n")).where("n > 1")
+    pages = (found.select("content", "at", "key").join(repeated, "key").groupBy("content")  # at most a page's length
+             .agg(F.collect_list(F.struct("at", "n")).alias("hits")))
+    hosts = materialize(one.groupBy(F.col("host").alias("__host")).agg(F.count("*").alias("host_pages")), "html-hosts")
+    rows = forms.select("form", "content", "host", "kinds", "sizes").join(pages, "content") \
+        .join(hosts, F.col("host").eqNullSafe(F.col("__host")))
+
+    def make() -> Callable[..., tuple]:
+        def row(form, kinds, sizes, hits, host_pages):
+            many = max(MANY_PAGES, MANY_SHARE * host_pages)
+            chosen = choose_blocks(kinds, sizes, {x["at"]: x["n"] for x in hits}, many, min_run, covered_share)
+            return form, None if chosen == choose_blocks(kinds, sizes, {}, many, min_run, covered_share) else chosen
+        return row
+
+    return map_rows(rows, ["form", "kinds", "sizes", "hits", "host_pages"], "form long, chosen array<int>",
+                    make).where("chosen is not null")
 
 
 def extract_main_text(pages: DataFrame, min_run: int = 8, covered_share: float = 0.8) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (page_id, url, html)."""
-    scanned = materialize(scan_pages(pages).withColumn("rid", F.monotonically_increasing_id()), "html-scan")
-    repeated = materialize(repeated_prefixes(suffixes(scanned, min_run)), "html-repeated")
-    hits = materialize(likely_rows(suffixes(scanned, min_run), "key", repeated).join(repeated, "key"), "html-hits")
-    # pages of equal content count as one
-    counts = hits.select("key", "content").distinct().groupBy("key").agg(F.count("*").alias("n"))
-    found = (hits.join(counts, "key").groupBy("rid")                              # bounded by the page's own length
-             .agg(F.collect_list("key").alias("keys"), F.collect_list("n").alias("ns")))
-    hosts = materialize(scanned.select("host", "content").distinct().groupBy(F.col("host").alias("__host"))
-                        .agg(F.count("*").alias("host_pages")), "html-hosts")
-    sizes = scanned.select("rid", "host").join(hosts, F.col("host").eqNullSafe(F.col("__host")))
-    found = found.join(sizes.select("rid", "host_pages"), "rid")
+    scanned = materialize(scan_pages(pages).withColumn("rid", F.monotonically_increasing_id()), "html-scan", "zstd")
+    changed = materialize(decisions(scanned, min_run, covered_share).withColumnRenamed("form", "__form"),
+                          "html-changed")
 
     def make() -> Callable[..., tuple]:
-        def row(page_id, url, host, kinds, blocks, keys, ns, host_pages):
-            runs, short = page_keys(host, blocks, min_run)
-            kept = choose_blocks(kinds, blocks, runs.tolist(), short, dict(zip(keys or (), ns or ())),
-                                 max(MANY_PAGES, MANY_SHARE * (host_pages or 0)), min_run, covered_share)
-            return page_id, url, "\n".join(kept)
+        def row(page_id, url, kinds, sizes, blocks, chosen):
+            kept = choose_blocks(kinds, sizes, {}, 2, min_run, covered_share) if chosen is None else chosen
+            return page_id, url, "\n".join(blocks[k] for k in kept)
         return row
 
-    decided = map_rows(scanned.join(found, "rid", "left"),
-                       ["page_id", "url", "host", "kinds", "blocks", "keys", "ns", "host_pages"],
+    columns = ["page_id", "url", "form", "kinds", "sizes", "blocks"]
+    maybe, sure = split_rows(scanned.select(*columns), "form", changed.select("__form"))
+    rows = maybe.join(changed, F.col("form") == F.col("__form"), "left").select(*columns, "chosen") \
+        .unionByName(sure.withColumn("chosen", F.lit(None).cast("array<int>")))
+    decided = map_rows(rows, ["page_id", "url", "kinds", "sizes", "blocks", "chosen"],
                        "page_id long, url string, text string", make)
     return decided.withColumn("n_chars", F.length("text").cast("long"))

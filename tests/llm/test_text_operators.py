@@ -4,7 +4,10 @@ import base64
 import hashlib
 import random
 import re
+import time
+from collections import defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -13,6 +16,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from demandcast.llm import bpe, htmlmain, pii, tokencount
+from demandcast.llm.common import ship_package
 from tests.llm.conftest import ODD
 
 JSON, RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -219,3 +223,78 @@ def test_short_repeated_blocks_without_markup(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r.page_id: r.text for r in htmlmain.extract_main_text(pages).collect()}
     assert got == {0: "w0 x0 y0", 1: "w1 x1 y1", 2: "w2 x2 y2", 3: "Home and news"}
+
+
+@pytest.mark.parametrize("page", [
+    lambda n: "<article>" + "<a" * n, lambda n: "<i>" * n + "</b>" * n, lambda n: "<a \"> \"" * n,
+    lambda n: "<li><div>" + "<i>" * n + "<li>x" * n, lambda n: "<button>a" * n, lambda n: "<a '" * n + ">",
+    lambda n: "<p>" + "<i>" * n + "<p>x" * n])
+def test_malformed_pages_take_linear_time(page):
+    seconds = []
+    for n in (4000, 32000):
+        began = time.process_time()
+        htmlmain.page_blocks(page(n))
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 0.2 + 24 * seconds[0]              # eight times the page; quadratic would be 64
+
+
+def test_forms_and_buttons():
+    assert htmlmain.page_blocks("<form><article><p>a b</p></article></form>") == [(htmlmain.ARTICLE, "a b")]
+    assert kinds("<article><p>a</p><form>b</form></article>") == ["a"]
+    assert kinds("<article><p>one<button>x<p>two</article>") == ["one", "two"]
+    assert kinds("<article><p>a <button><div>m</div></button> b</p></article>") == ["a b"]
+
+
+def test_repeated_runs_equal_brute_force(spark):
+    """Covered tokens and page counts against a search of every run of min_run tokens on every page."""
+    ship_package(spark)
+    draw = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(400)]
+    passage = [" ".join(draw.choice(words, size)) for size in (8, 9, 15, 40)]
+    pages = []
+    for i in range(120):
+        blocks = [" ".join(draw.choice(words, draw.integers(1, 60))) for _ in range(6)]
+        for p in draw.choice(4, draw.integers(0, 4), replace=False):
+            k = int(draw.integers(6))
+            at = int(draw.integers(1 + blocks[k].count(" ")))
+            blocks[k] = " ".join(blocks[k].split(" ")[:at] + [passage[p]] + blocks[k].split(" ")[at:])
+        pages.append((i, ["h0", "h1", None][i % 3], blocks))
+    pages += [(200 + i, h, list(b)) for i, h, b in pages[:40]]                     # copies count once
+    rows = [(i, None if h is None else f"http://{h}/", "".join(f"<p>{b}</p>" for b in bs)) for i, h, bs in pages]
+    got = {r.page_id: r.text for r in htmlmain.extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string"), covered_share=0.3).collect()}
+
+    where = defaultdict(set)                                                       # runs and short blocks by host
+    for _, h, bs in pages:
+        tokens = " ".join(bs).split(" ")
+        for k in range(len(tokens) - 7):
+            where[h, tuple(tokens[k:k + 8])].add(tuple(bs))
+        for b in bs:
+            if b.count(" ") < 7:
+                where[h, b].add(tuple(bs))
+    dropped = 0
+    for i, h, bs in pages:
+        tokens, kept, at = " ".join(bs).split(" "), [], 0
+        under = [False] * len(tokens)
+        for k in range(len(tokens) - 7):
+            if len(where[h, tuple(tokens[k:k + 8])]) > 1:
+                under[k:k + 8] = [True] * 8
+        for b in bs:
+            size = b.count(" ") + 1
+            whole = size < 8 and len(where[h, b]) > 1
+            kept += [b] if not whole and sum(under[at:at + size]) < 0.3 * size else []
+            at += size
+        dropped += len(bs) - len(kept)
+        assert got[i] == "\n".join(kept)
+    assert dropped > 40
+
+
+def test_odd_page_tables(spark):
+    long = "<article>" + "<p>" + "word " * 100_000 + "</p>" + "<p>end</p></article>"
+    rows = [(1, None, None, 7, "x", -1), (1, None, None, 7, "x", -1), (None, "", "", 7, "x", -1),
+            (2, "http://h/", long, 7, "x", -1), (3, "http://h/", long, 7, "x", -1), (4, "::", "<", 7, "x", -1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, rid long, content string, n_chars int")
+    got = {(r.page_id, r.n_chars) for r in htmlmain.extract_main_text(pages).collect()}
+    assert got == {(1, 0), (None, 0), (2, 500_003), (3, 500_003), (4, 1)}
+    assert htmlmain.extract_main_text(pages).count() == 6
+    assert htmlmain.extract_main_text(pages).columns == ["page_id", "url", "text", "n_chars"]
