@@ -33,9 +33,11 @@ from __future__ import annotations
 import html as entities
 import re
 from bisect import bisect_right
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +45,7 @@ from pyspark.sql import functions as F
 from demandcast.llm.common import likely_rows, map_rows, materialize, split_rows
 
 ARTICLE, MAIN, OPEN, FURNITURE = 3, 1, 0, 2
+PAGES, TOKENS = 256, 1 << 18   # pages and tokens of them that a task hashes at a time (one page at least)
 MANY_PAGES, MANY_SHARE = 5, 0.25   # pages of a host that repeat what is boilerplate even inside an article
 DOUBTED = 4                    # added to the kind of an article or main inside an element that has a name of furniture
 
@@ -281,64 +284,107 @@ def _hashes(hashed: np.ndarray, length: int) -> np.ndarray:
     return runs
 
 
-def page_suffixes(host: str | None, blocks: list[str], min_run: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(at, key, mark) of the suffixes of a page's stream, and of its short blocks whole.
+def page_suffixes(hosts: list[str | None], pages: list[list[str]], min_run: int) -> tuple[np.ndarray, ...]:
+    """(page, at, key, mark) of the suffixes of some pages' streams, in order, and then of their short blocks whole.
 
     ``key`` stands for host and first ``min_run`` tokens (``at``: the token where they start) or for a short block
     (``at``: minus its number and one).  ``mark`` is the least hash of the shorter grams among these tokens: equal
     keys have equal marks, and neighbouring suffixes mostly share theirs, so there are far fewer marks than keys.
     """
-    seed = _host_seed(host)
-    tokens = [t for b in blocks for t in b.split(" ")]
-    known = {t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), seed) for t in set(tokens)}
+    streams = [" ".join(blocks).split(" ") if blocks else [] for blocks in pages]
+    tokens = [t for stream in streams for t in stream]
+    known = {t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in set(tokens)}
     h = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-    keys = _hashes(h, min_run)
+    seeds = [_host_seed(host) for host in hosts]
+    sizes = np.array([len(stream) for stream in streams], np.int64)
+    h = (h ^ np.repeat(np.array(seeds, np.uint64), sizes)) * np.uint64(0xD6E8FEB86659FD93)
+    page = np.repeat(np.arange(len(pages)), sizes)
+    ends = np.cumsum(sizes)
     gram = max(1, min_run // 2)
-    marks = np.lib.stride_tricks.sliding_window_view(_hashes(h, gram), min_run - gram + 1).min(axis=1) \
-        if len(keys) else keys
-    short = [(-k - 1, xxhash.xxh3_64_intdigest(b"\n" + b.encode("utf-8", "surrogatepass"), seed))
-             for k, b in enumerate(blocks) if b.count(" ") + 1 < min_run]
-    at, whole = np.array([k for k, _ in short], np.int64), np.array([x for _, x in short], np.uint64)
-    return (np.concatenate([np.arange(len(keys)), at]), np.concatenate([keys, whole]).view(np.int64),
-            np.concatenate([marks, whole]).view(np.int64))
+    keys = _hashes(h ^ (h >> np.uint64(32)), min_run)
+    least = _hashes(h ^ (h >> np.uint64(32)), gram)
+    marks = keys
+    for k in range(min_run - gram + 1 if len(keys) else 0):
+        marks = np.minimum(marks, least[k:k + len(keys)]) if k else least[:len(keys)]
+    start = np.arange(len(keys))
+    inside = start + min_run <= ends[page[:len(keys)]]                      # no run goes over the end of its page
+    page, start, keys, marks = page[:len(keys)][inside], start[inside], keys[inside], marks[inside]
+    short = [(p, -k - 1, xxhash.xxh3_64_intdigest(b"\n" + b.encode("utf-8", "surrogatepass"), seeds[p]))
+             for p, blocks in enumerate(pages) for k, b in enumerate(blocks) if b.count(" ") + 1 < min_run]
+    pick = lambda k, kind: np.array([x[k] for x in short], kind)
+    whole = pick(2, np.uint64)
+    return (np.concatenate([page, pick(0, np.int64)]),
+            np.concatenate([start - (ends - sizes)[page], pick(1, np.int64)]),
+            np.concatenate([keys, whole]).view(np.int64), np.concatenate([marks, whole]).view(np.int64))
+
+
+def _firsts(page: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Places of the first of every value in every page."""
+    order = np.lexsort((value, page))
+    new = (np.diff(page[order], prepend=-1) != 0) | (np.diff(value[order], prepend=0) != 0)
+    return order[new]
+
+
+def _some_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """The rows of Arrow batches in pieces of at most PAGES pages, and of few if they are long."""
+    for batch in batches:
+        tokens = [sum(sizes) for sizes in batch.column("sizes").to_pylist()]
+        first = held = 0
+        for k in range(len(tokens) + 1):
+            if k == len(tokens) or (k > first and (k - first == PAGES or held + tokens[k] > TOKENS)):
+                if k > first:
+                    yield batch.slice(first, k - first).to_pydict()
+                first, held = k, 0
+            held += tokens[k] if k < len(tokens) else 0
 
 
 def marks(scanned: DataFrame, min_run: int) -> DataFrame:
     """(mark): the distinct marks of every page."""
-    def make() -> Callable[..., tuple]:
-        return lambda host, blocks: (np.unique(page_suffixes(host, blocks, min_run)[2]).tolist(),)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _some_pages(batches):
+            page, _, _, mark = page_suffixes(part["host"], part["blocks"], min_run)
+            yield pa.RecordBatch.from_arrays([pa.array(mark[_firsts(page, mark)])], ["mark"])
 
-    return map_rows(scanned, ["host", "blocks"], "marks array<long>", make).select(F.explode("marks").alias("mark"))
+    return scanned.select("host", "sizes", "blocks").mapInArrow(run, "mark long")
 
 
 def marked_suffixes(scanned: DataFrame, met: DataFrame, min_run: int) -> DataFrame:
-    """(content, at, key, first): the suffixes under the marks ``met``; ``first`` of its key in the page."""
-    def make() -> Callable[..., tuple]:
-        def row(content, host, blocks):
-            at, key, mark = page_suffixes(host, blocks, min_run)
-            first = np.zeros(len(key), bool)
-            first[np.unique(key, return_index=True)[1]] = True
-            order = np.argsort(mark, kind="stable")
-            starts = np.flatnonzero(np.diff(mark[order], prepend=mark[order][:1] - 1))
-            cut = lambda values: [x.tolist() for x in np.split(values[order], starts[1:])] if len(at) else []
-            return content, [dict(zip(("mark", "at", "key", "first"), x)) for x in
-                             zip(mark[order][starts].tolist(), cut(at), cut(key), cut(first))]
-        return row
+    """(content, at, key, first): the suffixes under the marks ``met``; ``first`` of its key in the page.
 
-    rows = map_rows(scanned, ["content", "host", "blocks"],
-                    "content long, s array<struct<mark:long,at:array<int>,key:array<long>,first:array<boolean>>>", make)
-    rows = likely_rows(rows.select("content", F.explode("s").alias("s")).select("content", "s.*"), "mark", met)
-    return rows.join(met, "mark").select("content", F.explode(F.arrays_zip("at", "key", "first")).alias("s")) \
-        .select("content", "s.*")
+    Neighbouring suffixes under one mark travel as one row; the lowest bit of a key gives way to ``first``.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _some_pages(batches):
+            page, at, key, mark = page_suffixes(part["host"], part["blocks"], min_run)
+            sent = key & ~np.int64(1)
+            sent[_firsts(page, sent)] |= 1
+            new = (np.diff(page, prepend=-1) != 0) | (np.diff(mark, prepend=0) != 0) | (at <= 0)
+            starts = np.flatnonzero(new)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(key)), pa.int32()), pa.array(sent))
+            content = np.array(part["content"], np.int64)[page[starts]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(content), pa.array(mark[starts]), pa.array(at[starts], pa.int32()), lists],
+                ["content", "mark", "at", "keys"])
+
+    rows = scanned.select("content", "host", "sizes", "blocks") \
+        .mapInArrow(run, "content long, mark long, at int, keys array<long>")
+    return (likely_rows(rows, "mark", met).join(met, "mark")
+            .select("content", "at", F.posexplode("keys").alias("k", "sent"))
+            .select("content", (F.col("at") + F.col("k")).alias("at"), F.shiftright("sent", 1).alias("key"),
+                    (F.col("sent").bitwiseAND(F.lit(1).cast("long")) == 1).alias("first")))
 
 
 def choose_blocks(kinds: list[int], sizes: list[int], repeats: dict[int, int], many: float, min_run: int,
                   covered_share: float) -> list[int]:
     """Numbers of the blocks of a page's main text; ``repeats`` has the pages of every repeated suffix by place."""
-    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+    if not repeats:
+        words = {kind: sum(n for k, n in zip(kinds, sizes) if k == kind) for kind in (ARTICLE, MAIN)}
+        best = MAIN if words[MAIN] > words[ARTICLE] else ARTICLE if words[ARTICLE] else OPEN
+        return [i for i, k in enumerate(kinds) if k == best]
+    starts = list(accumulate(sizes, initial=0))
 
     def covered(least: float) -> list[int]:
-        under = bytearray(int(starts[-1]))
+        under = bytearray(starts[-1])
         for at, n in repeats.items():
             if at >= 0 and n >= least:
                 under[at:at + min_run] = b"\x01" * min_run
@@ -371,12 +417,13 @@ def decisions(scanned: DataFrame, min_run: int, covered_share: float) -> DataFra
     """(form, chosen): block numbers, for the pages of which repeated suffixes change the choice."""
     one = _without_copies(scanned, "content")
     forms = one if one is scanned else _without_copies(scanned, "form")
-    met = materialize(marks(one.select("host", "blocks"), min_run).groupBy("mark").agg(F.count("*").alias("n"))
+    met = materialize(marks(one, min_run).groupBy("mark").agg(F.count("*").alias("n"))
                       .where("n > 1").select("mark"), "html-met")
     found = materialize(marked_suffixes(one, met, min_run), "html-suffixes")
-    repeated = found.where("first").groupBy("key").agg(F.count("*").cast("int").alias("n")).where("n > 1")
-    pages = (found.select("content", "at", "key").join(repeated, "key").groupBy("content")  # at most a page's length
-             .agg(F.collect_list(F.struct("at", "n")).alias("hits")))
+    repeated = materialize(found.where("first").groupBy("key").agg(F.count("*").cast("int").alias("n"))
+                           .where("n > 1"), "html-repeated")
+    hits = likely_rows(found.select("content", "at", "key"), "key", repeated.select("key")).join(repeated, "key")
+    pages = hits.groupBy("content").agg(F.collect_list(F.struct("at", "n")).alias("hits"))  # at most a page's length
     hosts = materialize(one.groupBy(F.col("host").alias("__host")).agg(F.count("*").alias("host_pages")), "html-hosts")
     rows = forms.select("form", "content", "host", "kinds", "sizes").join(pages, "content") \
         .join(hosts, F.col("host").eqNullSafe(F.col("__host")))
