@@ -72,6 +72,8 @@ KNOWN = ("max_depth", "n_estimators", "learning_rate", "subsample", "colsample_b
          "min_info_gain")
 DEEPEST = 30                    # Spark's own limit on the depth of a tree
 LEAST_BINS = 32
+TREE_ROWS = 1_000_000           # rows that fill a partition of a fit
+LEAST_PARTS = 32                # partitions that a fit may have whatever its rows
 
 FEATURES = "features"
 
@@ -164,6 +166,16 @@ def booster(params: dict, data: DataFrame, label: str = TARGET, seed: int = 42)
     return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxBins=bins_for(data), **gbt_params(params, seed))
 
 
+def full_parts(data: DataFrame) -> DataFrame:
+    """``data`` in no more partitions than its rows fill (``LEAST_PARTS`` at least); the rows are not shuffled.
+
+    At every level of a tree each partition sends the sums of all its nodes, features and bins, however few rows it
+    has, and a table written by month is read in as many partitions as its files make, not its rows.
+    """
+    most = max(LEAST_PARTS, -(-data.count() // TREE_ROWS))
+    return data.coalesce(most) if data.rdd.getNumPartitions() > most else data
+
+
 def ols(label: str = TARGET) -> LinearRegression:
     """Exact least squares by normal equations (an affine learner whose results SQL can solve too)."""
     return LinearRegression(featuresCol=FEATURES, labelCol=label, solver="normal", regParam=0.0)
@@ -224,6 +236,8 @@ def kfold_models(prepared: DataFrame, params: dict | str, spec: FactSpec, k: int
                  parallelism: int = 2, label: str = TARGET) -> list:
     """One model per fold, fitted on the others (``params="ols"``: least squares); fits run as concurrent jobs."""
     train = prepared.filter(F.col(MONTH) < spec.valid_month)
+    if params != "ols":
+        train = full_parts(train)
 
     def fit(fold: int):
         data, held = train.filter(F.col("fold") != fold), train.filter(F.col("fold") == fold)
@@ -259,7 +273,7 @@ def fit_predict(prepared: DataFrame, params: dict, spec: FactSpec, name: str = "
                 patience: int | None = None, label: str = TARGET) -> DataFrame:
     """One booster on the training months (with ``patience``: best iteration by the valid month)."""
     m = F.col(MONTH)
-    train = prepared.filter(m < spec.valid_month)
+    train = full_parts(prepared.filter(m < spec.valid_month))
     if patience is None:
         model = booster(params, train, label).fit(train)
     else:
@@ -304,6 +318,8 @@ def stack_meta(level2: DataFrame, inputs: Sequence[str], spec: FactSpec, params:
     """Meta model trained on the validation month's base predictions, applied to valid and test."""
     data = assemble(level2, inputs, FEATURES)
     train = data.filter(F.col(MONTH) == spec.valid_month)
+    if learner != "ols":
+        train = full_parts(train)
     est = ols(label) if learner == "ols" else booster(params, train, label)
     model = est.fit(train)
     return model.setPredictionCol(name).transform(data).drop(FEATURES)
@@ -334,7 +350,7 @@ def cv_search(prepared: DataFrame, space: dict, spec: FactSpec, trials: int = 10
     objective asks.  Trials are evaluated ``parallelism`` at a time, every fit distributed.
     """
     draws = random_trials(space, trials, seed)
-    train = prepared.filter(F.col(MONTH) < spec.valid_month)
+    train = full_parts(prepared.filter(F.col(MONTH) < spec.valid_month))
 
     def score(draw: dict) -> float:
         total = 0.0

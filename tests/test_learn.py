@@ -48,6 +48,26 @@ def test_prepared_table_keeps_no_panel_tables_and_reads_one_month(spark, prep):
     assert "PartitionFilters: [isnotnull(date_block_num" in plan
 
 
+def test_fits_get_no_more_partitions_than_their_rows_fill(prep, monkeypatch):
+    train = prep.filter(F.col(MONTH) < FIXTURE.valid_month)
+    rows, scattered = train.count(), prep.repartition(90)
+    monkeypatch.setattr(L, "LEAST_PARTS", 2)
+    monkeypatch.setattr(L, "TREE_ROWS", -(-rows // 5))
+    assert L.full_parts(train.coalesce(1)).rdd.getNumPartitions() == 1          # never more than before
+    assert L.full_parts(train.repartition(90)).count() == rows
+    seen, booster = [], L.booster
+    monkeypatch.setattr(L, "booster", lambda params, data, *a: (seen.append(data.rdd.getNumPartitions()),
+                                                                booster(params, data, *a))[1])
+    small = {"max_depth": 1, "n_estimators": 1}
+    L.kfold_models(scattered, small, FIXTURE, k=2)
+    L.fit_predict(scattered, small, FIXTURE)
+    L.cv_search(scattered, {"max_depth": [1], "n_estimators": [1]}, FIXTURE, trials=1, k=2)
+    assert seen == [5] * 5
+    level2 = prep.select(*KEY, L.TARGET, F.lit(1.0).alias("lgb"), F.lit(2.0).alias("xgb")).repartition(90)
+    L.stack_meta(level2, ["lgb", "xgb"], FIXTURE, small)
+    assert seen[5] == 2
+
+
 def test_best_iteration_by_patience():
     assert L.best_iteration([5, 4, 3, 3.5, 2], 100) == 5
     assert L.best_iteration([5, 4, 3, 3.5, 3.6, 2], 2) == 3      # two rounds without improvement: stop
