@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from demandcast.llm import centroids, divergence, packing, queries
@@ -130,6 +131,26 @@ def test_encoder_equals_the_library(monkeypatch):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_pretokens_go_through_the_library_many_at_a_time(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, own = Tokenizer.from_file(path), packing.Encoder(path)
+    texts = [" ".join(f"word{i}x" for i in range(at, at + 100)) + " \n\n  it's 'x' \t\v!?" for at in range(0, 2000, 100)]
+    calls, real = [], own._library
+    monkeypatch.setattr(own, "_library", lambda given: (calls.append(len(given)), real(given))[1])
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert own.encode(texts) == want and len(own.known) > 2000
+    assert sum(calls) < 50
+    own.newline, own.known = b"".join(real(["ab"])), {}          # newlines that do not come back: singly
+    assert own.encode(texts) == want
+
+
+def test_settled_characters_split_as_the_pattern_does():
+    kinds = {kind: re.compile(f"[{chars}]") for kind, chars in
+             ((r"\p{L}", packing.LETTERS), (r"\p{N}", packing.NUMBERS), (r"\s", packing.SPACE))}
+    for c in filter(re.compile(f"[{packing.SETTLED}]").match, map(chr, range(0xD7A4))):
+        assert all(bool(regex.match(kind, c)) == bool(own.match(c)) for kind, own in kinds.items()), hex(ord(c))
+
+
 def test_trades_raise_the_squared_fill_and_empty_bins():
     rng = random.Random(3)
     fewer = 0
