@@ -255,6 +255,20 @@ def test_audit_of_odd_rows(spark, odd, none, monkeypatch):
     assert rows_of(divergence.audit(df), *NAMES) == sorted(brute_audit(wordless), key=repr)
 
 
+def test_terms_are_counted_on_bytes(spark):
+    ship_package(spark)
+    texts = ["".join(map(chr, range(0x250))) + " \u0130\u1E9E\uFF21\U00010400Z", "A a\x00b[c`d{e\x7ff", "\u00c9t\u00c9 \u2028x\xa0y\x85Z"]
+    letters = "".join(map(chr, range(0x61, 0x69)))
+    texts.append(" ".join("".join(letters[i >> k & 7] for k in range(0, 18, 3)) for i in range(120_000)))
+    df = spark.createDataFrame([(t, "en", "s") for t in texts * 2], "text string, lang string, source string").coalesce(1)
+    want = Counter()
+    for t in texts:
+        want.update(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", t.translate({c: c + 32 for c in range(65, 91)})))
+    got = [r for r in divergence.term_counts(df).collect() if r.term is not None]
+    assert {r.term: r.n for r in got} == {t: 2 * n for t, n in want.items()}
+    assert len(got) == len(want)                                # a frequent term is one row of the task
+
+
 def test_galloping_equals_sets():
     rng = np.random.default_rng(1)
     for n, m in ((0, 5), (1, 1), (7, 300), (200, 200)):
