@@ -140,6 +140,7 @@ def test_pretokens_go_through_the_library_many_at_a_time(monkeypatch):
     want = [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert own.encode(texts) == want and len(own.known) > 2000
     assert sum(calls) < 50
+    assert packing.kept_encoder(path) is packing.kept_encoder(path)
     own.newline, own.known = b"".join(real(["ab"])), {}          # newlines that do not come back: singly
     assert own.encode(texts) == want
 
