@@ -11,8 +11,9 @@
    tokens: a place lies under a substring of that length or more which repeats on another page exactly if it lies
    under such a beginning that does.  Suffixes are met in two steps, so that few of them go through the shuffle.
    Every suffix has a mark, the least hash of the short grams in its first ``min_run`` tokens; equal beginnings have
-   equal marks, and a page has about a third as many marks as suffixes.  Marks are counted by pages first (combined
-   before the shuffle); only the suffixes under marks of several pages are then counted themselves, with their exact
+   equal marks, and a page has about a third as many marks as suffixes.  Marks are counted by pages first, part by
+   part of the table, and shuffled only if suffixes under them may be on as many pages as the choice asks for (see
+   ``frequent_marks``); only the suffixes under the marks that stay are then counted themselves, with their exact
    number of pages.  Tokens under a repeated one are covered.  Blocks shorter than ``min_run`` are also keyed whole.
    No host and no run is ever gathered in one task.
 3. On pages without article and main blocks, open blocks that are covered to ``covered_share`` are boilerplate; the
@@ -32,21 +33,25 @@ from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import likely_rows, map_rows, materialize, split_rows
+from demandcast.llm.common import FILTER_BITS, _marked, likely_rows, map_rows, materialize, split_rows
 
 ARTICLE, MAIN, OPEN, FURNITURE = 3, 1, 0, 2
-PAGES, TOKENS = 256, 1 << 18   # pages and tokens of them that a task hashes at a time (one page at least)
+PAGES, TOKENS = 1000, 1 << 18  # pages and tokens of them that a task hashes at a time (one page at least)
+PART_MARKS = 1 << 20           # marks of pages that a task counts at a time
 MANY_PAGES, MANY_SHARE = 5, 0.25   # pages of a host that repeat what is boilerplate even inside an article
+FEW_PAGES = 3                  # marks on fewer pages of a host's small parts need not be met: see frequent_marks
 DOUBTED = 4                    # added to the kind of an article or main inside an element that has a name of furniture
 
 #: Element names by role, and class, id and role words of page furniture.
@@ -251,20 +256,24 @@ def host_of(url: str | None) -> str | None:
 
 
 def scan_pages(pages: DataFrame) -> DataFrame:
-    """One row per page: its host, its blocks, a hash of both (pages that agree in it count as one) and with kinds."""
+    """One row per page: its host, its blocks, a hash of both (pages that agree in it count as one) and with kinds.
+
+    ``pairs``: runs of two pages already bear on its choice; ``plain``: the choice if no run repeats.
+    """
     def make() -> Callable[..., tuple]:
         def row(page_id, url, page):
             blocks = page_blocks(page or "")
-            texts, host = [t for _, t in blocks], host_of(url)
-            content = _signed(xxhash.xxh3_64_intdigest("\n".join(texts), _host_seed(host)))
-            kinds = [k for k, _ in blocks]
-            form = _signed(xxhash.xxh3_64_intdigest(bytes(kinds), content & 0xFFFFFFFFFFFFFFFF))
-            return page_id, url, host, content, form, kinds, [t.count(" ") + 1 for t in texts], texts
+            texts, host = [t for _, t in blocks], _host_seed(host_of(url))
+            content = xxhash.xxh3_64_intdigest("\n".join(texts), host)
+            kinds, sizes = [k for k, _ in blocks], [t.count(" ") + 1 for t in texts]
+            form = xxhash.xxh3_64_intdigest(bytes(kinds), content)
+            return (page_id, url, _signed(host), _signed(content), _signed(form), kinds, sizes, texts,
+                    needs_pairs(kinds), choose_blocks(kinds, sizes, {}, 0, 0, 0))
         return row
 
     return map_rows(pages.select("page_id", "url", F.col("html").cast("string").alias("html")),
-                    ["page_id", "url", "html"], "page_id long, url string, host string, content long, "
-                    "form long, kinds array<int>, sizes array<int>, blocks array<string>", make)
+                    ["page_id", "url", "html"], "page_id long, url string, host long, content long, form long, "
+                    "kinds array<int>, sizes array<int>, blocks array<string>, pairs boolean, plain array<int>", make)
 
 
 def _host_seed(host: str | None) -> int:
@@ -284,40 +293,48 @@ def _hashes(hashed: np.ndarray, length: int) -> np.ndarray:
     return runs
 
 
-def page_suffixes(hosts: list[str | None], pages: list[list[str]], min_run: int) -> tuple[np.ndarray, ...]:
+def page_suffixes(pages: pa.RecordBatch, min_run: int) -> tuple[np.ndarray, ...]:
     """(page, at, key, mark) of the suffixes of some pages' streams, in order, and then of their short blocks whole.
 
     ``key`` stands for host and first ``min_run`` tokens (``at``: the token where they start) or for a short block
     (``at``: minus its number and one).  ``mark`` is the least hash of the shorter grams among these tokens: equal
     keys have equal marks, and neighbouring suffixes mostly share theirs, so there are far fewer marks than keys.
     """
-    streams = [" ".join(blocks).split(" ") if blocks else [] for blocks in pages]
-    tokens = [t for stream in streams for t in stream]
-    known = {t: xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) for t in set(tokens)}
-    h = np.fromiter(map(known.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-    seeds = [_host_seed(host) for host in hosts]
-    sizes = np.array([len(stream) for stream in streams], np.int64)
-    h = (h ^ np.repeat(np.array(seeds, np.uint64), sizes)) * np.uint64(0xD6E8FEB86659FD93)
-    page = np.repeat(np.arange(len(pages)), sizes)
-    ends = np.cumsum(sizes)
+    blocks = pages.column("blocks").flatten()
+    page_of, sizes = _block_sizes(pages)
+    seeds = pages.column("host").to_numpy(zero_copy_only=False).view(np.uint64)
+    tokens = pc.split_pattern(blocks, " ").flatten().dictionary_encode()
+    known = np.array([xxhash.xxh3_64_intdigest(t) for t in tokens.dictionary.cast(pa.binary()).to_pylist()], np.uint64)
+    page = np.repeat(page_of, sizes)
+    h = (known[tokens.indices.to_numpy()] ^ seeds[page]) * np.uint64(0xD6E8FEB86659FD93)
+    lengths = np.bincount(page, minlength=pages.num_rows)
+    ends = np.cumsum(lengths)
     gram = max(1, min_run // 2)
-    keys = _hashes(h ^ (h >> np.uint64(32)), min_run)
-    least = _hashes(h ^ (h >> np.uint64(32)), gram)
-    marks = keys
-    for k in range(min_run - gram + 1 if len(keys) else 0):
-        marks = np.minimum(marks, least[k:k + len(keys)]) if k else least[:len(keys)]
+    h ^= h >> np.uint64(32)
+    keys = _hashes(h, min_run)
+    least = _hashes(h, gram)
+    marks = least[:len(keys)].copy()
+    for k in range(1, min_run - gram + 1 if len(keys) else 0):
+        np.minimum(marks, least[k:k + len(keys)], out=marks)
     start = np.arange(len(keys))
     inside = start + min_run <= ends[page[:len(keys)]]                      # no run goes over the end of its page
     page, start, keys, marks = page[:len(keys)][inside], start[inside], keys[inside], marks[inside]
-    short = [(p, -k - 1, xxhash.xxh3_64_intdigest(b"\n" + b.encode("utf-8", "surrogatepass"), seeds[p]))
-             for p, blocks in enumerate(pages) for k, b in enumerate(blocks) if b.count(" ") + 1 < min_run]
-    pick = lambda k, kind: np.array([x[k] for x in short], kind)
-    whole = pick(2, np.uint64)
-    return (np.concatenate([page, pick(0, np.int64)]),
-            np.concatenate([start - (ends - sizes)[page], pick(1, np.int64)]),
+    short = np.flatnonzero(sizes < min_run)
+    number = short - np.searchsorted(page_of, page_of[short])
+    texts = blocks.take(pa.array(short)).cast(pa.binary()).to_pylist()
+    whole = np.array([xxhash.xxh3_64_intdigest(b"\n" + b, s) for b, s in zip(texts, seeds[page_of[short]].tolist())],
+                     np.uint64)
+    return (np.concatenate([page, page_of[short]]), np.concatenate([start - (ends - lengths)[page], -number - 1]),
             np.concatenate([keys, whole]).view(np.int64), np.concatenate([marks, whole]).view(np.int64))
 
 
+def _block_sizes(pages: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The page and the number of tokens of every block."""
+    sizes = pages.column("sizes")
+    counts = pc.list_value_length(sizes).to_numpy(zero_copy_only=False)
+    return np.repeat(np.arange(pages.num_rows), counts), sizes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _firsts(page: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Places of the first of every value in every page."""
     order = np.lexsort((value, page))
@@ -325,53 +342,138 @@ def _firsts(page: np.ndarray, value: np.ndarray) -> np.ndarray:
     return order[new]
 
 
-def _some_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+def _some_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of Arrow batches in pieces of at most PAGES pages, and of few if they are long."""
     for batch in batches:
-        tokens = [sum(sizes) for sizes in batch.column("sizes").to_pylist()]
+        page, sizes = _block_sizes(batch)
+        tokens = np.bincount(page, sizes, batch.num_rows).tolist()
         first = held = 0
         for k in range(len(tokens) + 1):
             if k == len(tokens) or (k > first and (k - first == PAGES or held + tokens[k] > TOKENS)):
                 if k > first:
-                    yield batch.slice(first, k - first).to_pydict()
+                    yield batch.slice(first, k - first)
                 first, held = k, 0
             held += tokens[k] if k < len(tokens) else 0
 
 
-def marks(scanned: DataFrame, min_run: int) -> DataFrame:
-    """(mark): the distinct marks of every page."""
+def _part_marks(page: np.ndarray, mark: np.ndarray, host: np.ndarray, paired: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(mark, pages, least) of a part of the table: see ``frequent_marks``."""
+    order = np.argsort(mark)
+    mark, page = mark[order], page[order]
+    starts = np.flatnonzero(np.diff(mark, prepend=~mark[:1]))
+    pages = np.diff(np.append(starts, len(mark)))
+    _, number, of_host = np.unique(host, return_inverse=True, return_counts=True)
+    share = MANY_SHARE * (MANY_PAGES - FEW_PAGES + 1) / MANY_PAGES
+    enough = np.ceil(share * of_host - 1e-9)[number][page[starts]]         # at least 2: the part is large for the host
+    pairs = paired[page[starts]]
+    sent = pairs | (pages >= enough)
+    least = np.where(pairs, 2, np.where(enough > 1, 1, FEW_PAGES))
+    return mark[starts][sent], pages[sent], least[sent]
+
+
+def frequent_marks(scanned: DataFrame, min_run: int) -> DataFrame:
+    """(mark): the marks of all suffixes that are on enough pages of their host to bear on a choice, and some more.
+
+    On a host with pages whose choice asks for runs on two pages (``paired``), these are the marks on two pages.
+    Elsewhere a run bears on the choice if it is on T = max(MANY_PAGES, MANY_SHARE * pages of the host) pages.  A task
+    counts marks in parts of the table.  A part that is large for a host hands on the marks on at least the share
+    s = MANY_SHARE * (MANY_PAGES - FEW_PAGES + 1) / MANY_PAGES of its pages of that host; small parts hand on all, and
+    of these the marks on FEW_PAGES pages stay.  Nothing is lost: a mark that no large part hands on, and that is on
+    fewer than FEW_PAGES pages of small ones, is on fewer than s * pages of the host + FEW_PAGES - 1 <= T pages.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _some_pages(batches):
-            page, _, _, mark = page_suffixes(part["host"], part["blocks"], min_run)
-            yield pa.RecordBatch.from_arrays([pa.array(mark[_firsts(page, mark)])], ["mark"])
+        held: list[tuple[np.ndarray, ...]] = []
+        pages = entries = 0
+
+        def counted() -> pa.RecordBatch:
+            mark, n, least = _part_marks(*map(np.concatenate, zip(*held)))
+            return pa.RecordBatch.from_arrays([pa.array(mark), pa.array(n, pa.int64()), pa.array(least, pa.int64())],
+                                              ["mark", "pages", "least"])
 
-    return scanned.select("host", "sizes", "blocks").mapInArrow(run, "mark long")
+        for part in _some_pages(batches):
+            page, _, _, mark = page_suffixes(part, min_run)
+            new = np.flatnonzero((np.diff(page, prepend=-1) != 0) | (np.diff(mark, prepend=0) != 0))
+            page, mark = page[new], mark[new]
+            first = _firsts(page, mark)
+            held.append((page[first] + pages, mark[first], part.column("host").to_numpy(zero_copy_only=False),
+                         part.column("paired").to_numpy(zero_copy_only=False)))
+            pages, entries = pages + part.num_rows, entries + len(first)
+            if entries > PART_MARKS:
+                yield counted()
+                held, pages, entries = [], 0, 0
+        if entries:
+            yield counted()
+
+    sent = scanned.select("host", "paired", "sizes", "blocks").mapInArrow(run, "mark long, pages long, least long")
+    return sent.groupBy("mark").agg(F.sum("pages").alias("pages"), F.min("least").alias("least")) \
+        .where("pages >= least").select("mark")
+
+
+def _bitmap(met: DataFrame) -> bytes:
+    """The lowest bits of all marks as a bitmap, compressed: at most FILTER_BITS / 8 bytes, whatever the table holds."""
+    bit = F.col("mark").bitwiseAND(F.lit(FILTER_BITS - 1))
+    parts = met.groupBy(F.shiftright(bit, 15).alias("part")) \
+        .agg(F.bitmap_construct_agg(bit.bitwiseAND(F.lit(32767))).alias("map"))
+    found = bytearray(FILTER_BITS // 8)
+    for part, bits in parts.collect():
+        found[part * 4096:part * 4096 + len(bits)] = bits
+    return zlib.compress(found, 1)
+
+
+def asked_blocks(kinds: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """Of blocks and their pages: whether the choice depends on what covers the block."""
+    text = (kinds == ARTICLE) | (kinds == MAIN)
+    marked = np.bincount(page, text, page[-1] + 1 if len(page) else 0) > 0
+    return text | ((kinds == OPEN) & ~marked[page])
 
 
 def marked_suffixes(scanned: DataFrame, met: DataFrame, min_run: int) -> DataFrame:
-    """(content, at, key, first): the suffixes under the marks ``met``; ``first`` of its key in the page.
+    """(content, at, key, first, asked): the suffixes under the marks ``met``; ``first`` of its key in the page.
 
+    ``asked``: the choice depends on what it covers (always on a ``mixed`` page, which stands for other kinds too).
     Neighbouring suffixes under one mark travel as one row; the lowest bit of a key gives way to ``first``.
     """
+    compressed = _bitmap(met)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(zlib.decompress(compressed), np.uint8)
         for part in _some_pages(batches):
-            page, at, key, mark = page_suffixes(part["host"], part["blocks"], min_run)
+            page, at, key, mark = page_suffixes(part, min_run)
+            bit = mark & (FILTER_BITS - 1)
+            likely = np.flatnonzero((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+            if not len(likely):
+                continue
+            page, at, key, mark = page[likely], at[likely], key[likely], mark[likely]
+            block_page, sizes = _block_sizes(part)
+            asked = asked_blocks(part.column("kinds").flatten().to_numpy(zero_copy_only=False), block_page) \
+                | part.column("mixed").to_numpy(zero_copy_only=False)[block_page]
+            until = np.concatenate([[0], np.cumsum(np.repeat(asked, sizes))])   # tokens asked for before each
+            first_block = np.searchsorted(block_page, page)
+            begins = (np.cumsum(sizes) - sizes)[first_block] + np.maximum(at, 0)
+            wanted = np.where(at < 0, asked[first_block + np.where(at < 0, -at - 1, 0)],
+                              until[np.minimum(begins + min_run, len(until) - 1)] > until[begins])
             sent = key & ~np.int64(1)
             sent[_firsts(page, sent)] |= 1
-            new = (np.diff(page, prepend=-1) != 0) | (np.diff(mark, prepend=0) != 0) | (at <= 0)
+            new = ((np.diff(page, prepend=-1) != 0) | (np.diff(mark, prepend=0) != 0) | (at <= 0)
+                   | (np.diff(at, prepend=0) != 1) | (np.diff(wanted, prepend=False) != 0))
             starts = np.flatnonzero(new)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(key)), pa.int32()), pa.array(sent))
-            content = np.array(part["content"], np.int64)[page[starts]]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(sent)), pa.int32()), pa.array(sent))
+            content = part.column("content").to_numpy(zero_copy_only=False)[page[starts]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(content), pa.array(mark[starts]), pa.array(at[starts], pa.int32()), lists],
-                ["content", "mark", "at", "keys"])
+                [pa.array(content), pa.array(mark[starts]), pa.array(at[starts], pa.int32()),
+                 pa.array(wanted[starts].astype(bool)), lists], ["content", "mark", "at", "asked", "keys"])
 
-    rows = scanned.select("content", "host", "sizes", "blocks") \
-        .mapInArrow(run, "content long, mark long, at int, keys array<long>")
-    return (likely_rows(rows, "mark", met).join(met, "mark")
-            .select("content", "at", F.posexplode("keys").alias("k", "sent"))
+    rows = scanned.select("content", "host", "mixed", "kinds", "sizes", "blocks") \
+        .mapInArrow(run, "content long, mark long, at int, asked boolean, keys array<long>")
+    return (rows.join(met, "mark")
+            .select("content", "at", "asked", F.posexplode("keys").alias("k", "sent"))
             .select("content", (F.col("at") + F.col("k")).alias("at"), F.shiftright("sent", 1).alias("key"),
-                    (F.col("sent").bitwiseAND(F.lit(1).cast("long")) == 1).alias("first")))
+                    (F.col("sent").bitwiseAND(F.lit(1).cast("long")) == 1).alias("first"), "asked"))
+
+
+def needs_pairs(kinds: list[int]) -> bool:
+    """Whether the choice asks for runs on two pages: between article and main, or among open blocks."""
+    return (ARTICLE in kinds) == (MAIN in kinds) and any(k != FURNITURE for k in kinds)
 
 
 def choose_blocks(kinds: list[int], sizes: list[int], repeats: dict[int, int], many: float, min_run: int,
@@ -413,20 +515,30 @@ def _without_copies(scanned: DataFrame, by: str) -> DataFrame:
     return sure.unionByName(maybe.join(again, F.col("rid") == F.col("__rid"), "left_anti"))
 
 
+def _flagged(rows: DataFrame, column: str, wanted: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with ``flag``: true wherever ``column`` is among the values of ``wanted`` (and for few others)."""
+    if not wanted.head(1):
+        return rows.withColumn(flag, F.lit(False))
+    return _marked(rows, column, wanted, FILTER_BITS).withColumnRenamed("__likely", flag)
+
+
 def decisions(scanned: DataFrame, min_run: int, covered_share: float) -> DataFrame:
     """(form, chosen): block numbers, for the pages of which repeated suffixes change the choice."""
     one = _without_copies(scanned, "content")
     forms = one if one is scanned else _without_copies(scanned, "form")
-    met = materialize(marks(one, min_run).groupBy("mark").agg(F.count("*").alias("n"))
-                      .where("n > 1").select("mark"), "html-met")
+    paired = materialize(scanned.where("pairs").select("host").distinct(), "html-paired")
+    mixed = materialize(scanned.groupBy("content").agg(F.min("form").alias("a"), F.max("form").alias("b"))
+                        .where("a <> b").select("content"), "html-mixed") if one is not scanned else paired.limit(0)
+    one = _flagged(_flagged(one, "host", paired, "paired"), "content", mixed, "mixed")
+    met = materialize(frequent_marks(one, min_run), "html-met")
     found = materialize(marked_suffixes(one, met, min_run), "html-suffixes")
     repeated = materialize(found.where("first").groupBy("key").agg(F.count("*").cast("int").alias("n"))
                            .where("n > 1"), "html-repeated")
-    hits = likely_rows(found.select("content", "at", "key"), "key", repeated.select("key")).join(repeated, "key")
+    hits = likely_rows(found.where("asked").select("content", "at", "key"), "key", repeated.select("key")) \
+        .join(repeated, "key")
     pages = hits.groupBy("content").agg(F.collect_list(F.struct("at", "n")).alias("hits"))  # at most a page's length
-    hosts = materialize(one.groupBy(F.col("host").alias("__host")).agg(F.count("*").alias("host_pages")), "html-hosts")
-    rows = forms.select("form", "content", "host", "kinds", "sizes").join(pages, "content") \
-        .join(hosts, F.col("host").eqNullSafe(F.col("__host")))
+    hosts = materialize(one.groupBy("host").agg(F.count("*").alias("host_pages")), "html-hosts")
+    rows = forms.select("form", "content", "host", "kinds", "sizes").join(pages, "content").join(hosts, "host")
 
     def make() -> Callable[..., tuple]:
         def row(form, kinds, sizes, hits, host_pages):
@@ -444,17 +556,10 @@ def extract_main_text(pages: DataFrame, min_run: int = 8, covered_share: float =
     scanned = materialize(scan_pages(pages).withColumn("rid", F.monotonically_increasing_id()), "html-scan", "zstd")
     changed = materialize(decisions(scanned, min_run, covered_share).withColumnRenamed("form", "__form"),
                           "html-changed")
-
-    def make() -> Callable[..., tuple]:
-        def row(page_id, url, kinds, sizes, blocks, chosen):
-            kept = choose_blocks(kinds, sizes, {}, 2, min_run, covered_share) if chosen is None else chosen
-            return page_id, url, "\n".join(blocks[k] for k in kept)
-        return row
-
-    columns = ["page_id", "url", "form", "kinds", "sizes", "blocks"]
-    maybe, sure = split_rows(scanned.select(*columns), "form", changed.select("__form"))
-    rows = maybe.join(changed, F.col("form") == F.col("__form"), "left").select(*columns, "chosen") \
-        .unionByName(sure.withColumn("chosen", F.lit(None).cast("array<int>")))
-    decided = map_rows(rows, ["page_id", "url", "kinds", "sizes", "blocks", "chosen"],
-                       "page_id long, url string, text string", make)
-    return decided.withColumn("n_chars", F.length("text").cast("long"))
+    rows = scanned.select("page_id", "url", "form", "blocks", F.col("plain").alias("chosen"))
+    if changed.head(1):
+        maybe, sure = split_rows(rows, "form", changed.select("__form"))
+        maybe = maybe.withColumnRenamed("chosen", "plain").join(changed, F.col("form") == F.col("__form"), "left")
+        rows = maybe.withColumn("chosen", F.coalesce("chosen", "plain")).select(rows.columns).unionByName(sure)
+    text = F.array_join(F.transform("chosen", lambda k: F.get("blocks", k)), "\n")
+    return rows.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

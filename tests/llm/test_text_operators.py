@@ -298,3 +298,89 @@ def test_odd_page_tables(spark):
     assert got == {(1, 0), (None, 0), (2, 500_003), (3, 500_003), (4, 1)}
     assert htmlmain.extract_main_text(pages).count() == 6
     assert htmlmain.extract_main_text(pages).columns == ["page_id", "url", "text", "n_chars"]
+
+
+def test_runs_that_cannot_bear_on_a_choice_are_not_counted(spark):
+    """Articles that share passages two by two: of these no run is sent, only those of the line on every page."""
+    from demandcast.llm.common import written_tables
+    ship_package(spark)
+    draw = np.random.default_rng(3)
+    text = lambda n: " ".join(f"w{k}" for k in draw.integers(0, 50_000, n))
+    shared = [text(40) for _ in range(150)]
+    rows = [(i, f"http://h.example/{i}", f"<nav><p>a b c d e f g h i j</p></nav><article><p>{text(20)}</p>"
+             f"<p>{shared[i // 2]}</p></article>") for i in range(300)]
+    before = set(written_tables())
+    got = {r.page_id: r.text for r in htmlmain.extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)).collect()}
+    assert all(got[i].split("\n")[1] == shared[i // 2] for i in range(300))
+    found = spark.read.parquet(*[p for p in written_tables() if p not in before and "html-suffixes" in p])
+    assert 900 <= found.count() <= 3000 and found.where("asked and at >= 10").count() == 0
+
+
+def test_parts_hand_on_every_mark_that_may_decide():
+    """Marks of random parts of a host: those on MANY_PAGES pages and MANY_SHARE of all (pairs: two) always stay."""
+    draw = np.random.default_rng(7)
+    kept = dropped = 0
+    for trial in range(300):
+        pages = int(draw.choice([1, 4, 5, 6, 12, 20, 40, 200]))
+        paired = trial % 4 == 0
+        on = draw.random((pages, 30)) < draw.choice([.02, .1, .2, .25, .3, .6], 30)
+        part = draw.integers(0, int(draw.choice([1, 2, 5, 40])), pages)
+        weight, least = np.zeros(30, int), np.full(30, 99)
+        for p in np.unique(part):
+            page, mark = np.nonzero(on[part == p])
+            if len(page):
+                n = int((part == p).sum())
+                m, count, need = htmlmain._part_marks(page, mark, np.full(n, 9), np.full(n, paired))
+                weight[m] += count
+                least[m] = np.minimum(least[m], need)
+        total, stays = on.sum(0), weight >= least
+        wanted = total >= (2 if paired else max(htmlmain.MANY_PAGES, htmlmain.MANY_SHARE * pages))
+        assert not (wanted & ~stays).any()
+        kept, dropped = kept + int(wanted.sum()), dropped + int((~stays & (total > 1)).sum())
+    assert kept > 500 and dropped > 500
+
+
+def test_choices_on_articles_equal_brute_force(spark):
+    """Articles, mains, both and neither, on hosts of many sizes, with copies and equal texts of other kinds."""
+    ship_package(spark)
+    draw = np.random.default_rng(11)
+    text = lambda low, high: " ".join(f"w{k}" for k in draw.integers(0, 300, draw.integers(low, high)))
+    rows = []
+    for h, n in enumerate([1, 2, 4, 5, 6, 9, 20, 21, 40, 90]):
+        lines = [(text(2, 30), share) for share in (.1, .2, .25, .3, .5, 1.)]
+        for j in range(n):
+            bs = [b for b, share in lines if draw.random() < share] + [text(1, 60) for _ in range(3)]
+            bs = [bs[k] for k in draw.permutation(len(bs))]
+            at, put = int(draw.integers(len(bs))), lambda x: "".join(f"<p>{b}</p>" for b in x)
+            form = 0 if h % 2 else int(draw.integers(4))
+            page = [f"<nav>{put(bs[:1])}</nav><article>{put(bs[1:])}</article>", f"<nav>{put(bs[:1])}</nav>{put(bs[1:])}",
+                    f"<main>{put(bs[:at])}<article>{put(bs[at:])}</article></main>", f"<main>{put(bs)}</main>"][form]
+            rows.append((len(rows), f"http://h{h}/{j}", page))
+            if j % 7 == 3:
+                rows += [(len(rows), f"http://h{h}/", page),
+                         (len(rows) + 1, f"http://h{h}/", page.replace("nav>", "article>"))]
+    got = {r.page_id: r.text for r in htmlmain.extract_main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    scanned = [(i, htmlmain.host_of(u), htmlmain.page_blocks(p)) for i, u, p in rows]
+    where, host_pages = defaultdict(set), defaultdict(set)
+
+    def places(host, blocks):
+        tokens = " ".join(t for _, t in blocks).split(" ")
+        yield from ((k, (host, tuple(tokens[k:k + 8]))) for k in range(len(tokens) - 7))
+        yield from ((-k - 1, (host, t)) for k, (_, t) in enumerate(blocks) if t.count(" ") < 7)
+
+    for _, host, blocks in scanned:
+        content = tuple(t for _, t in blocks)
+        host_pages[host].add(content)
+        for _, key in places(host, blocks):
+            where[key].add(content)
+    changed = 0
+    for i, host, blocks in scanned:
+        kinds, sizes = [k for k, _ in blocks], [t.count(" ") + 1 for _, t in blocks]
+        repeats = {at: len(where[key]) for at, key in places(host, blocks) if len(where[key]) > 1}
+        many = max(htmlmain.MANY_PAGES, htmlmain.MANY_SHARE * len(host_pages[host]))
+        kept = htmlmain.choose_blocks(kinds, sizes, repeats, many, 8, 0.8)
+        changed += kept != htmlmain.choose_blocks(kinds, sizes, {}, many, 8, 0.8)
+        assert got[i] == "\n".join(blocks[k][1] for k in kept)
+    assert changed > 60
