@@ -50,6 +50,8 @@ from demandcast.llm.common import FILTER_BITS, _marked, likely_rows, map_rows, m
 ARTICLE, MAIN, OPEN, FURNITURE = 3, 1, 0, 2
 PAGES, TOKENS = 1000, 1 << 18  # pages and tokens of them that a task hashes at a time (one page at least)
 PART_MARKS = 1 << 20           # marks of pages that a task counts at a time
+MARK_BITS, BUCKET_BITS = 44, 12   # bits of a mark that are shuffled, and those that number its bucket
+ENOUGH = 6                     # weight of a mark that stays; 2 and FEW_PAGES divide it
 MANY_PAGES, MANY_SHARE = 5, 0.25   # pages of a host that repeat what is boilerplate even inside an article
 FEW_PAGES = 3                  # marks on fewer pages of a host's small parts need not be met: see frequent_marks
 DOUBTED = 4                    # added to the kind of an article or main inside an element that has a name of furniture
@@ -372,7 +374,7 @@ def _part_marks(page: np.ndarray, mark: np.ndarray, host: np.ndarray, paired: np
 
 
 def frequent_marks(scanned: DataFrame, min_run: int) -> DataFrame:
-    """(mark): the marks of all suffixes that are on enough pages of their host to bear on a choice, and some more.
+    """(mark): the lowest bits of the marks that are on enough pages of their host to bear on a choice, and some more.
 
     On a host with pages whose choice asks for runs on two pages (``paired``), these are the marks on two pages.
     Elsewhere a run bears on the choice if it is on T = max(MANY_PAGES, MANY_SHARE * pages of the host) pages.  A task
@@ -380,16 +382,11 @@ def frequent_marks(scanned: DataFrame, min_run: int) -> DataFrame:
     s = MANY_SHARE * (MANY_PAGES - FEW_PAGES + 1) / MANY_PAGES of its pages of that host; small parts hand on all, and
     of these the marks on FEW_PAGES pages stay.  Nothing is lost: a mark that no large part hands on, and that is on
     fewer than FEW_PAGES pages of small ones, is on fewer than s * pages of the host + FEW_PAGES - 1 <= T pages.
+    Marks travel packed by buckets; that only their lowest bits do can keep further ones, but lose none.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         pages = entries = 0
-
-        def counted() -> pa.RecordBatch:
-            mark, n, least = _part_marks(*map(np.concatenate, zip(*held)))
-            return pa.RecordBatch.from_arrays([pa.array(mark), pa.array(n, pa.int64()), pa.array(least, pa.int64())],
-                                              ["mark", "pages", "least"])
-
         for part in _some_pages(batches):
             page, _, _, mark = page_suffixes(part, min_run)
             new = np.flatnonzero((np.diff(page, prepend=-1) != 0) | (np.diff(mark, prepend=0) != 0))
@@ -399,14 +396,57 @@ def frequent_marks(scanned: DataFrame, min_run: int) -> DataFrame:
                          part.column("paired").to_numpy(zero_copy_only=False)))
             pages, entries = pages + part.num_rows, entries + len(first)
             if entries > PART_MARKS:
-                yield counted()
+                yield _packed(*_part_marks(*map(np.concatenate, zip(*held))))
                 held, pages, entries = [], 0, 0
         if entries:
-            yield counted()
+            yield _packed(*_part_marks(*map(np.concatenate, zip(*held))))
+
+    sent = scanned.select("host", "paired", "sizes", "blocks") \
+        .mapInArrow(run, "bucket int, marks binary, weights binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_heavy_marks, "mark long")
+
+
+def _packed(mark: np.ndarray, pages: np.ndarray, least: np.ndarray) -> pa.RecordBatch:
+    """(bucket, marks, weights): marks as four bytes beside their bucket, and ENOUGH times pages / least as one."""
+    bucket = mark & ((1 << BUCKET_BITS) - 1)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    rest = ((mark[order] & ((1 << MARK_BITS) - 1)) >> BUCKET_BITS).astype(np.uint32)
+    weight = np.minimum(ENOUGH, pages * (ENOUGH // least))[order].astype(np.uint8)
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(starts, len(bucket))
+    column = lambda values: pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+    return pa.RecordBatch.from_arrays([pa.array(bucket[starts], pa.int32()), column(rest), column(weight)],
+                                      ["bucket", "marks", "weights"])
+
+
+def _heavy_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The marks (their lowest MARK_BITS) whose weights make ENOUGH, from rows in the order of their buckets."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    entries = 0
+
+    def summed() -> tuple[np.ndarray, np.ndarray]:
+        mark, weight = map(np.concatenate, zip(*held))
+        order = np.argsort(mark)
+        mark, weight = mark[order], weight[order]
+        starts = np.flatnonzero(np.diff(mark, prepend=-1))
+        return mark[starts], np.minimum(ENOUGH, np.add.reduceat(weight, starts))
 
-    sent = scanned.select("host", "paired", "sizes", "blocks").mapInArrow(run, "mark long, pages long, least long")
-    return sent.groupBy("mark").agg(F.sum("pages").alias("pages"), F.min("least").alias("least")) \
-        .where("pages >= least").select("mark")
+    for batch in batches:
+        marks, weights = batch.column("marks"), batch.column("weights")
+        bucket = np.repeat(batch.column("bucket").to_numpy(), pc.binary_length(weights).to_numpy()).astype(np.int64)
+        rest = np.frombuffer(b"".join(marks.to_pylist()), np.uint32).astype(np.int64)
+        held.append((rest << BUCKET_BITS | bucket, np.frombuffer(b"".join(weights.to_pylist()), np.uint8).astype(int)))
+        entries += len(rest)
+        if entries > PART_MARKS:                      # all but the last bucket are whole
+            mark, weight = summed()
+            last = (mark & ((1 << BUCKET_BITS) - 1)) == bucket[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(mark[~last & (weight >= ENOUGH)])], ["mark"])
+            held, entries = [(mark[last], weight[last])], 0
+    if held:
+        mark, weight = summed()
+        yield pa.RecordBatch.from_arrays([pa.array(mark[weight >= ENOUGH])], ["mark"])
 
 
 def _bitmap(met: DataFrame) -> bytes:
@@ -439,6 +479,7 @@ def marked_suffixes(scanned: DataFrame, met: DataFrame, min_run: int) -> DataFra
         bits = np.frombuffer(zlib.decompress(compressed), np.uint8)
         for part in _some_pages(batches):
             page, at, key, mark = page_suffixes(part, min_run)
+            mark &= (1 << MARK_BITS) - 1
             bit = mark & (FILTER_BITS - 1)
             likely = np.flatnonzero((bits[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
             if not len(likely):

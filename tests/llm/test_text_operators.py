@@ -384,3 +384,26 @@ def test_choices_on_articles_equal_brute_force(spark):
         changed += kept != htmlmain.choose_blocks(kinds, sizes, {}, many, 8, 0.8)
         assert got[i] == "\n".join(blocks[k][1] for k in kept)
     assert changed > 60
+
+
+def test_packed_marks_weigh_as_counted(monkeypatch):
+    """Marks packed by parts, put in the order of buckets and summed in small portions, against plain sums."""
+    import pyarrow as pa
+    monkeypatch.setattr(htmlmain, "PART_MARKS", 50)
+    draw = np.random.default_rng(2)
+    names = draw.integers(-2 ** 63, 2 ** 63 - 1, 400)
+    names[200:] = (names[200:] & ~np.int64(4095)) | 7                        # half of them in one bucket
+    expected, rows = defaultdict(int), []
+    for _ in range(12):
+        mark = np.sort(draw.choice(names, 150, replace=False))
+        pages, least = draw.integers(1, 4, 150), draw.choice([1, 2, 3], 150)
+        for m, n, k in zip(mark.tolist(), pages.tolist(), least.tolist()):
+            expected[m & (1 << 44) - 1] += n * (6 // k)
+        rows += htmlmain._packed(mark, pages, least).to_pylist()
+    rows.sort(key=lambda r: r["bucket"])
+    schema = pa.schema([("bucket", pa.int32()), ("marks", pa.binary()), ("weights", pa.binary())])
+    got = [m for batch in htmlmain._heavy_marks(iter(pa.RecordBatch.from_pylist(rows[k:k + 9], schema)
+                                                     for k in range(0, len(rows), 9)))
+           for m in batch.column("mark").to_pylist()]
+    assert sorted(got) == sorted(m for m, w in expected.items() if w >= 6)
+    assert list(htmlmain._heavy_marks(iter([]))) == []
