@@ -32,7 +32,6 @@ from demandcast.llm.common import SPACES, materialize, packed, split_rows, text_
 PRIME = 2147483647
 KEYS_PER_BUCKET = 4096
 KEYS_PER_CELL = 4
-MAX_PILOT = 1 << 20
 
 _WINNER = "struct<shorter: long, no_id: boolean, doc_id: long>"
 
@@ -71,8 +70,15 @@ def with_hashes(df: DataFrame, buckets: int) -> DataFrame:
 
 
 def slot_of(h1, h2, pilot, size):
-    """The slot of a key under a pilot; the same formula in numpy and in Spark columns."""
-    return (h1 + pilot * h2) % PRIME % size
+    """The slot of a key under a pilot below PRIME; the same formula in numpy and in Spark columns.
+
+    The sum alone steps evenly: where its step has a factor in common with ``size``, a key misses some slots for
+    millions of pilots.  The fifth power permutes the values below PRIME (5 does not divide PRIME - 1), so the order
+    is broken up and a key still meets every slot.  All products stay below 2^63.
+    """
+    at = (h1 + pilot * h2) % PRIME
+    square = at * at % PRIME
+    return square * square % PRIME * at % PRIME % size
 
 
 def find_pilots(h1: np.ndarray, h2: np.ndarray, cell: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,6 +92,8 @@ def find_pilots(h1: np.ndarray, h2: np.ndarray, cell: np.ndarray, cells: int) ->
         if not len(keys):
             break
         a, b = h1[keys], h2[keys]
+        if len(set(zip(a.tolist(), b.tolist()))) < len(keys):
+            raise RuntimeError("two digests of a cell agree in both hashes")
         step, begin = 64, 0
         while True:
             tried = np.arange(begin, begin + step)[:, None]
@@ -100,8 +108,8 @@ def find_pilots(h1: np.ndarray, h2: np.ndarray, cell: np.ndarray, cells: int) ->
                 free[at[k]] = False
                 break
             begin, step = begin + step, min(step * 4, 16384)
-            if begin > MAX_PILOT:
-                raise RuntimeError("no pilot found: two digests of a bucket agree in both hashes")
+            if begin >= PRIME:
+                raise RuntimeError("no pilot found: all have been tried")
     return pilots, slots
 
 

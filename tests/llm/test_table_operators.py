@@ -234,6 +234,39 @@ def test_perfect_hash_is_minimal_and_perfect():
         assert (exactdup.slot_of(h1, h2, pilots[cell], n) == slots).all()
 
 
+def test_perfect_hash_of_keys_that_step_evenly(spark):
+    """Hashes whose pilots once met a part of the slots only: small and even, and two of 700 buckets drawn at random."""
+    cases = [(np.array([1, 3]), np.array([2, 2]), np.zeros(2, np.int64)),
+             (np.arange(0, 128, 2), np.full(64, 64), np.arange(64))]
+    for seed in (147, 382):
+        draw = np.random.default_rng(seed)
+        n = int(draw.poisson(exactdup.KEYS_PER_BUCKET))
+        h1, h2 = draw.integers(0, exactdup.PRIME, n), draw.integers(1, exactdup.PRIME, n)
+        cases.append((h1, h2, draw.integers(0, 1 << 48, n) % (n // exactdup.KEYS_PER_CELL)))
+    for h1, h2, cell in cases:
+        n = len(h1)
+        pilots, slots = exactdup.find_pilots(h1, h2, cell, int(cell.max()) + 1)
+        assert sorted(slots) == list(range(n))
+        assert (exactdup.slot_of(h1, h2, pilots[cell], n) == slots).all()
+        assert pilots.max() < 100_000
+        rows = [tuple(map(int, r)) for r in zip(h1, h2, pilots[cell], slots)]
+        got = spark.createDataFrame(rows, "h1 long, h2 long, pilot long, slot long").select(
+            "slot", exactdup.slot_of(F.col("h1"), F.col("h2"), F.col("pilot"), F.lit(n)).alias("found"))
+        assert got.where("slot <> found").count() == 0
+
+
+def test_slots_at_the_ends_of_the_hashes(spark):
+    """The largest hashes and pilots stay below 2^63 in numpy and in Spark; Python's integers are the measure."""
+    ends = [0, 1, 2, exactdup.PRIME // 2, exactdup.PRIME - 2, exactdup.PRIME - 1]
+    rows = [(a, b, p) for a in ends for b in ends[1:] for p in ends]
+    right = [pow(a + p * b, 5, exactdup.PRIME) % 4099 for a, b, p in rows]
+    h1, h2, pilot = (np.array(c, np.int64) for c in zip(*rows))
+    assert exactdup.slot_of(h1, h2, pilot, 4099).tolist() == right
+    df = spark.createDataFrame(rows, "h1 long, h2 long, pilot long")
+    found = df.select("h1", "h2", "pilot", exactdup.slot_of(F.col("h1"), F.col("h2"), F.col("pilot"), F.lit(4099)))
+    assert {tuple(r)[:3]: r[3] for r in found.collect()} == dict(zip(rows, right))
+
+
 # --- 8 ----------------------------------------------------------------------------------------
 
 def test_mix_meets_targets(spark):
