@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from demandcast.llm import ann, exactdup, mixing, neardup, quality, queries, sharding
 from demandcast.llm.common import read_table, ship_package
 from tests.conftest import SF_MID, SF_SMALL
@@ -255,6 +256,18 @@ def test_perfect_hash_of_keys_that_step_evenly(spark):
         assert got.where("slot <> found").count() == 0
 
 
+def test_exact_stage_with_hashes_that_step_evenly(spark, monkeypatch):
+    """The pipeline's second stage on hashes whose steps share factors with the number of digests."""
+    hashes = exactdup.with_hashes
+    monkeypatch.setattr(exactdup, "with_hashes",
+                        lambda df, buckets: hashes(df, buckets).withColumn("h2", F.lit(840).cast("long")))
+    texts = [f"text {k}" for k in range(120)]
+    rows = [(k, t, "s") for k, t in enumerate(texts)] + [(1000 + k, t + " ", "s") for k, t in enumerate(texts[:30])]
+    docs = documents(spark, rows).withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text"))
+    kept = corpus_pipeline.exact_stage(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted([(i, t) for i, t, _ in rows if i >= 30])
+
+
 def test_slots_at_the_ends_of_the_hashes(spark):
     """The largest hashes and pilots stay below 2^63 in numpy and in Spark; Python's integers are the measure."""
     ends = [0, 1, 2, exactdup.PRIME // 2, exactdup.PRIME - 2, exactdup.PRIME - 1]
